@@ -17,6 +17,7 @@ from ..session import materialize, scalar
 from .neighbours import rank_neighbours
 from .predict import (
     all_item_deviation,
+    knn_item_deviation,
     finish_prediction,
     predictions_for_ks,
     prepare_pairs,
@@ -99,6 +100,24 @@ def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], simi
     return predictions_for_ks(prepare_pairs(test, avg), nb, dev, list(ks), weighting)
 
 
+def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str = "nonzero_dev",
+                   similarity: str = "cosine", n_users: int | None = None) -> DataFrame:
+    """(user_id, item_id, dev_hat) for requested pairs where the weighted mean is defined.
+
+    Pairs with no weighted neighbour (0/0) are left out rather than set to 0.
+    """
+    avg = user_averages(train)
+    dev = deviations(train, avg)
+    users = pairs.select("user_id").distinct()
+    sims = similarities(train, users, similarity, nd=normalized(dev))
+    if n_users is None:
+        n_users = count_users(train)
+    nb = rank_neighbours(sims, k, n_users)
+    wide = knn_item_deviation(pairs.select("user_id", "item_id"), nb, dev, [k], weighting)
+    return (wide.filter(F.col(f"den_{k}") > 0)
+            .select("user_id", "item_id", (F.col(f"num_{k}") / F.col(f"den_{k}")).alias("dev_hat")))
+
+
 def mae(predictions: DataFrame, by: list[str] | None = None) -> DataFrame:
     """(… , mae, n): mean absolute error of ``prediction`` against ``rating``."""
     aggs = [round_out(F.avg(abs_error("prediction", "rating"))).alias("mae"),
