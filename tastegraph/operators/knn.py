@@ -1,10 +1,10 @@
 """User-facing composite operators: predict, MAE, k sweep, recommend.
 
 Each call builds one DataFrame plan from the training ratings:
-averages -> deviations -> normalised vectors -> pair similarities (only for
-the users that are asked about) -> neighbour ranks -> weighted deviations ->
-predictions. The only values brought to the driver are scalars (user count,
-global mean, hot-item count).
+averages -> deviations -> normalised vectors (materialised once) -> pair
+similarities (only for the users that are asked about) -> neighbour ranks ->
+weighted deviations -> predictions. The only values brought to the driver
+are scalars (user count, global mean, hot-item count).
 """
 
 from __future__ import annotations
@@ -13,24 +13,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import R_MAX, R_MIN, abs_error, round_out
-from ..session import materialize, scalar
+from ..session import scalar
 from .neighbours import rank_neighbours
 from .predict import (
     all_item_deviation,
-    knn_item_deviation,
     finish_prediction,
+    knn_item_deviation,
     predictions_for_ks,
     prepare_pairs,
 )
 from .similarity import (
+    Prepared,
     cosine_similarity,
-    deviations,
     global_average,
     jaccard_similarity,
-    normalized,
+    prepare,
     self_cosine,
     self_jaccard,
-    user_averages,
 )
 
 
@@ -42,18 +41,25 @@ def global_mean_value(ratings: DataFrame) -> float:
     return float(scalar(global_average(ratings), "global_avg"))
 
 
-def similarities(train: DataFrame, users: DataFrame | None, similarity: str = "cosine",
-                 nd: DataFrame | None = None) -> DataFrame:
+def similarities(model: Prepared, train: DataFrame, users: DataFrame | None,
+                 similarity: str = "cosine") -> DataFrame:
+    """Stored non-zero pair similarities for the left ``users`` (all when None)."""
     if similarity == "cosine":
-        return cosine_similarity(nd=nd if nd is not None else normalized(deviations(train)), users=users)
+        return cosine_similarity(nd=model.nd, users=users)
     if similarity == "jaccard":
         return jaccard_similarity(train, users=users).filter(F.col("sim") != 0)
     raise ValueError("similarity must be 'cosine' or 'jaccard'")
 
 
+def _n_users(model: Prepared, n_users: int | None) -> int:
+    if n_users is not None:
+        return n_users
+    return int(scalar(model.avg.agg(F.count(F.lit(1)))))
+
+
 def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity: str = "cosine",
             weighting: str = "raters", cold_user: str = "drop", n_users: int | None = None,
-            r_min: float = R_MIN, r_max: float = R_MAX, pairs_mode: str = "none") -> DataFrame:
+            r_min: float = R_MIN, r_max: float = R_MAX, cache: str = "persist") -> DataFrame:
     """Predict a rating for every requested (user_id, item_id[, rating]) pair.
 
     ``k=None`` weights every rater of the item (the user itself included);
@@ -61,63 +67,55 @@ def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity
     user population the ranking runs over (default: distinct train users).
     Returns the pair columns plus ``avg_rating, dev_hat, prediction``.
     """
-    avg = user_averages(train)
-    dev = deviations(train, avg, r_min, r_max)
+    model = prepare(train, cache, r_min, r_max)
     users = pairs.select("user_id").distinct()
     global_avg = global_mean_value(train) if cold_user == "global_mean" else None
-    pairs_avg = prepare_pairs(pairs, avg, cold_user, global_avg)
-    if similarity == "cosine":
-        nd = normalized(dev)
-        sims = cosine_similarity(nd=nd, users=users)
-    elif similarity == "jaccard":
-        nd = None
-        sims = jaccard_similarity(train, users=users).filter(F.col("sim") != 0)
-    else:
-        raise ValueError("similarity must be 'cosine' or 'jaccard'")
-    sims = materialize(sims, pairs_mode)
+    pairs_avg = prepare_pairs(pairs, model.avg, cold_user, global_avg)
+    sims = similarities(model, train, users, similarity)
     if k is None:
-        selfs = self_cosine(nd, users) if similarity == "cosine" else self_jaccard(train, users)
+        selfs = self_cosine(model.nd, users) if similarity == "cosine" else self_jaccard(train, users)
         sims_all = sims.unionByName(selfs.filter(F.col("sim") != 0))
-        wide = all_item_deviation(pairs_avg, sims_all, dev, weighting)
+        wide = all_item_deviation(pairs_avg, sims_all, model.dev, weighting)
         return finish_prediction(wide, "num", "den", r_min, r_max).drop("num", "den")
-    if n_users is None:
-        n_users = count_users(train)
-    nb = rank_neighbours(sims, k, n_users)
-    return predictions_for_ks(pairs_avg, nb, dev, [k], weighting).drop("k")
+    nb = rank_neighbours(sims, k, _n_users(model, n_users))
+    return predictions_for_ks(pairs_avg, nb, model.dev, [k], weighting, model.item_raters()).drop("k")
 
 
 def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], similarity: str = "cosine",
                           weighting: str = "raters", n_users: int | None = None,
-                          pairs_mode: str = "none") -> DataFrame:
+                          cache: str = "persist") -> DataFrame:
     """(k, user_id, item_id, rating, avg_rating, dev_hat, prediction) for every k, one pass."""
-    avg = user_averages(train)
-    dev = deviations(train, avg)
-    users = test.select("user_id").distinct()
-    sims = materialize(similarities(train, users, similarity, nd=normalized(dev)), pairs_mode)
-    if n_users is None:
-        n_users = count_users(train)
-    nb = rank_neighbours(sims, max(ks), n_users)
-    return predictions_for_ks(prepare_pairs(test, avg), nb, dev, list(ks), weighting)
+    model = prepare(train, cache)
+    sims = similarities(model, train, test.select("user_id").distinct(), similarity)
+    nb = rank_neighbours(sims, max(ks), _n_users(model, n_users))
+    return predictions_for_ks(prepare_pairs(test, model.avg), nb, model.dev, list(ks), weighting,
+                              model.item_raters())
 
 
 def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str = "nonzero_dev",
-                   similarity: str = "cosine", n_users: int | None = None) -> DataFrame:
+                   similarity: str = "cosine", n_users: int | None = None,
+                   cache: str = "persist") -> DataFrame:
     """(user_id, item_id, dev_hat) for requested pairs where the weighted mean is defined.
 
     Pairs with no weighted neighbour (0/0) are left out rather than set to 0.
     """
-    avg = user_averages(train)
-    dev = deviations(train, avg)
-    users = pairs.select("user_id").distinct()
-    sims = similarities(train, users, similarity, nd=normalized(dev))
-    if n_users is None:
-        n_users = count_users(train)
-    nb = rank_neighbours(sims, k, n_users)
-    wide = knn_item_deviation(pairs.select("user_id", "item_id"), nb, dev, [k], weighting)
+    model = prepare(train, cache)
+    sims = similarities(model, train, pairs.select("user_id").distinct(), similarity)
+    nb = rank_neighbours(sims, k, _n_users(model, n_users))
+    wide = knn_item_deviation(pairs.select("user_id", "item_id"), nb, model.dev, [k], weighting,
+                              model.item_raters())
     return (wide.filter(F.col(f"den_{k}") > 0)
             .select("user_id", "item_id", (F.col(f"num_{k}") / F.col(f"den_{k}")).alias("dev_hat")))
 
 
+def neighbours_table(train: DataFrame, k: int, similarity: str = "cosine", n_users: int | None = None,
+                     cache: str = "persist") -> DataFrame:
+    """(user_id, other_id, sim, rank): the k-NN graph of every training user."""
+    model = prepare(train, cache)
+    nb = rank_neighbours(similarities(model, train, None, similarity), k, _n_users(model, n_users))
+    return nb.select("user_id", "other_id", "sim", F.col("eff_rank").cast("long").alias("rank"))
+
+
 def mae(predictions: DataFrame, by: list[str] | None = None) -> DataFrame:
     """(… , mae, n): mean absolute error of ``prediction`` against ``rating``."""
     aggs = [round_out(F.avg(abs_error("prediction", "rating"))).alias("mae"),
@@ -143,10 +141,11 @@ def recommend(ratings: DataFrame, candidates: DataFrame, n: int = 5, k: int = 30
     """Top-n candidates per user by predicted score (score desc, item asc).
 
     ``candidates`` is (user_id, item_id[, title]); works for one user or all.
+    The window keeps n rows per user (WindowGroupLimit prunes before sorting).
     """
     pred = predict(ratings, candidates, k=k, similarity=similarity, n_users=n_users)
     scored = pred.withColumn("score", round_out("prediction"))
     w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
     keep = [c for c in candidates.columns if c not in ("user_id", "item_id")]
     return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-            .select("user_id", "rank", "item_id", *keep, "score"))
+            .select("user_id", F.col("rank").cast("long").alias("rank"), "item_id", *keep, "score"))

@@ -10,15 +10,18 @@ m*(m-1) pairs), so it is written to keep every task bounded:
   right copy to every left bucket, and the join key becomes
   ``(item, left bucket, right bucket)``. The m^2 pairs of one hot item are
   then spread over s^2 tasks of at most ``hot_bucket^2`` pairs each, while
-  cold items keep one copy per side. The hot-item list is an aggregate with
-  map-side partial counts; it is broadcast only after its row count is
-  checked, otherwise it is shuffle-joined.
+  cold items keep one copy per side and, when there is no hot item at all,
+  both sides are the same plan so Spark shuffles the rows only once
+  (ReusedExchange). The hot-item list is an aggregate with map-side partial
+  counts; it is broadcast only after its row count is checked, otherwise it
+  is shuffle-joined.
 * An optional ``left_users`` restriction (left-semi join) keeps only the pairs
   whose left user is requested, e.g. the test users or the one user asking for
   recommendations.
-* ``cluster_by_user`` shuffles the join output by the left user before the
-  pair aggregate, so the aggregate, the per-user ranking window and the
-  per-user counts that follow all run in that one stage without reshuffling.
+* Per-pair values are reduced to what the aggregate needs *before* the
+  shuffle, and ``cluster_by_user`` shuffles the join output by the left user
+  only, so the pair aggregate, the per-user ranking window and the per-user
+  counts that follow all run in that one stage without reshuffling.
 """
 
 from __future__ import annotations
@@ -57,7 +60,7 @@ def item_self_join(rows: DataFrame, values: list[str], left_users: DataFrame | N
                    hot_broadcast_rows: int = HOT_BROADCAST_ROWS) -> DataFrame:
     """Join ``rows(user_id, item_id, *values)`` with itself on ``item_id``.
 
-    Returns un-aggregated rows ``(user_id, other_id, item_id, a_<value>..., b_<value>...)``
+    Returns un-aggregated rows ``(user_id, other_id, a_<value>..., b_<value>...)``
     where ``a_`` are the left user's values and ``b_`` the other user's.
     """
     base = rows.select("user_id", "item_id", *values)
@@ -69,32 +72,35 @@ def item_self_join(rows: DataFrame, values: list[str], left_users: DataFrame | N
                 .withColumn("n_buckets", F.coalesce(F.col("n_buckets"), F.lit(1)))
                 .withColumn("own_bucket", F.pmod(F.xxhash64("user_id"), F.col("n_buckets")).cast("int")))
         every_bucket = F.explode(F.sequence(F.lit(0), F.col("n_buckets") - 1))
-        left = base.select(F.col("user_id"), "item_id", *[F.col(c).alias("a_" + c) for c in values],
-                           F.col("own_bucket").alias("lb"), every_bucket.alias("rb"))
-        right = base.select(F.col("user_id").alias("other_id"), "item_id",
-                            *[F.col(c).alias("b_" + c) for c in values],
-                            every_bucket.alias("lb"), F.col("own_bucket").alias("rb"))
+        left = base.select("user_id", "item_id", *values, F.col("own_bucket").alias("lb"),
+                           every_bucket.alias("rb"))
+        right = base.select("user_id", "item_id", *values, every_bucket.alias("lb"),
+                            F.col("own_bucket").alias("rb"))
         keys = ["item_id", "lb", "rb"]
     else:
-        left = base.select("user_id", "item_id", *[F.col(c).alias("a_" + c) for c in values])
-        right = base.select(F.col("user_id").alias("other_id"), "item_id",
-                            *[F.col(c).alias("b_" + c) for c in values])
-        keys = ["item_id"]
+        left, right, keys = base, base, ["item_id"]
     if left_users is not None:
         left = left.join(left_users.select("user_id").distinct(), "user_id", "left_semi")
-    joined = left.join(right, keys)
-    cond = _pair_condition(pair, F.col("user_id"), F.col("other_id"))
+    a, b = left.alias("a"), right.alias("b")
+    joined = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys])
+    cond = _pair_condition(pair, F.col("a.user_id"), F.col("b.user_id"))
     if cond is not None:
         joined = joined.filter(cond)
-    return joined.select("user_id", "other_id", "item_id",
-                         *["a_" + c for c in values], *["b_" + c for c in values])
+    return joined.select(F.col("a.user_id").alias("user_id"), F.col("b.user_id").alias("other_id"),
+                         *[F.col(f"a.{c}").alias("a_" + c) for c in values],
+                         *[F.col(f"b.{c}").alias("b_" + c) for c in values])
 
 
-def pair_aggregate(rows: DataFrame, values: list[str], aggs: dict[str, Column],
-                   left_users: DataFrame | None = None, pair: str = "ne",
+def pair_aggregate(rows: DataFrame, values: list[str], row_exprs: dict[str, Column],
+                   aggs: dict[str, Column], left_users: DataFrame | None = None, pair: str = "ne",
                    cluster_by_user: bool = False, hot_bucket: int = HOT_BUCKET) -> DataFrame:
-    """Self-join on item and aggregate per (user_id, other_id) pair."""
+    """Self-join on item and aggregate per (user_id, other_id) pair.
+
+    ``row_exprs`` are evaluated on each joined row (over ``a_*``/``b_*``) before
+    the shuffle; ``aggs`` aggregate those per pair.
+    """
     joined = item_self_join(rows, values, left_users=left_users, pair=pair, hot_bucket=hot_bucket)
+    slim = joined.select("user_id", "other_id", *[e.alias(n) for n, e in row_exprs.items()])
     if cluster_by_user:
-        joined = joined.repartition("user_id")
-    return joined.groupBy("user_id", "other_id").agg(*[expr.alias(name) for name, expr in aggs.items()])
+        slim = slim.repartition("user_id")
+    return slim.groupBy("user_id", "other_id").agg(*[e.alias(n) for n, e in aggs.items()])

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import R_MAX, R_MIN, jaccard, normalized_deviation, round_sim
+from ..session import materialize
 from .pairs import HOT_BUCKET, pair_aggregate
 
 
@@ -72,6 +73,40 @@ def preprocess(ratings: DataFrame, r_min: float = R_MIN, r_max: float = R_MAX):
     return avg, dev, normalized(dev)
 
 
+class Prepared:
+    """User averages plus one per-rating table ``(user_id, item_id, dev, nd)``.
+
+    The per-rating table feeds the hot-item check, both sides of the pair
+    self-join and the deviation lookups of the prediction, so it is
+    materialised once (``cache``: "persist", "checkpoint" or "none").
+    """
+
+    def __init__(self, ratings: DataFrame, r_min: float = R_MIN, r_max: float = R_MAX,
+                 cache: str = "persist"):
+        self.avg = user_averages(ratings)
+        dev = deviations(ratings, self.avg, r_min, r_max)
+        sq = dev.groupBy("user_id").agg(F.sum(F.col("dev") * F.col("dev")).alias("sq"))
+        table = (dev.select("user_id", "item_id", "dev").join(sq, "user_id")
+                 .select("user_id", "item_id", "dev",
+                         F.when(F.col("sq") > 0, F.col("dev") / F.sqrt("sq")).otherwise(F.lit(0.0)).alias("nd")))
+        self.rows = materialize(table, cache)
+
+    @property
+    def dev(self) -> DataFrame:
+        return self.rows.select("user_id", "item_id", "dev")
+
+    @property
+    def nd(self) -> DataFrame:
+        return self.rows.select("user_id", "item_id", "nd")
+
+    def item_raters(self) -> DataFrame:
+        return self.rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("m"))
+
+
+def prepare(ratings: DataFrame, cache: str = "persist", r_min: float = R_MIN, r_max: float = R_MAX) -> Prepared:
+    return Prepared(ratings, r_min, r_max, cache)
+
+
 def cosine_similarity(ratings: DataFrame | None = None, nd: DataFrame | None = None,
                       users: DataFrame | None = None, keep_zero: bool = False,
                       cluster_by_user: bool = True, hot_bucket: int = HOT_BUCKET) -> DataFrame:
@@ -85,8 +120,10 @@ def cosine_similarity(ratings: DataFrame | None = None, nd: DataFrame | None = N
     """
     if nd is None:
         nd = preprocess(ratings)[2]
-    rows = nd if keep_zero else nd.filter(F.col("nd") != 0)
-    pairs = pair_aggregate(rows, ["nd"], {"dot": F.sum(F.col("a_nd") * F.col("b_nd"))},
+    rows = nd.select("user_id", "item_id", "nd")
+    if not keep_zero:
+        rows = rows.filter(F.col("nd") != 0)
+    pairs = pair_aggregate(rows, ["nd"], {"p": F.col("a_nd") * F.col("b_nd")}, {"dot": F.sum("p")},
                            left_users=users, pair="ne", cluster_by_user=cluster_by_user,
                            hot_bucket=hot_bucket)
     sims = pairs.select("user_id", "other_id", round_sim("dot").alias("sim"))
@@ -105,7 +142,8 @@ def jaccard_similarity(ratings: DataFrame, users: DataFrame | None = None,
     """(user_id, other_id, sim) = |A n B| / |A u B| for ordered pairs u != v sharing an item."""
     counts = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     rows = ratings.select("user_id", "item_id").join(counts, "user_id")
-    pairs = pair_aggregate(rows, ["n"], {"n_co": F.count(F.lit(1)), "n_a": F.max("a_n"), "n_b": F.max("b_n")},
+    pairs = pair_aggregate(rows, ["n"], {"n_a": F.col("a_n"), "n_b": F.col("b_n")},
+                           {"n_co": F.count(F.lit(1)), "n_a": F.max("n_a"), "n_b": F.max("n_b")},
                            left_users=users, pair="ne", cluster_by_user=cluster_by_user,
                            hot_bucket=hot_bucket)
     return pairs.select("user_id", "other_id", round_sim(jaccard("n_co", "n_a", "n_b")).alias("sim"))
@@ -120,5 +158,5 @@ def self_jaccard(ratings: DataFrame, users: DataFrame | None = None) -> DataFram
 
 def corated_counts(ratings: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """(user_id, other_id, n_co) for unordered pairs u <= v (self included) with n_co > 0."""
-    return pair_aggregate(ratings.select("user_id", "item_id"), [], {"n_co": F.count(F.lit(1))},
+    return pair_aggregate(ratings.select("user_id", "item_id"), [], {}, {"n_co": F.count(F.lit(1))},
                           pair="le", hot_bucket=hot_bucket)

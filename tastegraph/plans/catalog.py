@@ -17,8 +17,6 @@ from ..functions import round_out
 from ..operators import knn as K
 from ..operators import similarity as S
 from ..operators import stats as ST
-from ..operators.neighbours import knn_neighbours
-from ..session import scalar
 from ..sources import ratings as R
 from ..sources import sinks
 
@@ -137,9 +135,7 @@ def q_topk_bytes(spark, sf):
 
 
 def q_knn_neighbours(spark, sf):
-    train = _tt(spark, sf)[0]
-    sims = S.cosine_similarity(train)
-    return knn_neighbours(sims, NEIGHBOUR_K, K.count_users(train))
+    return K.neighbours_table(_tt(spark, sf)[0], NEIGHBOUR_K)
 
 
 def q_knn_predictions(spark, sf):
