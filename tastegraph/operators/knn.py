@@ -41,20 +41,37 @@ def global_mean_value(ratings: DataFrame) -> float:
     return float(scalar(global_average(ratings), "global_avg"))
 
 
+# A requested-user list is broadcast to the self-join only up to this many users.
+BROADCAST_USERS = 1_000_000
+
+
+def requested_users(model: Prepared, pairs: DataFrame) -> DataFrame | None:
+    """Distinct users of ``pairs`` to restrict the self-join to, or None.
+
+    The restriction pays when few users are asked about (one user's
+    recommendations); when most users are, it would only cost a join and
+    stop Spark from reusing one shuffle for both sides of the self-join, so
+    it is dropped (extra pairs are discarded by the later join on user).
+    """
+    users = pairs.select("user_id").distinct()
+    n_req = users.count()
+    if 2 * n_req > model.n_users():
+        return None
+    return F.broadcast(users) if n_req <= BROADCAST_USERS else users
+
+
 def similarities(model: Prepared, train: DataFrame, users: DataFrame | None,
                  similarity: str = "cosine") -> DataFrame:
     """Stored non-zero pair similarities for the left ``users`` (all when None)."""
     if similarity == "cosine":
-        return cosine_similarity(nd=model.nd, users=users)
+        return cosine_similarity(nd=model.nd, users=users, n_hot=model.stats()["n_hot"])
     if similarity == "jaccard":
         return jaccard_similarity(train, users=users).filter(F.col("sim") != 0)
     raise ValueError("similarity must be 'cosine' or 'jaccard'")
 
 
 def _n_users(model: Prepared, n_users: int | None) -> int:
-    if n_users is not None:
-        return n_users
-    return int(scalar(model.avg.agg(F.count(F.lit(1)))))
+    return n_users if n_users is not None else model.n_users()
 
 
 def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity: str = "cosine",
@@ -68,7 +85,7 @@ def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity
     Returns the pair columns plus ``avg_rating, dev_hat, prediction``.
     """
     model = prepare(train, cache, r_min, r_max)
-    users = pairs.select("user_id").distinct()
+    users = requested_users(model, pairs)
     global_avg = global_mean_value(train) if cold_user == "global_mean" else None
     pairs_avg = prepare_pairs(pairs, model.avg, cold_user, global_avg)
     sims = similarities(model, train, users, similarity)
@@ -77,7 +94,7 @@ def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity
         sims_all = sims.unionByName(selfs.filter(F.col("sim") != 0))
         wide = all_item_deviation(pairs_avg, sims_all, model.dev, weighting)
         return finish_prediction(wide, "num", "den", r_min, r_max).drop("num", "den")
-    nb = rank_neighbours(sims, k, _n_users(model, n_users))
+    nb = rank_neighbours(sims, k, _n_users(model, n_users), model.partner_bound())
     return predictions_for_ks(pairs_avg, nb, model.dev, [k], weighting, model.item_raters()).drop("k")
 
 
@@ -86,8 +103,8 @@ def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], simi
                           cache: str = "persist") -> DataFrame:
     """(k, user_id, item_id, rating, avg_rating, dev_hat, prediction) for every k, one pass."""
     model = prepare(train, cache)
-    sims = similarities(model, train, test.select("user_id").distinct(), similarity)
-    nb = rank_neighbours(sims, max(ks), _n_users(model, n_users))
+    sims = similarities(model, train, requested_users(model, test), similarity)
+    nb = rank_neighbours(sims, max(ks), _n_users(model, n_users), model.partner_bound())
     return predictions_for_ks(prepare_pairs(test, model.avg), nb, model.dev, list(ks), weighting,
                               model.item_raters())
 
@@ -100,8 +117,8 @@ def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str =
     Pairs with no weighted neighbour (0/0) are left out rather than set to 0.
     """
     model = prepare(train, cache)
-    sims = similarities(model, train, pairs.select("user_id").distinct(), similarity)
-    nb = rank_neighbours(sims, k, _n_users(model, n_users))
+    sims = similarities(model, train, requested_users(model, pairs), similarity)
+    nb = rank_neighbours(sims, k, _n_users(model, n_users), model.partner_bound())
     wide = knn_item_deviation(pairs.select("user_id", "item_id"), nb, model.dev, [k], weighting,
                               model.item_raters())
     return (wide.filter(F.col(f"den_{k}") > 0)
@@ -112,7 +129,8 @@ def neighbours_table(train: DataFrame, k: int, similarity: str = "cosine", n_use
                      cache: str = "persist") -> DataFrame:
     """(user_id, other_id, sim, rank): the k-NN graph of every training user."""
     model = prepare(train, cache)
-    nb = rank_neighbours(similarities(model, train, None, similarity), k, _n_users(model, n_users))
+    nb = rank_neighbours(similarities(model, train, None, similarity), k, _n_users(model, n_users),
+                         model.partner_bound())
     return nb.select("user_id", "other_id", "sim", F.col("eff_rank").cast("long").alias("rank"))
 
 

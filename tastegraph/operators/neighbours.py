@@ -24,17 +24,23 @@ def _rank_order():
     return [F.col("sim").desc(), F.col("other_id").asc()]
 
 
-def rank_neighbours(sims: DataFrame, max_k: int, n_users: int) -> DataFrame:
+def rank_neighbours(sims: DataFrame, max_k: int, n_users: int,
+                    max_partners: int | None = None) -> DataFrame:
     """(user_id, other_id, sim, eff_rank) for every stored pair with eff_rank <= max_k.
 
     ``sims`` must not contain self pairs; ``n_users`` is the number of users
     the ranking runs over (distinct users of the training table).
+    ``max_partners`` is an upper bound on any user's number of stored pairs
+    (see ``Prepared.partner_bound``): when it is below ``n_users - max_k`` no
+    negative pair can reach the top ``max_k`` and that branch is left out.
     """
     w = Window.partitionBy("user_id").orderBy(*_rank_order())
     sims = sims.select("user_id", "other_id", "sim")
     pos = (sims.filter(F.col("sim") > 0)
            .withColumn("eff_rank", F.row_number().over(w))
            .filter(F.col("eff_rank") <= max_k))
+    if max_partners is not None and max_partners < n_users - max_k:
+        return pos
     neg = sims.filter(F.col("sim") < 0)
     # A negative can only enter the top max_k when n_neg >= U - max_k.
     crowded = (neg.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_neg"))

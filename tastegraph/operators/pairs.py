@@ -57,15 +57,18 @@ def _pair_condition(kind: str, u: Column, v: Column) -> Column | None:
 
 def item_self_join(rows: DataFrame, values: list[str], left_users: DataFrame | None = None,
                    pair: str = "ne", hot_bucket: int = HOT_BUCKET,
-                   hot_broadcast_rows: int = HOT_BROADCAST_ROWS) -> DataFrame:
+                   hot_broadcast_rows: int = HOT_BROADCAST_ROWS, n_hot: int | None = None) -> DataFrame:
     """Join ``rows(user_id, item_id, *values)`` with itself on ``item_id``.
 
     Returns un-aggregated rows ``(user_id, other_id, a_<value>..., b_<value>...)``
     where ``a_`` are the left user's values and ``b_`` the other user's.
+    ``n_hot`` (number of items above ``hot_bucket`` rows) is counted here
+    unless the caller already knows it.
     """
     base = rows.select("user_id", "item_id", *values)
     hot = hot_items(base, hot_bucket)
-    n_hot = hot.count()  # one aggregate action: decides whether salting is needed at all
+    if n_hot is None:
+        n_hot = hot.count()  # one aggregate action: decides whether salting is needed at all
     if n_hot:
         hot_side = F.broadcast(hot) if n_hot <= hot_broadcast_rows else hot
         base = (base.join(hot_side, "item_id", "left")
@@ -80,7 +83,7 @@ def item_self_join(rows: DataFrame, values: list[str], left_users: DataFrame | N
     else:
         left, right, keys = base, base, ["item_id"]
     if left_users is not None:
-        left = left.join(left_users.select("user_id").distinct(), "user_id", "left_semi")
+        left = left.join(left_users.select("user_id"), "user_id", "left_semi")
     a, b = left.alias("a"), right.alias("b")
     joined = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys])
     cond = _pair_condition(pair, F.col("a.user_id"), F.col("b.user_id"))
@@ -93,13 +96,15 @@ def item_self_join(rows: DataFrame, values: list[str], left_users: DataFrame | N
 
 def pair_aggregate(rows: DataFrame, values: list[str], row_exprs: dict[str, Column],
                    aggs: dict[str, Column], left_users: DataFrame | None = None, pair: str = "ne",
-                   cluster_by_user: bool = False, hot_bucket: int = HOT_BUCKET) -> DataFrame:
+                   cluster_by_user: bool = False, hot_bucket: int = HOT_BUCKET,
+                   n_hot: int | None = None) -> DataFrame:
     """Self-join on item and aggregate per (user_id, other_id) pair.
 
     ``row_exprs`` are evaluated on each joined row (over ``a_*``/``b_*``) before
     the shuffle; ``aggs`` aggregate those per pair.
     """
-    joined = item_self_join(rows, values, left_users=left_users, pair=pair, hot_bucket=hot_bucket)
+    joined = item_self_join(rows, values, left_users=left_users, pair=pair, hot_bucket=hot_bucket,
+                            n_hot=n_hot)
     slim = joined.select("user_id", "other_id", *[e.alias(n) for n, e in row_exprs.items()])
     if cluster_by_user:
         slim = slim.repartition("user_id")

@@ -90,6 +90,7 @@ class Prepared:
                  .select("user_id", "item_id", "dev",
                          F.when(F.col("sq") > 0, F.col("dev") / F.sqrt("sq")).otherwise(F.lit(0.0)).alias("nd")))
         self.rows = materialize(table, cache)
+        self._stats = None
 
     @property
     def dev(self) -> DataFrame:
@@ -102,6 +103,36 @@ class Prepared:
     def item_raters(self) -> DataFrame:
         return self.rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("m"))
 
+    def stats(self, hot_bucket: int = HOT_BUCKET) -> dict:
+        """Scalars the plan depends on, computed in one job and remembered.
+
+        ``n_users``: users in the table; ``n_hot``: items with more than
+        ``hot_bucket`` similarity rows (nd != 0); ``partner_bound``: an upper
+        bound on any user's number of non-zero similarity partners -- a user
+        only shares items with the other raters of the items they rated, so
+        sum over their items of (raters - 1) bounds their pairs.
+        """
+        if self._stats is None:
+            rows = self.rows.select("user_id", "item_id", (F.col("nd") != 0).cast("int").alias("nz"))
+            items = rows.groupBy("item_id").agg(F.sum("nz").alias("m"))
+            per_user = (rows.join(items, "item_id")
+                        .groupBy("user_id").agg(F.sum(F.when(F.col("nz") == 1, F.col("m") - 1)).alias("b")))
+            user_side = per_user.agg(F.lit("users").alias("kind"), F.count(F.lit(1)).alias("a"),
+                                     F.coalesce(F.max("b"), F.lit(0)).cast("long").alias("b"))
+            item_side = items.agg(F.lit("items").alias("kind"),
+                                  F.sum((F.col("m") > hot_bucket).cast("long")).alias("a"),
+                                  F.lit(0).cast("long").alias("b"))
+            got = {r["kind"]: r for r in user_side.unionByName(item_side).collect()}
+            self._stats = {"n_users": int(got["users"]["a"]), "partner_bound": int(got["users"]["b"]),
+                           "n_hot": int(got["items"]["a"] or 0), "hot_bucket": hot_bucket}
+        return self._stats
+
+    def partner_bound(self) -> int:
+        return self.stats()["partner_bound"]
+
+    def n_users(self) -> int:
+        return self.stats()["n_users"]
+
 
 def prepare(ratings: DataFrame, cache: str = "persist", r_min: float = R_MIN, r_max: float = R_MAX) -> Prepared:
     return Prepared(ratings, r_min, r_max, cache)
@@ -109,7 +140,8 @@ def prepare(ratings: DataFrame, cache: str = "persist", r_min: float = R_MIN, r_
 
 def cosine_similarity(ratings: DataFrame | None = None, nd: DataFrame | None = None,
                       users: DataFrame | None = None, keep_zero: bool = False,
-                      cluster_by_user: bool = True, hot_bucket: int = HOT_BUCKET) -> DataFrame:
+                      cluster_by_user: bool = True, hot_bucket: int = HOT_BUCKET,
+                      n_hot: int | None = None) -> DataFrame:
     """(user_id, other_id, sim) over ordered pairs u != v sharing an item.
 
     ``sim`` is the dot product of normalised deviations, rounded to 10
@@ -125,14 +157,14 @@ def cosine_similarity(ratings: DataFrame | None = None, nd: DataFrame | None = N
         rows = rows.filter(F.col("nd") != 0)
     pairs = pair_aggregate(rows, ["nd"], {"p": F.col("a_nd") * F.col("b_nd")}, {"dot": F.sum("p")},
                            left_users=users, pair="ne", cluster_by_user=cluster_by_user,
-                           hot_bucket=hot_bucket)
+                           hot_bucket=hot_bucket, n_hot=None if keep_zero else n_hot)
     sims = pairs.select("user_id", "other_id", round_sim("dot").alias("sim"))
     return sims if keep_zero else sims.filter(F.col("sim") != 0)
 
 
 def self_cosine(nd: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """(user_id, other_id=user_id, sim): 1 for users with a non-zero norm, else 0."""
-    base = nd if users is None else nd.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    base = nd if users is None else nd.join(users.select("user_id"), "user_id", "left_semi")
     return (base.groupBy("user_id").agg(round_sim(F.sum(F.col("nd") * F.col("nd"))).alias("sim"))
             .select("user_id", F.col("user_id").alias("other_id"), "sim"))
 
@@ -152,7 +184,7 @@ def jaccard_similarity(ratings: DataFrame, users: DataFrame | None = None,
 def self_jaccard(ratings: DataFrame, users: DataFrame | None = None) -> DataFrame:
     base = ratings.select("user_id").distinct()
     if users is not None:
-        base = base.join(users.select("user_id").distinct(), "user_id", "left_semi")
+        base = base.join(users.select("user_id"), "user_id", "left_semi")
     return base.select("user_id", F.col("user_id").alias("other_id"), F.lit(1.0).alias("sim"))
 
 
