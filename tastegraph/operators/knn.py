@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import R_MAX, R_MIN, abs_error, round_out
-from ..session import scalar
+from ..session import materialize, scalar
 from .neighbours import rank_neighbours
 from .predict import (
     all_item_deviation,
@@ -60,6 +60,16 @@ def requested_users(model: Prepared, pairs: DataFrame) -> DataFrame | None:
     return F.broadcast(users) if n_req <= BROADCAST_USERS else users
 
 
+def _requested(pairs: DataFrame, cache: str) -> DataFrame:
+    """Materialise the requested pairs: they are read twice (user count, prediction).
+
+    This also keeps a constant user id (one user's candidate list) from being
+    folded into the join conditions, which would turn the equi-joins on
+    ``user_id`` into nested-loop products.
+    """
+    return materialize(pairs, cache) if cache != "none" else pairs
+
+
 def similarities(model: Prepared, train: DataFrame, users: DataFrame | None,
                  similarity: str = "cosine") -> DataFrame:
     """Stored non-zero pair similarities for the left ``users`` (all when None)."""
@@ -85,6 +95,7 @@ def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity
     Returns the pair columns plus ``avg_rating, dev_hat, prediction``.
     """
     model = prepare(train, cache, r_min, r_max)
+    pairs = _requested(pairs, cache)
     users = requested_users(model, pairs)
     global_avg = global_mean_value(train) if cold_user == "global_mean" else None
     pairs_avg = prepare_pairs(pairs, model.avg, cold_user, global_avg)
@@ -103,6 +114,7 @@ def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], simi
                           cache: str = "persist") -> DataFrame:
     """(k, user_id, item_id, rating, avg_rating, dev_hat, prediction) for every k, one pass."""
     model = prepare(train, cache)
+    test = _requested(test, cache)
     sims = similarities(model, train, requested_users(model, test), similarity)
     nb = rank_neighbours(sims, max(ks), _n_users(model, n_users), model.partner_bound())
     return predictions_for_ks(prepare_pairs(test, model.avg), nb, model.dev, list(ks), weighting,
@@ -117,6 +129,7 @@ def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str =
     Pairs with no weighted neighbour (0/0) are left out rather than set to 0.
     """
     model = prepare(train, cache)
+    pairs = _requested(pairs, cache)
     sims = similarities(model, train, requested_users(model, pairs), similarity)
     nb = rank_neighbours(sims, k, _n_users(model, n_users), model.partner_bound())
     wide = knn_item_deviation(pairs.select("user_id", "item_id"), nb, model.dev, [k], weighting,
