@@ -1,0 +1 @@
+"""Registered queries over the test tables and their SQL statements."""

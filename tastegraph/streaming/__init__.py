@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The engine this package re-expresses reads every input once as a bounded
+file; it has no watermark, window, state or late-data semantics, so nothing is
+provided here. Batch operators accept any DataFrame, including one built from
+``foreachBatch`` output.
+"""
