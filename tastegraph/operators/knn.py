@@ -53,11 +53,11 @@ def requested_users(model: Prepared, pairs: DataFrame) -> DataFrame | None:
     stop Spark from reusing one shuffle for both sides of the self-join, so
     it is dropped (extra pairs are discarded by the later join on user).
     """
-    users = pairs.select("user_id").distinct()
-    n_req = users.count()
-    if 2 * n_req > model.n_users():
+    stats = model.stats(pairs)
+    if 2 * stats["n_requested"] > stats["n_users"]:
         return None
-    return F.broadcast(users) if n_req <= BROADCAST_USERS else users
+    users = pairs.select("user_id").distinct()
+    return F.broadcast(users) if stats["n_requested"] <= BROADCAST_USERS else users
 
 
 def _requested(pairs: DataFrame, cache: str) -> DataFrame:
@@ -80,6 +80,16 @@ def similarities(model: Prepared, train: DataFrame, users: DataFrame | None,
     raise ValueError("similarity must be 'cosine' or 'jaccard'")
 
 
+def _route(model: Prepared, k: int) -> str:
+    """Which expansion paths can receive pairs: items with <= k raters go by item."""
+    st = model.stats()
+    if st["max_raters"] <= k:
+        return "item"
+    if st["min_raters"] > k:
+        return "user"
+    return "both"
+
+
 def _n_users(model: Prepared, n_users: int | None) -> int:
     return n_users if n_users is not None else model.n_users()
 
@@ -106,7 +116,8 @@ def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity
         wide = all_item_deviation(pairs_avg, sims_all, model.dev, weighting)
         return finish_prediction(wide, "num", "den", r_min, r_max).drop("num", "den")
     nb = rank_neighbours(sims, k, _n_users(model, n_users), model.partner_bound())
-    return predictions_for_ks(pairs_avg, nb, model.dev, [k], weighting, model.item_raters()).drop("k")
+    return predictions_for_ks(pairs_avg, nb, model.dev, [k], weighting, model.item_raters(),
+                              _route(model, k)).drop("k")
 
 
 def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], similarity: str = "cosine",
@@ -118,7 +129,7 @@ def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], simi
     sims = similarities(model, train, requested_users(model, test), similarity)
     nb = rank_neighbours(sims, max(ks), _n_users(model, n_users), model.partner_bound())
     return predictions_for_ks(prepare_pairs(test, model.avg), nb, model.dev, list(ks), weighting,
-                              model.item_raters())
+                              model.item_raters(), _route(model, max(ks)))
 
 
 def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str = "nonzero_dev",
@@ -133,7 +144,7 @@ def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str =
     sims = similarities(model, train, requested_users(model, pairs), similarity)
     nb = rank_neighbours(sims, k, _n_users(model, n_users), model.partner_bound())
     wide = knn_item_deviation(pairs.select("user_id", "item_id"), nb, model.dev, [k], weighting,
-                              model.item_raters())
+                              model.item_raters(), route=_route(model, k))
     return (wide.filter(F.col(f"den_{k}") > 0)
             .select("user_id", "item_id", (F.col(f"num_{k}") / F.col(f"den_{k}")).alias("dev_hat")))
 

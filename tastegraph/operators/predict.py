@@ -51,36 +51,40 @@ def _weight(weighting: str):
 
 def knn_item_deviation(pairs: DataFrame, neighbours: DataFrame, dev: DataFrame, ks: list[int],
                        weighting: str = "raters", item_raters: DataFrame | None = None,
-                       route_threshold: int | None = None) -> DataFrame:
+                       route: str = "both") -> DataFrame:
     """Per requested (user_id, item_id): ``num_<k>``/``den_<k>`` for each k in ``ks``.
 
     ``pairs`` carries any extra columns (rating, avg_rating...) which are kept.
     ``neighbours`` is (user_id, other_id, sim, eff_rank) with eff_rank <= max(ks).
 
     Each pair is expanded along the cheaper side: when its item has at most
-    ``route_threshold`` (default max(ks)) raters, through the item's raters
-    and a lookup of their rank for this user; otherwise through the user's
-    neighbours and a lookup of their deviation on this item. Either way a
-    pair costs at most min(raters of the item, k) rows. Without
-    ``item_raters`` every pair goes through the user's neighbours. Left joins
-    keep pairs that have no contribution at all (their sums are NULL).
+    max(ks) raters, through the item's raters and a lookup of their rank for
+    this user; otherwise through the user's neighbours and a lookup of their
+    deviation on this item. Either way a pair costs at most
+    min(raters of the item, k) rows. ``route`` ("item", "user" or "both")
+    says which of the two can receive pairs (known from the item rater
+    counts), so the plan holds only those. Without ``item_raters`` every pair
+    goes through the user's neighbours. Left joins keep pairs that have no
+    contribution at all (their sums are NULL).
     """
     extra = [c for c in pairs.columns if c not in ("user_id", "item_id")]
     nb = neighbours.select("user_id", "other_id", "sim", "eff_rank")
     d = dev.select(F.col("user_id").alias("other_id"), "item_id", "dev")
-    if item_raters is None:
-        rows = pairs.join(nb, "user_id", "left").join(d, ["other_id", "item_id"], "left")
+
+    def by_item(p):
+        return p.join(d, "item_id", "left").join(nb, ["user_id", "other_id"], "left")
+
+    def by_user(p):
+        return p.join(nb, "user_id", "left").join(d, ["other_id", "item_id"], "left")
+
+    if item_raters is None or route == "user":
+        rows = by_user(pairs)
+    elif route == "item":
+        rows = by_item(pairs)
     else:
-        threshold = route_threshold if route_threshold is not None else max(ks)
         routed = pairs.join(item_raters.select("item_id", "m"), "item_id", "left")
-        few = F.coalesce(F.col("m"), F.lit(0)) <= threshold
-        by_item = (routed.filter(few).drop("m")
-                   .join(d, "item_id", "left")
-                   .join(nb, ["user_id", "other_id"], "left"))
-        by_user = (routed.filter(~few).drop("m")
-                   .join(nb, "user_id", "left")
-                   .join(d, ["other_id", "item_id"], "left"))
-        rows = by_item.unionByName(by_user)
+        few = F.coalesce(F.col("m"), F.lit(0)) <= max(ks)
+        rows = by_item(routed.filter(few).drop("m")).unionByName(by_user(routed.filter(~few).drop("m")))
     counted = _weight(weighting)
     aggs = []
     for k in ks:
@@ -122,9 +126,10 @@ def prepare_pairs(pairs: DataFrame, user_avg: DataFrame, cold_user: str = "drop"
 
 
 def predictions_for_ks(pairs_avg: DataFrame, neighbours: DataFrame, dev: DataFrame, ks: list[int],
-                       weighting: str = "raters", item_raters: DataFrame | None = None) -> DataFrame:
+                       weighting: str = "raters", item_raters: DataFrame | None = None,
+                       route: str = "both") -> DataFrame:
     """Long form (k, user_id, item_id, ..., prediction) for each k of a sweep."""
-    wide = knn_item_deviation(pairs_avg, neighbours, dev, ks, weighting, item_raters)
+    wide = knn_item_deviation(pairs_avg, neighbours, dev, ks, weighting, item_raters, route)
     extra = [c for c in wide.columns if not (c.startswith("num_") or c.startswith("den_"))]
     per_k = F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.col(f"num_{k}").alias("num"), F.col(f"den_{k}").alias("den"))

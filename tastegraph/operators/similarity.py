@@ -103,28 +103,41 @@ class Prepared:
     def item_raters(self) -> DataFrame:
         return self.rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("m"))
 
-    def stats(self, hot_bucket: int = HOT_BUCKET) -> dict:
+    def stats(self, pairs: DataFrame | None = None, hot_bucket: int = HOT_BUCKET) -> dict:
         """Scalars the plan depends on, computed in one job and remembered.
 
         ``n_users``: users in the table; ``n_hot``: items with more than
         ``hot_bucket`` similarity rows (nd != 0); ``partner_bound``: an upper
         bound on any user's number of non-zero similarity partners -- a user
         only shares items with the other raters of the items they rated, so
-        sum over their items of (raters - 1) bounds their pairs.
+        sum over their items of (raters - 1) bounds their pairs;
+        ``min_raters``/``max_raters``: rating rows per item (for routing);
+        ``n_requested``: distinct users of ``pairs`` when given.
         """
-        if self._stats is None:
+        if self._stats is None or (pairs is not None and "n_requested" not in self._stats):
             rows = self.rows.select("user_id", "item_id", (F.col("nd") != 0).cast("int").alias("nz"))
-            items = rows.groupBy("item_id").agg(F.sum("nz").alias("m"))
-            per_user = (rows.join(items, "item_id")
+            items = rows.groupBy("item_id").agg(F.sum("nz").alias("m"), F.count(F.lit(1)).alias("raters"))
+            per_user = (rows.join(items.select("item_id", "m"), "item_id")
                         .groupBy("user_id").agg(F.sum(F.when(F.col("nz") == 1, F.col("m") - 1)).alias("b")))
-            user_side = per_user.agg(F.lit("users").alias("kind"), F.count(F.lit(1)).alias("a"),
-                                     F.coalesce(F.max("b"), F.lit(0)).cast("long").alias("b"))
-            item_side = items.agg(F.lit("items").alias("kind"),
-                                  F.sum((F.col("m") > hot_bucket).cast("long")).alias("a"),
-                                  F.lit(0).cast("long").alias("b"))
-            got = {r["kind"]: r for r in user_side.unionByName(item_side).collect()}
+            parts = [
+                per_user.agg(F.lit("users").alias("kind"), F.count(F.lit(1)).alias("a"),
+                             F.coalesce(F.max("b"), F.lit(0)).cast("long").alias("b")),
+                items.agg(F.lit("items").alias("kind"), F.sum((F.col("m") > hot_bucket).cast("long")).alias("a"),
+                          F.lit(0).cast("long").alias("b")),
+                items.agg(F.lit("raters").alias("kind"), F.min("raters").alias("a"), F.max("raters").alias("b")),
+            ]
+            if pairs is not None:
+                parts.append(pairs.agg(F.lit("requested").alias("kind"), F.countDistinct("user_id").alias("a"),
+                                       F.lit(0).cast("long").alias("b")))
+            union = parts[0]
+            for part in parts[1:]:
+                union = union.unionByName(part)
+            got = {r["kind"]: r for r in union.collect()}
             self._stats = {"n_users": int(got["users"]["a"]), "partner_bound": int(got["users"]["b"]),
-                           "n_hot": int(got["items"]["a"] or 0), "hot_bucket": hot_bucket}
+                           "n_hot": int(got["items"]["a"] or 0), "hot_bucket": hot_bucket,
+                           "min_raters": int(got["raters"]["a"] or 0), "max_raters": int(got["raters"]["b"] or 0)}
+            if pairs is not None:
+                self._stats["n_requested"] = int(got["requested"]["a"])
         return self._stats
 
     def partner_bound(self) -> int:

@@ -17,6 +17,7 @@ from ..functions import round_out
 from ..operators import knn as K
 from ..operators import similarity as S
 from ..operators import stats as ST
+from ..session import materialize
 from ..sources import ratings as R
 from ..sources import sinks
 
@@ -31,11 +32,13 @@ TOP_N = 5
 
 
 def _ratings(spark, sf):
-    return R.ratings_from_tables(spark, sf)
+    # the derived table is read by several jobs of one query (model statistics,
+    # requested-user count, the main job), so it is materialised once
+    return materialize(R.ratings_from_tables(spark, sf), "persist")
 
 
 def _tt(spark, sf):
-    return R.train_test(spark, sf)
+    return R.holdout_split(_ratings(spark, sf))
 
 
 def q_scan_ratings(spark, sf):
