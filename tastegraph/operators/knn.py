@@ -28,8 +28,6 @@ from .similarity import (
     global_average,
     jaccard_similarity,
     prepare,
-    self_cosine,
-    self_jaccard,
 )
 
 
@@ -71,12 +69,19 @@ def _requested(pairs: DataFrame, cache: str) -> DataFrame:
 
 
 def similarities(model: Prepared, train: DataFrame, users: DataFrame | None,
-                 similarity: str = "cosine") -> DataFrame:
-    """Stored non-zero pair similarities for the left ``users`` (all when None)."""
+                 similarity: str = "cosine", for_ranking: bool = True) -> DataFrame:
+    """Stored non-zero pair similarities for the left ``users`` (all when None).
+
+    ``for_ranking``: other users only, shuffled by user for the ranking window.
+    Otherwise self pairs are included and the table stays partitioned by
+    (user_id, other_id) for the pair join of the all-neighbour prediction.
+    """
     if similarity == "cosine":
-        return cosine_similarity(nd=model.nd, users=users, n_hot=model.stats()["n_hot"])
+        return cosine_similarity(nd=model.nd, users=users, n_hot=model.stats()["n_hot"],
+                                 cluster_by_user=for_ranking, include_self=not for_ranking)
     if similarity == "jaccard":
-        return jaccard_similarity(train, users=users).filter(F.col("sim") != 0)
+        return jaccard_similarity(train, users=users, cluster_by_user=for_ranking,
+                                  include_self=not for_ranking).filter(F.col("sim") != 0)
     raise ValueError("similarity must be 'cosine' or 'jaccard'")
 
 
@@ -96,7 +101,7 @@ def _n_users(model: Prepared, n_users: int | None) -> int:
 
 def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity: str = "cosine",
             weighting: str = "raters", cold_user: str = "drop", n_users: int | None = None,
-            r_min: float = R_MIN, r_max: float = R_MAX, cache: str = "persist") -> DataFrame:
+            r_min: float = R_MIN, r_max: float = R_MAX, cache: str = "auto") -> DataFrame:
     """Predict a rating for every requested (user_id, item_id[, rating]) pair.
 
     ``k=None`` weights every rater of the item (the user itself included);
@@ -109,12 +114,11 @@ def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity
     users = requested_users(model, pairs)
     global_avg = global_mean_value(train) if cold_user == "global_mean" else None
     pairs_avg = prepare_pairs(pairs, model.avg, cold_user, global_avg)
-    sims = similarities(model, train, users, similarity)
     if k is None:
-        selfs = self_cosine(model.nd, users) if similarity == "cosine" else self_jaccard(train, users)
-        sims_all = sims.unionByName(selfs.filter(F.col("sim") != 0))
+        sims_all = similarities(model, train, users, similarity, for_ranking=False)
         wide = all_item_deviation(pairs_avg, sims_all, model.dev, weighting)
         return finish_prediction(wide, "num", "den", r_min, r_max).drop("num", "den")
+    sims = similarities(model, train, users, similarity)
     nb = rank_neighbours(sims, k, _n_users(model, n_users), model.partner_bound())
     return predictions_for_ks(pairs_avg, nb, model.dev, [k], weighting, model.item_raters(),
                               _route(model, k)).drop("k")
@@ -122,7 +126,7 @@ def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity
 
 def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], similarity: str = "cosine",
                           weighting: str = "raters", n_users: int | None = None,
-                          cache: str = "persist") -> DataFrame:
+                          cache: str = "auto") -> DataFrame:
     """(k, user_id, item_id, rating, avg_rating, dev_hat, prediction) for every k, one pass."""
     model = prepare(train, cache)
     test = _requested(test, cache)
@@ -134,7 +138,7 @@ def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], simi
 
 def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str = "nonzero_dev",
                    similarity: str = "cosine", n_users: int | None = None,
-                   cache: str = "persist") -> DataFrame:
+                   cache: str = "auto") -> DataFrame:
     """(user_id, item_id, dev_hat) for requested pairs where the weighted mean is defined.
 
     Pairs with no weighted neighbour (0/0) are left out rather than set to 0.
@@ -150,7 +154,7 @@ def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str =
 
 
 def neighbours_table(train: DataFrame, k: int, similarity: str = "cosine", n_users: int | None = None,
-                     cache: str = "persist") -> DataFrame:
+                     cache: str = "auto") -> DataFrame:
     """(user_id, other_id, sim, rank): the k-NN graph of every training user."""
     model = prepare(train, cache)
     nb = rank_neighbours(similarities(model, train, None, similarity), k, _n_users(model, n_users),

@@ -78,11 +78,12 @@ class Prepared:
 
     The per-rating table feeds the hot-item check, both sides of the pair
     self-join and the deviation lookups of the prediction, so it is
-    materialised once (``cache``: "persist", "checkpoint" or "none").
+    materialised once (``cache``: "auto", "persist", "checkpoint" or "none";
+    see ``session.materialize``).
     """
 
     def __init__(self, ratings: DataFrame, r_min: float = R_MIN, r_max: float = R_MAX,
-                 cache: str = "persist"):
+                 cache: str = "auto"):
         self.avg = user_averages(ratings)
         dev = deviations(ratings, self.avg, r_min, r_max)
         sq = dev.groupBy("user_id").agg(F.sum(F.col("dev") * F.col("dev")).alias("sq"))
@@ -147,14 +148,14 @@ class Prepared:
         return self.stats()["n_users"]
 
 
-def prepare(ratings: DataFrame, cache: str = "persist", r_min: float = R_MIN, r_max: float = R_MAX) -> Prepared:
+def prepare(ratings: DataFrame, cache: str = "auto", r_min: float = R_MIN, r_max: float = R_MAX) -> Prepared:
     return Prepared(ratings, r_min, r_max, cache)
 
 
 def cosine_similarity(ratings: DataFrame | None = None, nd: DataFrame | None = None,
                       users: DataFrame | None = None, keep_zero: bool = False,
                       cluster_by_user: bool = True, hot_bucket: int = HOT_BUCKET,
-                      n_hot: int | None = None) -> DataFrame:
+                      n_hot: int | None = None, include_self: bool = False) -> DataFrame:
     """(user_id, other_id, sim) over ordered pairs u != v sharing an item.
 
     ``sim`` is the dot product of normalised deviations, rounded to 10
@@ -162,6 +163,9 @@ def cosine_similarity(ratings: DataFrame | None = None, nd: DataFrame | None = N
     With ``keep_zero=False`` rows with nd = 0 are left out of the join (they
     add 0 to every dot product) and pairs with sim = 0 are dropped: what
     remains is exactly the set of pairs that can carry weight.
+    ``include_self`` adds (u, u) pairs: 1 for users with a non-zero norm.
+    ``cluster_by_user=False`` leaves the result hash-partitioned by
+    (user_id, other_id), ready for a join on the pair.
     """
     if nd is None:
         nd = preprocess(ratings)[2]
@@ -169,7 +173,8 @@ def cosine_similarity(ratings: DataFrame | None = None, nd: DataFrame | None = N
     if not keep_zero:
         rows = rows.filter(F.col("nd") != 0)
     pairs = pair_aggregate(rows, ["nd"], {"p": F.col("a_nd") * F.col("b_nd")}, {"dot": F.sum("p")},
-                           left_users=users, pair="ne", cluster_by_user=cluster_by_user,
+                           left_users=users, pair="all" if include_self else "ne",
+                           cluster_by_user=cluster_by_user,
                            hot_bucket=hot_bucket, n_hot=None if keep_zero else n_hot)
     sims = pairs.select("user_id", "other_id", round_sim("dot").alias("sim"))
     return sims if keep_zero else sims.filter(F.col("sim") != 0)
@@ -183,13 +188,18 @@ def self_cosine(nd: DataFrame, users: DataFrame | None = None) -> DataFrame:
 
 
 def jaccard_similarity(ratings: DataFrame, users: DataFrame | None = None,
-                       cluster_by_user: bool = True, hot_bucket: int = HOT_BUCKET) -> DataFrame:
-    """(user_id, other_id, sim) = |A n B| / |A u B| for ordered pairs u != v sharing an item."""
+                       cluster_by_user: bool = True, hot_bucket: int = HOT_BUCKET,
+                       include_self: bool = False) -> DataFrame:
+    """(user_id, other_id, sim) = |A n B| / |A u B| for ordered pairs u != v sharing an item.
+
+    ``include_self`` adds (u, u) pairs, whose similarity is 1.
+    """
     counts = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     rows = ratings.select("user_id", "item_id").join(counts, "user_id")
     pairs = pair_aggregate(rows, ["n"], {"n_a": F.col("a_n"), "n_b": F.col("b_n")},
                            {"n_co": F.count(F.lit(1)), "n_a": F.max("n_a"), "n_b": F.max("n_b")},
-                           left_users=users, pair="ne", cluster_by_user=cluster_by_user,
+                           left_users=users, pair="all" if include_self else "ne",
+                           cluster_by_user=cluster_by_user,
                            hot_bucket=hot_bucket)
     return pairs.select("user_id", "other_id", round_sim(jaccard("n_co", "n_a", "n_b")).alias("sim"))
 

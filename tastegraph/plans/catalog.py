@@ -34,7 +34,7 @@ TOP_N = 5
 def _ratings(spark, sf):
     # the derived table is read by several jobs of one query (model statistics,
     # requested-user count, the main job), so it is materialised once
-    return materialize(R.ratings_from_tables(spark, sf), "persist")
+    return materialize(R.ratings_from_tables(spark, sf), "auto")
 
 
 def _tt(spark, sf):

@@ -72,15 +72,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
-    """Cut lineage of an expensive intermediate that is reused downstream.
-
-    ``checkpoint`` writes to the shared checkpoint folder (survives executor
-    loss, and Spark keeps the output partitioning so later window/aggregate
-    steps on the same key do not reshuffle). ``persist`` keeps it in executor
-    memory/disk and recomputes lost blocks from lineage. ``none`` returns the
-    plan unchanged (Catalyst may then fuse it into the consumer).
+def on_cluster(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master or ""
+    return not master.startswith("local")
+
+
+def materialize(df: DataFrame, mode: str = "auto") -> DataFrame:
+    """Materialise an expensive intermediate that is reused downstream.
+
+    ``checkpoint`` writes to the shared checkpoint folder named by
+    ``spark.checkpoint.dir`` and cuts the lineage, so a lost executor costs a
+    re-read of the written table, not a re-run of the scans and shuffles that
+    produced it. ``persist`` keeps it in executor memory/disk and recomputes
+    lost blocks from lineage. ``auto`` checkpoints on a cluster whose session
+    names a checkpoint folder and persists otherwise (local runs, tests).
+    ``none`` returns the plan unchanged.
     """
+    if mode == "auto":
+        spark = df.sparkSession
+        named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+        mode = "checkpoint" if on_cluster(spark) and named else "persist"
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
