@@ -41,6 +41,10 @@ def global_mean_value(ratings: DataFrame) -> float:
 
 # A requested-user list is broadcast to the self-join only up to this many users.
 BROADCAST_USERS = 1_000_000
+# Pairs of one user that one ranking task may hold. Above it (a user who
+# shares items with millions of others) pairs are aggregated per (user, other)
+# and a partial top-k per user runs before the shuffle by user.
+PARTNERS_PER_TASK = 5_000_000
 
 
 def requested_users(model: Prepared, pairs: DataFrame) -> DataFrame | None:
@@ -72,15 +76,18 @@ def similarities(model: Prepared, train: DataFrame, users: DataFrame | None,
                  similarity: str = "cosine", for_ranking: bool = True) -> DataFrame:
     """Stored non-zero pair similarities for the left ``users`` (all when None).
 
-    ``for_ranking``: other users only, shuffled by user for the ranking window.
-    Otherwise self pairs are included and the table stays partitioned by
-    (user_id, other_id) for the pair join of the all-neighbour prediction.
+    ``for_ranking``: other users only, shuffled by user for the ranking window
+    when every user's partners fit one task (``partner_bound``), otherwise
+    aggregated per pair so the top-k is cut per partition before the shuffle
+    by user. Without ``for_ranking`` self pairs are included and the table
+    stays partitioned by (user_id, other_id) for the all-neighbour pair join.
     """
+    by_user = for_ranking and model.partner_bound() <= PARTNERS_PER_TASK
     if similarity == "cosine":
         return cosine_similarity(nd=model.nd, users=users, n_hot=model.stats()["n_hot"],
-                                 cluster_by_user=for_ranking, include_self=not for_ranking)
+                                 cluster_by_user=by_user, include_self=not for_ranking)
     if similarity == "jaccard":
-        return jaccard_similarity(train, users=users, cluster_by_user=for_ranking,
+        return jaccard_similarity(train, users=users, cluster_by_user=by_user,
                                   include_self=not for_ranking).filter(F.col("sim") != 0)
     raise ValueError("similarity must be 'cosine' or 'jaccard'")
 

@@ -36,3 +36,16 @@ def test_salted_restricted_users(spark):
     assert plain.select("user_id").distinct().count() <= 7
     assert _rows(plain) == _rows(salted)
     assert plain.filter(F.col("user_id") == F.col("other_id")).count() == 0
+
+
+def test_two_phase_ranking_matches(spark, monkeypatch):
+    """Pair-partitioned aggregation + partial top-k gives the same neighbours."""
+    from tastegraph.operators import knn as K
+
+    train, test = R.train_test(spark, SF001)
+    one = K.mae(K.predict(train, test, k=30)).first().mae
+    monkeypatch.setattr(K, "PARTNERS_PER_TASK", 0)
+    plan = K.neighbours_table(train, 10)._jdf.queryExecution().executedPlan().toString()
+    two = K.mae(K.predict(train, test, k=30)).first().mae
+    assert one == two
+    assert "WindowGroupLimit" in plan
