@@ -47,19 +47,37 @@ BROADCAST_USERS = 1_000_000
 PARTNERS_PER_TASK = 5_000_000
 
 
-def requested_users(model: Prepared, pairs: DataFrame) -> DataFrame | None:
-    """Distinct users of ``pairs`` to restrict the self-join to, or None.
-
-    The restriction pays when few users are asked about (one user's
-    recommendations); when most users are, it would only cost a join and
-    stop Spark from reusing one shuffle for both sides of the self-join, so
-    it is dropped (extra pairs are discarded by the later join on user).
+class Focus:
+    """The part of the training table a request needs, decided before modelling.
+
+    When fewer than half the users are asked about (one user's
+    recommendations), only users who share an item with a requested user can
+    be partners, and every per-user quantity (mean, deviations, norm) depends
+    only on that user's own ratings. The model is then built on that
+    neighbourhood alone (two semi-joins) and the self-join is restricted to
+    the requested users on its left side (broadcast below ``BROADCAST_USERS``).
+    Otherwise the whole table is modelled and no restriction is applied: it
+    would only cost joins and stop Spark from reusing one shuffle for both
+    sides of the self-join. ``n_users`` is always the whole population.
     """
-    stats = model.stats(pairs)
-    if 2 * stats["n_requested"] > stats["n_users"]:
-        return None
-    users = pairs.select("user_id").distinct()
-    return F.broadcast(users) if stats["n_requested"] <= BROADCAST_USERS else users
+
+    def __init__(self, train: DataFrame, pairs: DataFrame, cache: str = "auto",
+                 r_min: float = R_MIN, r_max: float = R_MAX, n_users: int | None = None):
+        self.pairs = _requested(pairs, cache)
+        counts = (train.agg(F.lit("train").alias("kind"), F.countDistinct("user_id").alias("n"))
+                  .unionByName(self.pairs.agg(F.lit("pairs").alias("kind"), F.countDistinct("user_id").alias("n"))))
+        got = {r["kind"]: int(r["n"]) for r in counts.collect()}
+        self.n_users = n_users if n_users is not None else got["train"]
+        if 2 * got["pairs"] > got["train"]:
+            self.users = None
+            self.train = train
+        else:
+            users = self.pairs.select("user_id").distinct()
+            self.users = F.broadcast(users) if got["pairs"] <= BROADCAST_USERS else users
+            items = train.join(self.users, "user_id", "left_semi").select("item_id").distinct()
+            near = train.join(items, "item_id", "left_semi").select("user_id").distinct()
+            self.train = train.join(near, "user_id", "left_semi")
+        self.model = prepare(self.train, cache, r_min, r_max)
 
 
 def _requested(pairs: DataFrame, cache: str) -> DataFrame:
@@ -116,17 +134,16 @@ def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity
     user population the ranking runs over (default: distinct train users).
     Returns the pair columns plus ``avg_rating, dev_hat, prediction``.
     """
-    model = prepare(train, cache, r_min, r_max)
-    pairs = _requested(pairs, cache)
-    users = requested_users(model, pairs)
+    f = Focus(train, pairs, cache, r_min, r_max, n_users)
+    model, users = f.model, f.users
     global_avg = global_mean_value(train) if cold_user == "global_mean" else None
-    pairs_avg = prepare_pairs(pairs, model.avg, cold_user, global_avg)
+    pairs_avg = prepare_pairs(f.pairs, model.avg, cold_user, global_avg)
     if k is None:
-        sims_all = similarities(model, train, users, similarity, for_ranking=False)
+        sims_all = similarities(model, f.train, users, similarity, for_ranking=False)
         wide = all_item_deviation(pairs_avg, sims_all, model.dev, weighting)
         return finish_prediction(wide, "num", "den", r_min, r_max).drop("num", "den")
-    sims = similarities(model, train, users, similarity)
-    nb = rank_neighbours(sims, k, _n_users(model, n_users), model.partner_bound())
+    sims = similarities(model, f.train, users, similarity)
+    nb = rank_neighbours(sims, k, f.n_users, model.partner_bound())
     return predictions_for_ks(pairs_avg, nb, model.dev, [k], weighting, model.item_raters(),
                               _route(model, k)).drop("k")
 
@@ -135,11 +152,11 @@ def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], simi
                           weighting: str = "raters", n_users: int | None = None,
                           cache: str = "auto") -> DataFrame:
     """(k, user_id, item_id, rating, avg_rating, dev_hat, prediction) for every k, one pass."""
-    model = prepare(train, cache)
-    test = _requested(test, cache)
-    sims = similarities(model, train, requested_users(model, test), similarity)
-    nb = rank_neighbours(sims, max(ks), _n_users(model, n_users), model.partner_bound())
-    return predictions_for_ks(prepare_pairs(test, model.avg), nb, model.dev, list(ks), weighting,
+    f = Focus(train, test, cache, n_users=n_users)
+    model = f.model
+    sims = similarities(model, f.train, f.users, similarity)
+    nb = rank_neighbours(sims, max(ks), f.n_users, model.partner_bound())
+    return predictions_for_ks(prepare_pairs(f.pairs, model.avg), nb, model.dev, list(ks), weighting,
                               model.item_raters(), _route(model, max(ks)))
 
 
@@ -150,11 +167,11 @@ def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str =
 
     Pairs with no weighted neighbour (0/0) are left out rather than set to 0.
     """
-    model = prepare(train, cache)
-    pairs = _requested(pairs, cache)
-    sims = similarities(model, train, requested_users(model, pairs), similarity)
-    nb = rank_neighbours(sims, k, _n_users(model, n_users), model.partner_bound())
-    wide = knn_item_deviation(pairs.select("user_id", "item_id"), nb, model.dev, [k], weighting,
+    f = Focus(train, pairs, cache, n_users=n_users)
+    model = f.model
+    sims = similarities(model, f.train, f.users, similarity)
+    nb = rank_neighbours(sims, k, f.n_users, model.partner_bound())
+    wide = knn_item_deviation(f.pairs.select("user_id", "item_id"), nb, model.dev, [k], weighting,
                               model.item_raters(), route=_route(model, k))
     return (wide.filter(F.col(f"den_{k}") > 0)
             .select("user_id", "item_id", (F.col(f"num_{k}") / F.col(f"den_{k}")).alias("dev_hat")))
