@@ -51,41 +51,45 @@ class Focus:
     """The part of the training table a request needs, decided before modelling.
 
     When fewer than half the users are asked about (one user's
-    recommendations), only users who share an item with a requested user can
-    be partners, and every per-user quantity (mean, deviations, norm) depends
-    only on that user's own ratings. The model is then built on that
-    neighbourhood alone (two semi-joins) and the self-join is restricted to
-    the requested users on its left side (broadcast below ``BROADCAST_USERS``).
-    Otherwise the whole table is modelled and no restriction is applied: it
-    would only cost joins and stop Spark from reusing one shuffle for both
-    sides of the self-join. ``n_users`` is always the whole population.
+    recommendations), the self-join is restricted to the requested users on
+    its left side (broadcast below ``BROADCAST_USERS``). Only users who share
+    an item with a requested user can then be partners, and every per-user
+    quantity (mean, deviations, norm) depends only on that user's own ratings,
+    so when that neighbourhood is under half the population the model is
+    built on it alone (two semi-joins). Otherwise the whole table is modelled
+    and no restriction is applied: it would only cost joins and stop Spark
+    from reusing one shuffle for both sides of the self-join. ``n_users`` is
+    always the whole population.
     """
 
     def __init__(self, train: DataFrame, pairs: DataFrame, cache: str = "auto",
                  r_min: float = R_MIN, r_max: float = R_MAX, n_users: int | None = None):
         self.pairs = _requested(pairs, cache)
+        # the input is read by the counts job, the focusing joins and the model
+        train = _requested(train, cache)
         counts = (train.agg(F.lit("train").alias("kind"), F.countDistinct("user_id").alias("n"))
                   .unionByName(self.pairs.agg(F.lit("pairs").alias("kind"), F.countDistinct("user_id").alias("n"))))
         got = {r["kind"]: int(r["n"]) for r in counts.collect()}
         self.n_users = n_users if n_users is not None else got["train"]
-        if 2 * got["pairs"] > got["train"]:
-            self.users = None
-            self.train = train
-        else:
+        self.users, self.train = None, train
+        if 2 * got["pairs"] <= got["train"]:
             users = self.pairs.select("user_id").distinct()
-            self.users = F.broadcast(users) if got["pairs"] <= BROADCAST_USERS else users
-            items = train.join(self.users, "user_id", "left_semi").select("item_id").distinct()
+            users = F.broadcast(users) if got["pairs"] <= BROADCAST_USERS else users
+            self.users = users
+            items = train.join(users, "user_id", "left_semi").select("item_id").distinct()
             near = train.join(items, "item_id", "left_semi").select("user_id").distinct()
-            self.train = train.join(near, "user_id", "left_semi")
+            # model only the neighbourhood when it is a small part of the population
+            if 2 * near.count() <= got["train"]:
+                self.train = materialize(train.join(near, "user_id", "left_semi"), cache)
         self.model = prepare(self.train, cache, r_min, r_max)
 
 
 def _requested(pairs: DataFrame, cache: str) -> DataFrame:
-    """Materialise the requested pairs: they are read twice (user count, prediction).
+    """Materialise an input that several jobs read (user count, focusing, prediction).
 
-    This also keeps a constant user id (one user's candidate list) from being
-    folded into the join conditions, which would turn the equi-joins on
-    ``user_id`` into nested-loop products.
+    This also keeps a constant user id (one user's candidate list or rated
+    rows) from being folded into the join conditions, which would turn the
+    equi-joins on ``user_id`` into nested-loop products.
     """
     return materialize(pairs, cache) if cache != "none" else pairs
 

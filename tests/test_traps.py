@@ -93,3 +93,26 @@ def test_absent_pairs_count_as_zero(spark):
     df = pairs_df(spark, [(1, 1, 5), (2, 2, 3)])
     row = corated_stats(df).first()
     assert row.n_pairs == 3 and row.min_co == 0 and row.max_co == 1
+
+
+def test_focused_request_matches_full_model(spark):
+    """One user's request (neighbourhood-only model) equals the same pair in a full request."""
+    import random
+
+    rnd = random.Random(3)
+    rows = {}
+    for u in range(1, 6):                      # community A: items 1..6
+        rows[u] = {i: float(rnd.randint(1, 5)) for i in range(1, 7) if rnd.random() < 0.8}
+    for u in range(10, 30):                    # community B: items 100..110
+        rows[u] = {i: float(rnd.randint(1, 5)) for i in range(100, 111) if rnd.random() < 0.7}
+    rows[1].pop(6, None)
+    train = ratings_df(spark, rows)
+    single = pairs_df(spark, [(1, 6, 4.0)])
+    everyone = pairs_df(spark, [(u, 6, 4.0) for u in range(1, 6)] + [(u, 100, 3.0) for u in range(10, 30)])
+    for k in (1, 3, None):
+        a = K.predict(train, single, k=k).collect()[0].prediction
+        b = K.predict(train, everyone, k=k).filter("user_id = 1").collect()[0].prediction
+        assert a == pytest.approx(b, abs=1e-12)
+    f = K.Focus(train, single)
+    assert f.users is not None and f.train.select("user_id").distinct().count() == 5
+    assert f.n_users == 25
