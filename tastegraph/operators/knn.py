@@ -62,17 +62,19 @@ class Focus:
     always the whole population.
     """
 
-    def __init__(self, train: DataFrame, pairs: DataFrame, cache: str = "auto",
+    def __init__(self, train: DataFrame, pairs: DataFrame | None, cache: str = "auto",
                  r_min: float = R_MIN, r_max: float = R_MAX, n_users: int | None = None):
-        self.pairs = _requested(pairs, cache)
+        self.pairs = _requested(pairs, cache) if pairs is not None else None
         # the input is read by the counts job, the focusing joins and the model
         train = _requested(train, cache)
-        counts = (train.agg(F.lit("train").alias("kind"), F.countDistinct("user_id").alias("n"))
-                  .unionByName(self.pairs.agg(F.lit("pairs").alias("kind"), F.countDistinct("user_id").alias("n"))))
-        got = {r["kind"]: int(r["n"]) for r in counts.collect()}
+        counts = train.agg(F.lit("train").alias("kind"), F.countDistinct("user_id").alias("n"))
+        if self.pairs is not None:
+            counts = counts.unionByName(self.pairs.agg(F.lit("pairs").alias("kind"),
+                                                       F.countDistinct("user_id").alias("n")))
+        got = {r["kind"]: int(r["n"] or 0) for r in counts.collect()}
         self.n_users = n_users if n_users is not None else got["train"]
         self.users, self.train = None, train
-        if 2 * got["pairs"] <= got["train"]:
+        if self.pairs is not None and 2 * got["pairs"] <= got["train"]:
             users = self.pairs.select("user_id").distinct()
             users = F.broadcast(users) if got["pairs"] <= BROADCAST_USERS else users
             self.users = users
@@ -109,7 +111,8 @@ def similarities(model: Prepared, train: DataFrame, users: DataFrame | None,
         return cosine_similarity(nd=model.nd, users=users, n_hot=model.stats()["n_hot"],
                                  cluster_by_user=by_user, include_self=not for_ranking)
     if similarity == "jaccard":
-        return jaccard_similarity(train, users=users, cluster_by_user=by_user,
+        rows = model.rows.select("user_id", "item_id", F.col("n_u").alias("n"))
+        return jaccard_similarity(rows=rows, users=users, cluster_by_user=by_user, n_hot=model.stats()["n_hot_all"],
                                   include_self=not for_ranking).filter(F.col("sim") != 0)
     raise ValueError("similarity must be 'cosine' or 'jaccard'")
 
@@ -124,10 +127,6 @@ def _route(model: Prepared, k: int) -> str:
     return "both"
 
 
-def _n_users(model: Prepared, n_users: int | None) -> int:
-    return n_users if n_users is not None else model.n_users()
-
-
 def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity: str = "cosine",
             weighting: str = "raters", cold_user: str = "drop", n_users: int | None = None,
             r_min: float = R_MIN, r_max: float = R_MAX, cache: str = "auto") -> DataFrame:
@@ -184,9 +183,9 @@ def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str =
 def neighbours_table(train: DataFrame, k: int, similarity: str = "cosine", n_users: int | None = None,
                      cache: str = "auto") -> DataFrame:
     """(user_id, other_id, sim, rank): the k-NN graph of every training user."""
-    model = prepare(train, cache)
-    nb = rank_neighbours(similarities(model, train, None, similarity), k, _n_users(model, n_users),
-                         model.partner_bound())
+    f = Focus(train, None, cache, n_users=n_users)
+    model = f.model
+    nb = rank_neighbours(similarities(model, f.train, None, similarity), k, f.n_users, model.partner_bound())
     return nb.select("user_id", "other_id", "sim", F.col("eff_rank").cast("long").alias("rank"))
 
 

@@ -74,22 +74,33 @@ def preprocess(ratings: DataFrame, r_min: float = R_MIN, r_max: float = R_MAX):
 
 
 class Prepared:
-    """User averages plus one per-rating table ``(user_id, item_id, dev, nd)``.
+    """User averages plus one per-rating table ``(user_id, item_id, dev, nd, n_u)``.
 
-    The per-rating table feeds the hot-item check, both sides of the pair
+    The per-rating table feeds the statistics job, both sides of the pair
     self-join and the deviation lookups of the prediction, so it is
     materialised once (``cache``: "auto", "persist", "checkpoint" or "none";
-    see ``session.materialize``).
+    see ``session.materialize``). ``n_u`` is the user's number of ratings.
+
+    ``by_item`` stores the table hash-partitioned by ``item_id``: the item
+    self-join then reads both sides without an exchange. It is off by
+    default: measured on local[8] it was slower at every step, it keeps AQE
+    from splitting skewed self-join partitions, and a hot item would put all
+    its rows in one partition.
     """
 
     def __init__(self, ratings: DataFrame, r_min: float = R_MIN, r_max: float = R_MAX,
-                 cache: str = "auto"):
+                 cache: str = "auto", by_item: bool = False):
         self.avg = user_averages(ratings)
         dev = deviations(ratings, self.avg, r_min, r_max)
-        sq = dev.groupBy("user_id").agg(F.sum(F.col("dev") * F.col("dev")).alias("sq"))
-        table = (dev.select("user_id", "item_id", "dev").join(sq, "user_id")
+        per_user = dev.groupBy("user_id").agg(F.sum(F.col("dev") * F.col("dev")).alias("sq"),
+                                              F.count(F.lit(1)).alias("n_u"))
+        table = (dev.select("user_id", "item_id", "dev").join(per_user, "user_id")
                  .select("user_id", "item_id", "dev",
-                         F.when(F.col("sq") > 0, F.col("dev") / F.sqrt("sq")).otherwise(F.lit(0.0)).alias("nd")))
+                         F.when(F.col("sq") > 0, F.col("dev") / F.sqrt("sq")).otherwise(F.lit(0.0)).alias("nd"),
+                         "n_u"))
+        if by_item:
+            table = table.repartition("item_id")
+        self.by_item = by_item
         self.rows = materialize(table, cache)
         self._stats = None
 
@@ -108,7 +119,8 @@ class Prepared:
         """Scalars the plan depends on, computed in one job and remembered.
 
         ``n_users``: users in the table; ``n_hot``: items with more than
-        ``hot_bucket`` similarity rows (nd != 0); ``partner_bound``: an upper
+        ``hot_bucket`` similarity rows (nd != 0), ``n_hot_all`` with more than
+        ``hot_bucket`` rating rows; ``partner_bound``: an upper
         bound on any user's number of non-zero similarity partners -- a user
         only shares items with the other raters of the items they rated, so
         sum over their items of (raters - 1) bounds their pairs;
@@ -124,7 +136,7 @@ class Prepared:
                 per_user.agg(F.lit("users").alias("kind"), F.count(F.lit(1)).alias("a"),
                              F.coalesce(F.max("b"), F.lit(0)).cast("long").alias("b")),
                 items.agg(F.lit("items").alias("kind"), F.sum((F.col("m") > hot_bucket).cast("long")).alias("a"),
-                          F.lit(0).cast("long").alias("b")),
+                          F.sum((F.col("raters") > hot_bucket).cast("long")).alias("b")),
                 items.agg(F.lit("raters").alias("kind"), F.min("raters").alias("a"), F.max("raters").alias("b")),
             ]
             if pairs is not None:
@@ -135,7 +147,8 @@ class Prepared:
                 union = union.unionByName(part)
             got = {r["kind"]: r for r in union.collect()}
             self._stats = {"n_users": int(got["users"]["a"]), "partner_bound": int(got["users"]["b"]),
-                           "n_hot": int(got["items"]["a"] or 0), "hot_bucket": hot_bucket,
+                           "n_hot": int(got["items"]["a"] or 0), "n_hot_all": int(got["items"]["b"] or 0),
+                           "hot_bucket": hot_bucket,
                            "min_raters": int(got["raters"]["a"] or 0), "max_raters": int(got["raters"]["b"] or 0)}
             if pairs is not None:
                 self._stats["n_requested"] = int(got["requested"]["a"])
@@ -148,8 +161,9 @@ class Prepared:
         return self.stats()["n_users"]
 
 
-def prepare(ratings: DataFrame, cache: str = "auto", r_min: float = R_MIN, r_max: float = R_MAX) -> Prepared:
-    return Prepared(ratings, r_min, r_max, cache)
+def prepare(ratings: DataFrame, cache: str = "auto", r_min: float = R_MIN, r_max: float = R_MAX,
+            by_item: bool = False) -> Prepared:
+    return Prepared(ratings, r_min, r_max, cache, by_item)
 
 
 def cosine_similarity(ratings: DataFrame | None = None, nd: DataFrame | None = None,
@@ -187,20 +201,23 @@ def self_cosine(nd: DataFrame, users: DataFrame | None = None) -> DataFrame:
             .select("user_id", F.col("user_id").alias("other_id"), "sim"))
 
 
-def jaccard_similarity(ratings: DataFrame, users: DataFrame | None = None,
+def jaccard_similarity(ratings: DataFrame | None = None, users: DataFrame | None = None,
                        cluster_by_user: bool = True, hot_bucket: int = HOT_BUCKET,
-                       include_self: bool = False) -> DataFrame:
+                       include_self: bool = False, rows: DataFrame | None = None,
+                       n_hot: int | None = None) -> DataFrame:
     """(user_id, other_id, sim) = |A n B| / |A u B| for ordered pairs u != v sharing an item.
 
-    ``include_self`` adds (u, u) pairs, whose similarity is 1.
+    ``include_self`` adds (u, u) pairs, whose similarity is 1. ``rows`` may
+    give (user_id, item_id, n) directly (n = the user's number of items).
     """
-    counts = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    rows = ratings.select("user_id", "item_id").join(counts, "user_id")
+    if rows is None:
+        counts = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+        rows = ratings.select("user_id", "item_id").join(counts, "user_id")
     pairs = pair_aggregate(rows, ["n"], {"n_a": F.col("a_n"), "n_b": F.col("b_n")},
                            {"n_co": F.count(F.lit(1)), "n_a": F.max("n_a"), "n_b": F.max("n_b")},
                            left_users=users, pair="all" if include_self else "ne",
                            cluster_by_user=cluster_by_user,
-                           hot_bucket=hot_bucket)
+                           hot_bucket=hot_bucket, n_hot=n_hot)
     return pairs.select("user_id", "other_id", round_sim(jaccard("n_co", "n_a", "n_b")).alias("sim"))
 
 
