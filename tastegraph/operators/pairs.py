@@ -11,8 +11,7 @@ m*(m-1) pairs), so it is written to keep every task bounded:
   ``(item, left bucket, right bucket)``. The m^2 pairs of one hot item are
   then spread over s^2 tasks of at most ``hot_bucket^2`` pairs each, while
   cold items keep one copy per side and, when there is no hot item at all,
-  both sides are the same plan so Spark shuffles the rows only once
-  (ReusedExchange). The hot-item list is an aggregate with map-side partial
+  both sides are the same plan (no salting columns at all). The hot-item list is an aggregate with map-side partial
   counts; it is broadcast only after its row count is checked, otherwise it
   is shuffle-joined.
 * An optional ``left_users`` restriction (left-semi join) keeps only the pairs
