@@ -78,7 +78,7 @@ class Prepared:
 
     The per-rating table feeds the statistics job, both sides of the pair
     self-join and the deviation lookups of the prediction, so it is
-    materialised once (``cache``: "auto", "persist", "checkpoint" or "none";
+    materialised once (``cache``: "auto", "table", "persist", "checkpoint" or "none";
     see ``session.materialize``). ``n_u`` is the user's number of ratings.
 
     ``by_item`` stores the table hash-partitioned by ``item_id``: the item

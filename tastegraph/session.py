@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -53,12 +54,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint folder, creating a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when nothing is configured (local tests) a fresh temp folder is
-    made, so local runs never depend on a machine-specific path.
+    is; when a cluster session names none, None is returned (a machine-local
+    folder would not survive the loss of that machine). Only in a local
+    session with nothing configured (tests) a fresh temp folder is made.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -66,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if on_cluster(spark):
+        return None
     local = tempfile.mkdtemp(prefix="tastegraph-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
@@ -80,21 +84,30 @@ def on_cluster(spark: SparkSession) -> bool:
 def materialize(df: DataFrame, mode: str = "auto") -> DataFrame:
     """Materialise an expensive intermediate that is reused downstream.
 
-    ``checkpoint`` writes to the shared checkpoint folder named by
-    ``spark.checkpoint.dir`` and cuts the lineage, so a lost executor costs a
-    re-read of the written table, not a re-run of the scans and shuffles that
-    produced it. ``persist`` keeps it in executor memory/disk and recomputes
-    lost blocks from lineage. ``auto`` checkpoints on a cluster whose session
-    names a checkpoint folder and persists otherwise (local runs, tests).
-    ``none`` returns the plan unchanged.
+    ``table`` writes a Parquet table into the shared checkpoint folder named
+    by ``spark.checkpoint.dir`` and reads it back, ``checkpoint`` writes an RDD
+    checkpoint there; both cut the lineage, so a lost executor costs a re-read
+    of the written data, not a re-run of the scans and shuffles that produced
+    it. ``persist`` keeps it in executor memory/disk and recomputes lost
+    blocks from lineage. ``auto`` writes a table whenever a checkpoint folder
+    is known (named by the session on a cluster, a fresh local one in local
+    runs) and persists otherwise. ``none`` returns the plan unchanged.
     """
     if mode == "auto":
-        spark = df.sparkSession
-        named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-        mode = "checkpoint" if on_cluster(spark) and named else "persist"
+        mode = "table" if ensure_checkpoint_dir(df.sparkSession) else "persist"
+    if mode in ("checkpoint", "table") and not ensure_checkpoint_dir(df.sparkSession):
+        raise ValueError(f"materialize({mode!r}) needs spark.checkpoint.dir on a cluster")
     if mode == "checkpoint":
-        ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
+    if mode == "table":
+        # a Parquet table in the checkpoint folder: lineage is cut like a
+        # checkpoint, later reads prune columns and push filters into the
+        # scan, and two reads of it are the same scan, so Spark can write
+        # one shuffle for both sides of a self-join (it does not for a
+        # persisted or checkpointed input)
+        path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
     if mode == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     if mode == "none":

@@ -16,7 +16,8 @@ def test_checkpointed_model_matches(spark):
     a = K.mae(K.predict(train, test, k=100, cache="checkpoint")).first().mae
     b = K.mae(K.predict(train, test, k=100, cache="persist")).first().mae
     c = K.mae(K.predict(train, test, k=100, cache="none")).first().mae
-    assert a == b == c == 1.297977907
+    d = K.mae(K.predict(train, test, k=100, cache="table")).first().mae
+    assert a == b == c == d == 1.297977907
 
 
 def test_checkpoint_uses_session_folder(spark):
@@ -27,6 +28,43 @@ def test_checkpoint_uses_session_folder(spark):
     assert "LogicalRDD" in df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_table_mode_writes_parquet_in_session_folder(spark):
+    folder = ensure_checkpoint_dir(spark)
+    df = materialize(spark.range(10).withColumnRenamed("id", "x"), "table")
+    assert df.count() == 10
+    files = df.inputFiles()
+    assert files and all(folder.split(":", 1)[-1] in f for f in files)
+
+
+def test_self_join_over_table_writes_one_shuffle(spark):
+    """Both sides of the item self-join read the same written table: one exchange, reused."""
+    from tastegraph.operators.similarity import prepare, cosine_similarity
+    train, _ = R.train_test(spark, SF001)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        model = prepare(train, cache="table")
+        sims = cosine_similarity(nd=model.nd, n_hot=0)
+        sims.collect()
+        plan = sims._jdf.queryExecution().executedPlan()
+        stages = []
+
+        def walk(node):
+            name = node.nodeName()
+            if name == "AdaptiveSparkPlan":
+                return walk(node.executedPlan())
+            if name.endswith("QueryStage"):
+                stages.append(node.plan().nodeName())
+                return walk(node.plan())
+            seq = node.children()
+            for i in range(seq.size()):
+                walk(seq.apply(i))
+
+        walk(plan)
+        assert "ReusedExchange" in stages, stages
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_metrics_sink_writes_json(spark):
     train, test = R.train_test(spark, SF001)
     sweep = K.knn_sweep(train, test, [10, 100])

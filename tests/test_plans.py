@@ -29,9 +29,16 @@ def test_no_cartesian_or_python(spark, name):
 
 
 def test_scan_prunes_columns(spark):
-    plan = _plan(QUERIES["scan_ratings"](spark, SF001))
+    from tastegraph.sources import ratings as R
+
+    # the derivation that is written once: only the needed base-table columns
+    plan = _plan(R.ratings_from_tables(spark, SF001))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+    # the registered query reads the written ratings, never the base tables again
+    plan = _plan(QUERIES["scan_ratings"](spark, SF001))
+    assert "l_quantity" not in plan and "o_custkey" not in plan
+    assert re.search(r"ReadSchema: struct<user_id:bigint,item_id:bigint,rating:\w+>", plan)
 
 
 def test_neighbour_ranking_uses_group_limit(spark):
