@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import R_MAX, R_MIN, abs_error, round_out
-from ..session import materialize, scalar
+from ..session import materialize, reads_files_only, scalar
 from .neighbours import rank_neighbours
 from .predict import (
     all_item_deviation,
@@ -91,9 +91,13 @@ def _requested(pairs: DataFrame, cache: str) -> DataFrame:
 
     This also keeps a constant user id (one user's candidate list or rated
     rows) from being folded into the join conditions, which would turn the
-    equi-joins on ``user_id`` into nested-loop products.
+    equi-joins on ``user_id`` into nested-loop products. An input that is
+    only a filter over written files (a hold-out split of a materialised
+    table) is used as it is: re-reading it costs no more than a copy.
     """
-    return materialize(pairs, cache) if cache != "none" else pairs
+    if cache == "none" or reads_files_only(pairs):
+        return pairs
+    return materialize(pairs, cache)
 
 
 def similarities(model: Prepared, train: DataFrame, users: DataFrame | None,

@@ -115,6 +115,31 @@ def materialize(df: DataFrame, mode: str = "auto") -> DataFrame:
     raise ValueError(f"unknown materialize mode {mode!r}")
 
 
+def reads_files_only(df: DataFrame) -> bool:
+    """True when the optimised plan is only filters/projections over file scans.
+
+    Such an input is as cheap to re-read as a materialised copy of it. A
+    projection that yields a constant (a literal user id) does not count:
+    the constant would be folded into later join conditions.
+    """
+    def ok(node) -> bool:
+        name = node.nodeName()
+        if name == "Project":
+            exprs = node.projectList()
+            for i in range(exprs.size()):
+                e = exprs.apply(i)
+                while e.nodeName() == "Alias":
+                    e = e.child()
+                if e.foldable():
+                    return False
+        elif name not in ("Filter", "LogicalRelation"):
+            return False
+        kids = node.children()
+        return all(ok(kids.apply(i)) for i in range(kids.size()))
+
+    return ok(df._jdf.queryExecution().optimizedPlan())
+
+
 def scalar(df: DataFrame, column: str | None = None):
     """Fetch one aggregate value (a single-row, single-value result) to the driver."""
     row = df.first()

@@ -78,3 +78,18 @@ def test_metrics_sink_writes_json(spark):
     assert {(r["metric"], r["value"]) for r in rows} == {("mae", 1.380214986), ("n", 1088.0)}
     nested = sinks.nested_json(metrics).first()
     assert json.loads(nested.json) == {"mae": 1.380214986, "n": 1088.0}
+
+
+def test_reads_files_only(spark):
+    """A filter over written files is re-read as is; constants and joins are materialised."""
+    from pyspark.sql import functions as F
+
+    from tastegraph.session import reads_files_only
+
+    ratings = materialize(R.ratings_from_tables(spark, SF001), "table")
+    train, test = R.holdout_split(ratings)
+    assert reads_files_only(train) and reads_files_only(test)
+    assert not reads_files_only(train.withColumn("user_id", F.lit(7)))
+    personal = R.personal_from_part(spark, SF001)
+    assert not reads_files_only(R.personal_candidates(personal))
+    assert not reads_files_only(R.with_personal(ratings, personal))
