@@ -45,10 +45,15 @@ def rank_neighbours(sims: DataFrame, max_k: int, n_users: int,
     # A negative can only enter the top max_k when n_neg >= U - max_k.
     crowded = (neg.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_neg"))
                .filter(F.col("n_neg") >= F.lit(n_users - max_k)))
+    # eff_rank <= max_k implies a rank among negatives <= max_k: filtering on
+    # that plain rank first lets Spark cut each user's negatives to max_k
+    # (WindowGroupLimit) before sorting them
     neg_ranked = (neg.join(crowded, "user_id")
-                  .withColumn("eff_rank", F.lit(n_users - 1) - F.col("n_neg") + F.row_number().over(w))
+                  .withColumn("rn", F.row_number().over(w))
+                  .filter(F.col("rn") <= max_k)
+                  .withColumn("eff_rank", F.lit(n_users - 1) - F.col("n_neg") + F.col("rn"))
                   .filter(F.col("eff_rank") <= max_k)
-                  .drop("n_neg"))
+                  .drop("n_neg", "rn"))
     return pos.unionByName(neg_ranked)
 
 

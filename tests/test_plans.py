@@ -53,3 +53,18 @@ def test_self_join_is_an_equi_join(spark):
     train, _ = R.train_test(spark, SF001)
     plan = _plan(S.cosine_similarity(train))
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
+
+
+def test_negative_branch_is_top_k_pruned(spark):
+    """Crowded users' negatives are cut to k per user before sorting, like the positives."""
+    from tastegraph.operators.neighbours import rank_neighbours
+
+    sims = spark.createDataFrame(
+        [(1, 2, -0.5), (1, 3, -0.2), (2, 1, 0.4), (2, 3, -0.1), (3, 1, -0.3), (3, 2, 0.2)],
+        "user_id long, other_id long, sim double")
+    out = rank_neighbours(sims, 2, 3)
+    got = {(r.user_id, r.other_id): r.eff_rank for r in out.collect()}
+    # U = 3, k = 2: zero/positive partners first, then negatives by similarity
+    assert got == {(1, 3): 1, (1, 2): 2, (2, 1): 1, (2, 3): 2, (3, 2): 1, (3, 1): 2}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 4  # partial + final on both branches
