@@ -41,6 +41,9 @@ def global_mean_value(ratings: DataFrame) -> float:
 
 # A requested-user list is broadcast to the self-join only up to this many users.
 BROADCAST_USERS = 1_000_000
+# The neighbour table of a focused request (requested users x k rows) is
+# broadcast to the prediction joins up to this many rows.
+NEIGHBOUR_BROADCAST_ROWS = 2_000_000
 # Pairs of one user that one ranking task may hold. Above it (a user who
 # shares items with millions of others) pairs are aggregated per (user, other)
 # and a partial top-k per user runs before the shuffle by user.
@@ -73,6 +76,7 @@ class Focus:
                                                        F.countDistinct("user_id").alias("n")))
         got = {r["kind"]: int(r["n"] or 0) for r in counts.collect()}
         self.n_users = n_users if n_users is not None else got["train"]
+        self.n_requested = got.get("pairs")
         self.users, self.train = None, train
         if self.pairs is not None and 2 * got["pairs"] <= got["train"]:
             users = self.pairs.select("user_id").distinct()
@@ -86,6 +90,19 @@ class Focus:
         self.model = prepare(self.train, cache, r_min, r_max)
 
 
+def _neighbours_for_lookup(f: Focus, nb: DataFrame, k: int) -> DataFrame:
+    """Broadcast the neighbour table when its size is bounded by the request.
+
+    A focused request ranks only the requested users, so the table has at
+    most ``n_requested * k`` rows. Broadcasting it keeps the prediction joins
+    from shuffling by user, which for one user's recommendations would put
+    every candidate pair into one task (or k tasks).
+    """
+    if f.users is not None and f.n_requested * k <= NEIGHBOUR_BROADCAST_ROWS:
+        return F.broadcast(nb)
+    return nb
+
+
 def _requested(pairs: DataFrame, cache: str) -> DataFrame:
     """Materialise an input that several jobs read (user count, focusing, prediction).
 
@@ -150,7 +167,7 @@ def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity
         wide = all_item_deviation(pairs_avg, sims_all, model.dev, weighting)
         return finish_prediction(wide, "num", "den", r_min, r_max).drop("num", "den")
     sims = similarities(model, f.train, users, similarity)
-    nb = rank_neighbours(sims, k, f.n_users, model.partner_bound())
+    nb = _neighbours_for_lookup(f, rank_neighbours(sims, k, f.n_users, model.partner_bound()), k)
     return predictions_for_ks(pairs_avg, nb, model.dev, [k], weighting, model.item_raters(),
                               _route(model, k)).drop("k")
 
@@ -162,7 +179,7 @@ def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], simi
     f = Focus(train, test, cache, n_users=n_users)
     model = f.model
     sims = similarities(model, f.train, f.users, similarity)
-    nb = rank_neighbours(sims, max(ks), f.n_users, model.partner_bound())
+    nb = _neighbours_for_lookup(f, rank_neighbours(sims, max(ks), f.n_users, model.partner_bound()), max(ks))
     return predictions_for_ks(prepare_pairs(f.pairs, model.avg), nb, model.dev, list(ks), weighting,
                               model.item_raters(), _route(model, max(ks)))
 
@@ -177,7 +194,7 @@ def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str =
     f = Focus(train, pairs, cache, n_users=n_users)
     model = f.model
     sims = similarities(model, f.train, f.users, similarity)
-    nb = rank_neighbours(sims, k, f.n_users, model.partner_bound())
+    nb = _neighbours_for_lookup(f, rank_neighbours(sims, k, f.n_users, model.partner_bound()), k)
     wide = knn_item_deviation(f.pairs.select("user_id", "item_id"), nb, model.dev, [k], weighting,
                               model.item_raters(), route=_route(model, k))
     return (wide.filter(F.col(f"den_{k}") > 0)

@@ -68,3 +68,19 @@ def test_negative_branch_is_top_k_pruned(spark):
     assert got == {(1, 3): 1, (1, 2): 2, (2, 1): 1, (2, 3): 2, (3, 2): 1, (3, 1): 2}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 4  # partial + final on both branches
+
+
+def test_focused_neighbour_table_is_broadcast(spark):
+    """One user's request: its k-row neighbour table is broadcast; a full request is not."""
+    from pyspark.sql import functions as F
+
+    from tastegraph.operators import knn as K
+    from tastegraph.sources import ratings as R
+
+    train, test = R.train_test(spark, SF001)
+    one_user = test.join(test.agg(F.min("user_id").alias("user_id")), "user_id")
+    for pairs, expect in ((one_user, True), (test, False)):
+        f = K.Focus(train, pairs)
+        nb = K._neighbours_for_lookup(f, f.model.nd.select("user_id", F.col("user_id").alias("other_id")), 10)
+        hinted = "strategy=broadcast" in nb._jdf.queryExecution().analyzed().toString()
+        assert hinted == expect
