@@ -26,6 +26,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128m",
+    # split a skewed join partition (e.g. one user's many requested pairs
+    # against the neighbour table, whose side is already partitioned by user
+    # by the ranking window) even when that needs an extra shuffle; only
+    # measured skew above the thresholds triggers it
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
