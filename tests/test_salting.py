@@ -49,3 +49,31 @@ def test_two_phase_ranking_matches(spark, monkeypatch):
     two = K.mae(K.predict(train, test, k=30)).first().mae
     assert one == two
     assert "WindowGroupLimit" in plan
+
+
+def _with_hot_user(spark, hot_id=-7):
+    """The fixture plus one user who rated every item (its rounded mean rating)."""
+    train, test = R.train_test(spark, SF001)
+    hot = (train.groupBy("item_id").agg(F.round(F.avg("rating")).alias("rating"))
+           .select(F.lit(hot_id).cast("long").alias("user_id"), "item_id", "rating"))
+    return train.select("user_id", "item_id", "rating").unionByName(hot), test, hot
+
+
+def test_hot_user_paths_agree(spark, monkeypatch):
+    """A user with a row for every item: two-phase ranking and the focused
+    (broadcast-neighbour) request give the same predictions as the defaults."""
+    from tastegraph.operators import knn as K
+    from tastegraph.operators import stats as ST
+
+    train, test, hot = _with_hot_user(spark)
+    n_items = hot.count()
+    assert train.filter(F.col("user_id") == -7).count() == n_items
+    cols = ["user_id", "item_id", "prediction"]
+    base = _rows(K.predict(train, test, k=30).select(*cols))
+    hot_full = _rows(K.predict(train, test.unionByName(hot), k=30).filter("user_id = -7").select(*cols))
+    hot_focused = _rows(K.predict(train, hot, k=30).select(*cols))
+    assert len(hot_focused) == n_items and hot_focused == hot_full
+    monkeypatch.setattr(K, "PARTNERS_PER_TASK", 0)
+    assert _rows(K.predict(train, test, k=30).select(*cols)) == base
+    sets = ST.user_item_sets(train).filter("user_id = -7").first()
+    assert sets.n_items == n_items
