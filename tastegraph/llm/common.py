@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,3 +68,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ensure_columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that extra columns can't clash with an operator's own."""
     return df.select(*[df[n] for n in names])
+
+
+def text_slices(texts, target_chars: int = 1 << 20):
+    """Row ranges of an Arrow string array, each of about ``target_chars`` bytes, or one row if that is longer."""
+    n = len(texts)
+    if not n:
+        return
+    sizes = [x or 0 for x in pc.binary_length(texts).to_pylist()]
+    a, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > a and total + size > target_chars:
+            yield a, i
+            a, total = i, 0
+        total += size
+    yield a, n
+
+
+def write_whole(uri: str, chunks) -> int:
+    """Writes chunks of bytes to a file that is visible under its name only when complete; returns its size."""
+    f, path = open_fs(uri)
+    parent, _, name = path.rpartition("/")
+    f.create_dir(parent, recursive=True)
+    part = f"{parent}/_part-{uuid.uuid4().hex}"
+    size = 0
+    with f.open_output_stream(part) as out:
+        for chunk in chunks:
+            out.write(chunk)
+            size += len(chunk)
+    f.move(part, f"{parent}/{name}")
+    return size

@@ -6,18 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegraph.llm import line_dedup
+from public_tokenizers import path as tokenizer_path
+
+from tastegraph.llm import line_dedup, packing, token_files, warc
 from tastegraph.llm.common import table
 
 
+def op2_hilbert_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op5_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.digest(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_hilbert_pack": op2_hilbert_pack,
+    "op5_pfor_tokens": op5_pfor_tokens,
     "op6_line_dedup": op6_line_dedup,
+    "op8_warc": op8_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": line_dedup.SQL,
+    "op8_warc": warc.SQL,
 }
