@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as tokenizer_path
 
-from tastegraph.llm import line_dedup, packing, token_files, warc
+from tastegraph.llm import imatch, line_dedup, packing, token_files, warc
 from tastegraph.llm.common import table
 
 
@@ -28,14 +28,20 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(table(spark, sf_dir, "pages"))
 
 
+def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_hilbert_pack": op2_hilbert_pack,
     "op5_pfor_tokens": op5_pfor_tokens,
     "op6_line_dedup": op6_line_dedup,
     "op8_warc": op8_warc,
+    "op9_imatch": op9_imatch,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": line_dedup.SQL,
     "op8_warc": warc.SQL,
+    "op9_imatch": imatch.SQL,
 }
