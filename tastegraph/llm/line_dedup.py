@@ -39,15 +39,19 @@ def text_id(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def occurrences(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """One row per (key hash, document) with the positions of that key, streamed in range order."""
+def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+    """(h1, h2, doc, tid, pos) of every line whose key has at least ``min_chars`` code points."""
     lines = docs.select(docs[id_col].alias("doc"), text_id(docs[text_col]).alias("tid"),
                         F.posexplode(_lines(docs[text_col])).alias("pos", "line"))
     # no stripped line is longer than the line itself
     keyed = (lines.where(F.char_length("line") >= min_chars).withColumn("key", line_key(F.col("line")))
              .where(F.char_length("key") >= min_chars))
-    hashed = keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2"),
-                          "doc", "tid", "pos")
+    return keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2"),
+                        "doc", "tid", "pos")
+
+
+def occurrences(hashed: DataFrame) -> DataFrame:
+    """One row per (key hash, document) with the positions of that key, streamed in range order."""
     order = [F.col("h1"), F.col("h2"), F.col("doc").desc(), F.col("tid")]
     return (hashed.repartitionByRange(*order).sortWithinPartitions(*order, "pos")
             .groupBy("h1", "h2", "doc", "tid").agg(F.collect_list("pos").alias("positions")))
@@ -64,7 +68,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     and words of 64 kept lines are left out.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    held = occurrences(docs, id_col, text_col, min_chars)
+    # stored: finding the ranges, the first occurrences and their join each read the hashes, and none the text again
+    held = occurrences(scratch.keep(line_hashes(docs, id_col, text_col, min_chars), "hashes"))
     first = (held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper"))
              .where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"))
     # a stored table, so that both join sides are plain shuffles, which AQE can split at a hot key
