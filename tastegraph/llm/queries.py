@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as tokenizer_path
 
-from tastegraph.llm import imatch, line_dedup, packing, token_files, warc
+from tastegraph.llm import imatch, line_dedup, near_dup, packing, token_files, warc
 from tastegraph.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_hamming_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(table(spark, sf_dir, "pages"))
 
@@ -36,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_hilbert_pack": op2_hilbert_pack,
     "op5_pfor_tokens": op5_pfor_tokens,
     "op6_line_dedup": op6_line_dedup,
+    "op7_hamming_neardup": op7_hamming_neardup,
     "op8_warc": op8_warc,
     "op9_imatch": op9_imatch,
 }
