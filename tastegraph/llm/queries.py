@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as tokenizer_path
 
-from tastegraph.llm import imatch, line_dedup, near_dup, packing, token_files, warc
+from tastegraph.llm import imatch, langid, line_dedup, near_dup, packing, token_files, warc
 from tastegraph.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_hilbert_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -38,6 +42,7 @@ def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_hilbert_pack": op2_hilbert_pack,
+    "op3_ppm_langid": op3_ppm_langid,
     "op5_pfor_tokens": op5_pfor_tokens,
     "op6_line_dedup": op6_line_dedup,
     "op7_hamming_neardup": op7_hamming_neardup,
