@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as tokenizer_path
 
-from tastegraph.llm import imatch, langid, line_dedup, near_dup, packing, token_files, warc
+from tastegraph.llm import html_extract, imatch, langid, line_dedup, near_dup, packing, token_files, warc
 from tastegraph.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_tree_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.digest(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_hilbert_pack": op2_hilbert_pack,
     "op3_ppm_langid": op3_ppm_langid,
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_hamming_neardup": op7_hamming_neardup,
     "op8_warc": op8_warc,
     "op9_imatch": op9_imatch,
+    "op10_tree_extract": op10_tree_extract,
 }
 
 ORACLE_SQL: dict[str, str] = {
