@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as tokenizer_path
 
-from tastegraph.llm import html_extract, imatch, langid, line_dedup, near_dup, packing, token_files, warc
+from tastegraph.llm import ann, html_extract, imatch, langid, line_dedup, near_dup, packing, token_files, warc
 from tastegraph.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_pruned_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.digest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -47,6 +51,7 @@ def op10_tree_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_hilbert_pack": op2_hilbert_pack,
     "op3_ppm_langid": op3_ppm_langid,
+    "op4_pruned_graph_ann": op4_pruned_graph_ann,
     "op5_pfor_tokens": op5_pfor_tokens,
     "op6_line_dedup": op6_line_dedup,
     "op7_hamming_neardup": op7_hamming_neardup,
