@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as tokenizer_path
 
-from tastegraph.llm import ann, html_extract, imatch, langid, line_dedup, near_dup, packing, token_files, warc
+from tastegraph.llm import ann, html_extract, imatch, langid, line_dedup, mixing, near_dup, packing, token_files, warc
 from tastegraph.llm.common import table
 
 
+def op1_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_hilbert_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -49,6 +53,7 @@ def op10_tree_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hierarchical_mix": op1_hierarchical_mix,
     "op2_hilbert_pack": op2_hilbert_pack,
     "op3_ppm_langid": op3_ppm_langid,
     "op4_pruned_graph_ann": op4_pruned_graph_ann,
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_hierarchical_mix": mixing.SQL,
     "op6_line_dedup": line_dedup.SQL,
     "op8_warc": warc.SQL,
     "op9_imatch": imatch.SQL,
