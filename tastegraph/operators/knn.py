@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import R_MAX, R_MIN, abs_error, round_out
-from ..session import materialize, reads_files_only, scalar
+from ..session import is_stored, materialize, scalar
 from .neighbours import rank_neighbours
+from .pairs import join_partitions
 from .predict import (
     all_item_deviation,
     finish_prediction,
@@ -108,11 +109,11 @@ def _requested(pairs: DataFrame, cache: str) -> DataFrame:
 
     This also keeps a constant user id (one user's candidate list or rated
     rows) from being folded into the join conditions, which would turn the
-    equi-joins on ``user_id`` into nested-loop products. An input that is
-    only a filter over written files (a hold-out split of a materialised
-    table) is used as it is: re-reading it costs no more than a copy.
+    equi-joins on ``user_id`` into nested-loop products. An input marked as
+    stored (a hold-out split of a materialised table) is used as it is:
+    re-reading it costs no more than a copy.
     """
-    if cache == "none" or reads_files_only(pairs):
+    if cache == "none" or is_stored(pairs):
         return pairs
     return materialize(pairs, cache)
 
@@ -127,15 +128,33 @@ def similarities(model: Prepared, train: DataFrame, users: DataFrame | None,
     by user. Without ``for_ranking`` self pairs are included and the table
     stays partitioned by (user_id, other_id) for the all-neighbour pair join.
     """
-    by_user = for_ranking and model.partner_bound() <= PARTNERS_PER_TASK
+    if similarity not in ("cosine", "jaccard"):
+        raise ValueError("similarity must be 'cosine' or 'jaccard'")
+    by_user = for_ranking and _fits_one_task(model, similarity)
+    st = model.stats()
+    rows_out = st["pair_rows" if similarity == "cosine" else "pair_rows_all"]
+    n_parts = join_partitions(model.rows, rows_out) if users is None else None
     if similarity == "cosine":
-        return cosine_similarity(nd=model.nd, users=users, n_hot=model.stats()["n_hot"],
-                                 cluster_by_user=by_user, include_self=not for_ranking)
-    if similarity == "jaccard":
-        rows = model.rows.select("user_id", "item_id", F.col("n_u").alias("n"))
-        return jaccard_similarity(rows=rows, users=users, cluster_by_user=by_user, n_hot=model.stats()["n_hot_all"],
-                                  include_self=not for_ranking).filter(F.col("sim") != 0)
-    raise ValueError("similarity must be 'cosine' or 'jaccard'")
+        return cosine_similarity(nd=model.nd, users=users, n_hot=st["n_hot"], cluster_by_user=by_user,
+                                 include_self=not for_ranking, n_parts=n_parts)
+    rows = model.rows.select("user_id", "item_id", F.col("n_u").alias("n"))
+    return jaccard_similarity(rows=rows, users=users, cluster_by_user=by_user, n_hot=st["n_hot_all"],
+                              include_self=not for_ranking, n_parts=n_parts).filter(F.col("sim") != 0)
+
+
+def _fits_one_task(model: Prepared, similarity: str) -> bool:
+    return model.partner_bound(similarity) <= PARTNERS_PER_TASK
+
+
+def ranked(f: Focus, users: DataFrame | None, k: int, similarity: str, cache: str = "auto") -> DataFrame:
+    """Neighbours of the ``users`` up to effective rank k."""
+    model = f.model
+    sims = similarities(model, f.train, users, similarity)
+    cut_first = not _fits_one_task(model, similarity)
+    bound = model.partner_bound(similarity)
+    if cut_first and bound >= f.n_users - k:
+        sims = materialize(sims, cache)  # read for the ranks and for the negatives' number
+    return rank_neighbours(sims, k, f.n_users, bound, cut_first)
 
 
 def _route(model: Prepared, k: int) -> str:
@@ -150,51 +169,52 @@ def _route(model: Prepared, k: int) -> str:
 
 def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity: str = "cosine",
             weighting: str = "raters", cold_user: str = "drop", n_users: int | None = None,
-            r_min: float = R_MIN, r_max: float = R_MAX, cache: str = "auto") -> DataFrame:
+            r_min: float = R_MIN, r_max: float = R_MAX, cache: str = "auto",
+            focus: Focus | None = None) -> DataFrame:
     """Predict a rating for every requested (user_id, item_id[, rating]) pair.
 
     ``k=None`` weights every rater of the item (the user itself included);
     otherwise the k best-ranked other users. ``n_users`` is the size of the
     user population the ranking runs over (default: distinct train users).
+    ``focus`` is a model already built of the same ``train`` and ``pairs``.
     Returns the pair columns plus ``avg_rating, dev_hat, prediction``.
     """
-    f = Focus(train, pairs, cache, r_min, r_max, n_users)
+    f = focus or Focus(train, pairs, cache, r_min, r_max, n_users)
     model, users = f.model, f.users
     global_avg = global_mean_value(train) if cold_user == "global_mean" else None
     pairs_avg = prepare_pairs(f.pairs, model.avg, cold_user, global_avg)
     if k is None:
         sims_all = similarities(model, f.train, users, similarity, for_ranking=False)
-        wide = all_item_deviation(pairs_avg, sims_all, model.dev, weighting)
+        wide = all_item_deviation(pairs_avg, sims_all, model.dev, weighting, model.stats()["hot_bucket"], model.stats()["n_hot_all"])
         return finish_prediction(wide, "num", "den", r_min, r_max).drop("num", "den")
-    sims = similarities(model, f.train, users, similarity)
-    nb = _neighbours_for_lookup(f, rank_neighbours(sims, k, f.n_users, model.partner_bound()), k)
+    nb = _neighbours_for_lookup(f, ranked(f, users, k, similarity, cache), k)
     return predictions_for_ks(pairs_avg, nb, model.dev, [k], weighting, model.item_raters(),
-                              _route(model, k)).drop("k")
+                              _route(model, k), r_min, r_max).drop("k")
 
 
 def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], similarity: str = "cosine",
-                          weighting: str = "raters", n_users: int | None = None,
-                          cache: str = "auto") -> DataFrame:
+                          weighting: str = "raters", cold_user: str = "drop", n_users: int | None = None,
+                          r_min: float = R_MIN, r_max: float = R_MAX, cache: str = "auto",
+                          focus: Focus | None = None) -> DataFrame:
     """(k, user_id, item_id, rating, avg_rating, dev_hat, prediction) for every k, one pass."""
-    f = Focus(train, test, cache, n_users=n_users)
+    f = focus or Focus(train, test, cache, r_min, r_max, n_users)
     model = f.model
-    sims = similarities(model, f.train, f.users, similarity)
-    nb = _neighbours_for_lookup(f, rank_neighbours(sims, max(ks), f.n_users, model.partner_bound()), max(ks))
-    return predictions_for_ks(prepare_pairs(f.pairs, model.avg), nb, model.dev, list(ks), weighting,
-                              model.item_raters(), _route(model, max(ks)))
+    global_avg = global_mean_value(train) if cold_user == "global_mean" else None
+    nb = _neighbours_for_lookup(f, ranked(f, f.users, max(ks), similarity, cache), max(ks))
+    return predictions_for_ks(prepare_pairs(f.pairs, model.avg, cold_user, global_avg), nb, model.dev, list(ks),
+                              weighting, model.item_raters(), _route(model, max(ks)), r_min, r_max)
 
 
 def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str = "nonzero_dev",
-                   similarity: str = "cosine", n_users: int | None = None,
-                   cache: str = "auto") -> DataFrame:
+                   similarity: str = "cosine", n_users: int | None = None, r_min: float = R_MIN,
+                   r_max: float = R_MAX, cache: str = "auto") -> DataFrame:
     """(user_id, item_id, dev_hat) for requested pairs where the weighted mean is defined.
 
     Pairs with no weighted neighbour (0/0) are left out rather than set to 0.
     """
-    f = Focus(train, pairs, cache, n_users=n_users)
+    f = Focus(train, pairs, cache, r_min, r_max, n_users)
     model = f.model
-    sims = similarities(model, f.train, f.users, similarity)
-    nb = _neighbours_for_lookup(f, rank_neighbours(sims, k, f.n_users, model.partner_bound()), k)
+    nb = _neighbours_for_lookup(f, ranked(f, f.users, k, similarity, cache), k)
     wide = knn_item_deviation(f.pairs.select("user_id", "item_id"), nb, model.dev, [k], weighting,
                               model.item_raters(), route=_route(model, k))
     return (wide.filter(F.col(f"den_{k}") > 0)
@@ -202,11 +222,9 @@ def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str =
 
 
 def neighbours_table(train: DataFrame, k: int, similarity: str = "cosine", n_users: int | None = None,
-                     cache: str = "auto") -> DataFrame:
+                     r_min: float = R_MIN, r_max: float = R_MAX, cache: str = "auto") -> DataFrame:
     """(user_id, other_id, sim, rank): the k-NN graph of every training user."""
-    f = Focus(train, None, cache, n_users=n_users)
-    model = f.model
-    nb = rank_neighbours(similarities(model, f.train, None, similarity), k, f.n_users, model.partner_bound())
+    nb = ranked(Focus(train, None, cache, r_min, r_max, n_users), None, k, similarity, cache)
     return nb.select("user_id", "other_id", "sim", F.col("eff_rank").cast("long").alias("rank"))
 
 
@@ -231,13 +249,14 @@ def lowest_k_better(sweep: DataFrame, baseline: float) -> DataFrame:
 
 
 def recommend(ratings: DataFrame, candidates: DataFrame, n: int = 5, k: int = 30,
-              similarity: str = "cosine", n_users: int | None = None) -> DataFrame:
+              similarity: str = "cosine", weighting: str = "raters", cold_user: str = "drop",
+              n_users: int | None = None, r_min: float = R_MIN, r_max: float = R_MAX, cache: str = "auto") -> DataFrame:
     """Top-n candidates per user by predicted score (score desc, item asc).
 
     ``candidates`` is (user_id, item_id[, title]); works for one user or all.
     The window keeps n rows per user (WindowGroupLimit prunes before sorting).
     """
-    pred = predict(ratings, candidates, k=k, similarity=similarity, n_users=n_users)
+    pred = predict(ratings, candidates, k, similarity, weighting, cold_user, n_users, r_min, r_max, cache)
     scored = pred.withColumn("score", round_out("prediction"))
     w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
     keep = [c for c in candidates.columns if c not in ("user_id", "item_id")]

@@ -31,10 +31,22 @@ from pyspark.sql import functions as F
 # Raters per bucket of a hot item: a block of the pair join then holds at most
 # HOT_BUCKET^2 pairs. Items at or below it are joined unsalted.
 HOT_BUCKET = 4096
+# Join output rows that one task of the self-join should make.
+PAIR_ROWS_PER_TASK = 50_000_000
 # The hot-item list is broadcast only when it has at most this many rows.
 HOT_BROADCAST_ROWS = 2_000_000
 
 
+def join_partitions(df: DataFrame, pair_rows: int) -> int | None:
+    """Partitions for a self-join of ``pair_rows`` output rows, if the session's number is too few.
+
+    Shuffle partitions are sized by the bytes that enter a join; a self-join on
+    items makes many rows of few bytes.
+    """
+    want = -(-pair_rows // PAIR_ROWS_PER_TASK)
+    return want if want > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def hot_items(rows: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """(item_id, n_buckets) for items with more than ``hot_bucket`` raters."""
     return (rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("m"))
@@ -42,6 +54,25 @@ def hot_items(rows: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFrame:
             .select("item_id", F.ceil(F.col("m") / F.lit(hot_bucket)).cast("int").alias("n_buckets")))
 
 
+def salted(left: DataFrame, right: DataFrame, hot: DataFrame, left_user: str, right_user: str,
+           broadcast: bool = False) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of an item join with the rows of hot items dealt to buckets by user.
+
+    A left row goes to its own bucket ``lb`` with every ``rb``, a right row to its
+    own ``rb`` with every ``lb``, so each pair of rows meets once, under the
+    returned join keys. Items that aren't in ``hot`` have one bucket.
+    """
+    hot = F.broadcast(hot) if broadcast else hot
+    every = F.explode(F.sequence(F.lit(0), F.col("n_buckets") - 1))
+
+    def side(df: DataFrame, user: str, own: str, other: str) -> DataFrame:
+        dealt = (df.join(hot, "item_id", "left").withColumn("n_buckets", F.coalesce(F.col("n_buckets"), F.lit(1)))
+                 .withColumn(own, F.pmod(F.xxhash64(user), F.col("n_buckets")).cast("int")))
+        return dealt.select(*df.columns, own, every.alias(other))
+
+    return side(left, left_user, "lb", "rb"), side(right, right_user, "rb", "lb"), ["item_id", "lb", "rb"]
+
+
 def _pair_condition(kind: str, u: Column, v: Column) -> Column | None:
     if kind == "ne":
         return u != v
@@ -56,33 +87,46 @@ def _pair_condition(kind: str, u: Column, v: Column) -> Column | None:
 
 def item_self_join(rows: DataFrame, values: list[str], left_users: DataFrame | None = None,
                    pair: str = "ne", hot_bucket: int = HOT_BUCKET,
-                   hot_broadcast_rows: int = HOT_BROADCAST_ROWS, n_hot: int | None = None) -> DataFrame:
+                   hot_broadcast_rows: int = HOT_BROADCAST_ROWS, n_hot: int | None = None,
+                   n_parts: int | None = None) -> DataFrame:
     """Join ``rows(user_id, item_id, *values)`` with itself on ``item_id``.
 
     Returns un-aggregated rows ``(user_id, other_id, a_<value>..., b_<value>...)``
     where ``a_`` are the left user's values and ``b_`` the other user's.
     ``n_hot`` (number of items above ``hot_bucket`` rows) is counted here
-    unless the caller already knows it.
+    unless the caller already knows it. ``n_parts`` sets the number of join
+    partitions where the rows coming out, not the bytes going in, should size
+    them (`join_partitions`).
     """
     base = rows.select("user_id", "item_id", *values)
     hot = hot_items(base, hot_bucket)
     if n_hot is None:
         n_hot = hot.count()  # one aggregate action: decides whether salting is needed at all
-    if n_hot:
-        hot_side = F.broadcast(hot) if n_hot <= hot_broadcast_rows else hot
-        base = (base.join(hot_side, "item_id", "left")
-                .withColumn("n_buckets", F.coalesce(F.col("n_buckets"), F.lit(1)))
-                .withColumn("own_bucket", F.pmod(F.xxhash64("user_id"), F.col("n_buckets")).cast("int")))
-        every_bucket = F.explode(F.sequence(F.lit(0), F.col("n_buckets") - 1))
-        left = base.select("user_id", "item_id", *values, F.col("own_bucket").alias("lb"),
-                           every_bucket.alias("rb"))
-        right = base.select("user_id", "item_id", *values, every_bucket.alias("lb"),
-                            F.col("own_bucket").alias("rb"))
-        keys = ["item_id", "lb", "rb"]
-    else:
-        left, right, keys = base, base, ["item_id"]
+    left = right = base
     if left_users is not None:
-        left = left.join(left_users.select("user_id"), "user_id", "left_semi")
+        # only the items of the requested users are joined; the other side keeps no others either
+        left = base.join(left_users.select("user_id"), "user_id", "left_semi")
+        right = base.join(left.select("item_id").distinct(), "item_id", "left_semi")
+    keys = ["item_id"]
+    if n_hot:
+        if left_users is None:
+            left, right, keys = salted(left, right, hot, "user_id", "user_id", n_hot <= hot_broadcast_rows)
+        else:
+            # the left rows of a hot item are the requested ones, so their number says how many
+            # left buckets it has: the raters are copied to no more
+            asked = (left.join(hot.select("item_id"), "item_id", "left_semi").groupBy("item_id")
+                     .agg(F.ceil(F.count(F.lit(1)) / F.lit(hot_bucket)).cast("int").alias("n_left")))
+            both = hot.join(asked, "item_id")
+            both = F.broadcast(both) if n_hot <= hot_broadcast_rows else both
+            one = lambda c: F.coalesce(F.col(c), F.lit(1))
+            every = lambda c: F.explode(F.sequence(F.lit(0), one(c) - 1))
+            own = lambda c: F.pmod(F.xxhash64("user_id"), one(c)).cast("int")
+            cols = ["user_id", "item_id", *values]
+            left = left.join(both, "item_id", "left").select(*cols, own("n_left").alias("lb"), every("n_buckets").alias("rb"))
+            right = right.join(both, "item_id", "left").select(*cols, own("n_buckets").alias("rb"), every("n_left").alias("lb"))
+            keys = ["item_id", "lb", "rb"]
+    if n_parts:
+        left, right = left.repartition(n_parts, *keys), right.repartition(n_parts, *keys)
     a, b = left.alias("a"), right.alias("b")
     joined = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys])
     cond = _pair_condition(pair, F.col("a.user_id"), F.col("b.user_id"))
@@ -96,14 +140,14 @@ def item_self_join(rows: DataFrame, values: list[str], left_users: DataFrame | N
 def pair_aggregate(rows: DataFrame, values: list[str], row_exprs: dict[str, Column],
                    aggs: dict[str, Column], left_users: DataFrame | None = None, pair: str = "ne",
                    cluster_by_user: bool = False, hot_bucket: int = HOT_BUCKET,
-                   n_hot: int | None = None) -> DataFrame:
+                   n_hot: int | None = None, n_parts: int | None = None) -> DataFrame:
     """Self-join on item and aggregate per (user_id, other_id) pair.
 
     ``row_exprs`` are evaluated on each joined row (over ``a_*``/``b_*``) before
     the shuffle; ``aggs`` aggregate those per pair.
     """
     joined = item_self_join(rows, values, left_users=left_users, pair=pair, hot_bucket=hot_bucket,
-                            n_hot=n_hot)
+                            n_hot=n_hot, n_parts=n_parts)
     slim = joined.select("user_id", "other_id", *[e.alias(n) for n, e in row_exprs.items()])
     if cluster_by_user:
         slim = slim.repartition("user_id")

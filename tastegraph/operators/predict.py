@@ -25,7 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import R_MAX, R_MIN, predict_rating, round_out, weighted_mean
+from ..functions import R_MAX, R_MIN, predict_rating, weighted_mean
+from .pairs import HOT_BUCKET, hot_items, salted
 
 
 def _with_user_avg(pairs: DataFrame, user_avg: DataFrame, cold_user: str,
@@ -54,7 +55,8 @@ def knn_item_deviation(pairs: DataFrame, neighbours: DataFrame, dev: DataFrame,
                        route: str = "both") -> DataFrame:
     """Per requested (user_id, item_id): ``num_<k>``/``den_<k>`` for each k in ``ks``.
 
-    ``pairs`` carries any extra columns (rating, avg_rating...) which are kept.
+    ``pairs`` carries any extra columns (rating, avg_rating...) which are kept,
+    and so is every row of a repeated pair; the sums are computed once a pair.
     ``neighbours`` is (user_id, other_id, sim, eff_rank) with eff_rank <= max(ks).
 
     Each pair is expanded along the cheaper side: when its item has at most
@@ -67,7 +69,7 @@ def knn_item_deviation(pairs: DataFrame, neighbours: DataFrame, dev: DataFrame,
     goes through the user's neighbours. Left joins keep pairs that have no
     contribution at all (their sums are NULL).
     """
-    extra = [c for c in pairs.columns if c not in ("user_id", "item_id")]
+    requested, pairs = pairs, pairs.select("user_id", "item_id").distinct()
     nb = neighbours.select("user_id", "other_id", "sim", "eff_rank")
     d = dev.select(F.col("user_id").alias("other_id"), "item_id", "dev")
 
@@ -91,20 +93,29 @@ def knn_item_deviation(pairs: DataFrame, neighbours: DataFrame, dev: DataFrame,
         in_k = F.col("eff_rank") <= k
         aggs.append(F.sum(F.when(in_k & counted, F.col("sim") * F.col("dev"))).alias(f"num_{k}"))
         aggs.append(F.sum(F.when(in_k & counted, F.abs("sim"))).alias(f"den_{k}"))
-    # extra columns are functionally dependent on (user_id, item_id)
-    return rows.groupBy("user_id", "item_id", *extra).agg(*aggs)
+    # every requested row gets its pair's sums, also rows that repeat a pair
+    return requested.join(rows.groupBy("user_id", "item_id").agg(*aggs), ["user_id", "item_id"], "left")
+
 
+def all_item_deviation(pairs: DataFrame, sims: DataFrame, dev: DataFrame, weighting: str = "raters",
+                       hot_bucket: int = HOT_BUCKET, n_hot: int | None = None) -> DataFrame:
+    """Per requested (user_id, item_id): num/den over every rater of the item (no k).
 
-def all_item_deviation(pairs: DataFrame, sims: DataFrame, dev: DataFrame,
-                       weighting: str = "raters") -> DataFrame:
-    """Per requested (user_id, item_id): num/den over every rater of the item (no k)."""
+    The requesters and the raters of a hot item are split into buckets, each
+    bucket of the one meeting each of the other in a task of its own.
+    """
     extra = [c for c in pairs.columns if c not in ("user_id", "item_id")]
     d = dev.select(F.col("user_id").alias("other_id"), "item_id", "dev")
     if weighting == "nonzero_dev":
         d = d.filter(F.col("dev") != 0)
     elif weighting != "raters":
         raise ValueError("weighting must be 'raters' or 'nonzero_dev'")
-    contrib = (pairs.select("user_id", "item_id").join(d, "item_id")
+    want = pairs.select("user_id", "item_id").distinct()
+    keys = ["item_id"]
+    hot = hot_items(d, hot_bucket)
+    if hot.count() if n_hot is None else n_hot:
+        want, d, keys = salted(want, d, hot, "user_id", "other_id")
+    contrib = (want.join(d, keys)
                .join(sims.select("user_id", "other_id", "sim"), ["user_id", "other_id"])
                .groupBy("user_id", "item_id")
                .agg(F.sum(F.col("sim") * F.col("dev")).alias("num"),
@@ -127,7 +138,7 @@ def prepare_pairs(pairs: DataFrame, user_avg: DataFrame, cold_user: str = "drop"
 
 def predictions_for_ks(pairs_avg: DataFrame, neighbours: DataFrame, dev: DataFrame, ks: list[int],
                        weighting: str = "raters", item_raters: DataFrame | None = None,
-                       route: str = "both") -> DataFrame:
+                       route: str = "both", r_min: float = R_MIN, r_max: float = R_MAX) -> DataFrame:
     """Long form (k, user_id, item_id, ..., prediction) for each k of a sweep."""
     wide = knn_item_deviation(pairs_avg, neighbours, dev, ks, weighting, item_raters, route)
     extra = [c for c in wide.columns if not (c.startswith("num_") or c.startswith("den_"))]
@@ -135,8 +146,4 @@ def predictions_for_ks(pairs_avg: DataFrame, neighbours: DataFrame, dev: DataFra
         F.struct(F.lit(k).alias("k"), F.col(f"num_{k}").alias("num"), F.col(f"den_{k}").alias("den"))
         for k in ks])).alias("s")
     long = wide.select(*extra, per_k).select(*extra, "s.k", "s.num", "s.den")
-    return finish_prediction(long, "num", "den").drop("num", "den")
-
-
-def rounded(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*[round_out(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return finish_prediction(long, "num", "den", r_min, r_max).drop("num", "den")

@@ -90,10 +90,12 @@ class Prepared:
 
     def __init__(self, ratings: DataFrame, r_min: float = R_MIN, r_max: float = R_MAX,
                  cache: str = "auto", by_item: bool = False):
-        self.avg = user_averages(ratings)
+        # one row a user, stored: a join of the rating rows with a stored table is one of plain
+        # shuffles, which AQE splits at a user with many rows (it can't split below an aggregate)
+        self.avg = materialize(user_averages(ratings), cache)
         dev = deviations(ratings, self.avg, r_min, r_max)
-        per_user = dev.groupBy("user_id").agg(F.sum(F.col("dev") * F.col("dev")).alias("sq"),
-                                              F.count(F.lit(1)).alias("n_u"))
+        per_user = materialize(dev.groupBy("user_id").agg(F.sum(F.col("dev") * F.col("dev")).alias("sq"),
+                                                          F.count(F.lit(1)).alias("n_u")), cache)
         table = (dev.select("user_id", "item_id", "dev").join(per_user, "user_id")
                  .select("user_id", "item_id", "dev",
                          F.when(F.col("sq") > 0, F.col("dev") / F.sqrt("sq")).otherwise(F.lit(0.0)).alias("nd"),
@@ -123,18 +125,25 @@ class Prepared:
         ``hot_bucket`` rating rows; ``partner_bound``: an upper
         bound on any user's number of non-zero similarity partners -- a user
         only shares items with the other raters of the items they rated, so
-        sum over their items of (raters - 1) bounds their pairs;
+        sum over their items of (raters - 1) bounds their pairs
+        (``partner_bound_all`` counts all rating rows, as Jaccard does);
+        ``pair_rows``/``pair_rows_all``: output rows of the item self-join;
         ``min_raters``/``max_raters``: rating rows per item (for routing);
         ``n_requested``: distinct users of ``pairs`` when given.
         """
         if self._stats is None or (pairs is not None and "n_requested" not in self._stats):
             rows = self.rows.select("user_id", "item_id", (F.col("nd") != 0).cast("int").alias("nz"))
             items = rows.groupBy("item_id").agg(F.sum("nz").alias("m"), F.count(F.lit(1)).alias("raters"))
-            per_user = (rows.join(items.select("item_id", "m"), "item_id")
-                        .groupBy("user_id").agg(F.sum(F.when(F.col("nz") == 1, F.col("m") - 1)).alias("b")))
+            per_user = (rows.join(items, "item_id").groupBy("user_id")
+                        .agg(F.sum(F.when(F.col("nz") == 1, F.col("m") - 1)).alias("b"),
+                             F.sum(F.col("raters") - 1).alias("c")))
             parts = [
                 per_user.agg(F.lit("users").alias("kind"), F.count(F.lit(1)).alias("a"),
                              F.coalesce(F.max("b"), F.lit(0)).cast("long").alias("b")),
+                per_user.agg(F.lit("all partners").alias("kind"), F.coalesce(F.max("c"), F.lit(0)).cast("long").alias("a"),
+                             F.lit(0).cast("long").alias("b")),
+                items.agg(F.lit("pairs").alias("kind"), F.sum(F.col("m") * F.col("m")).alias("a"),
+                          F.sum(F.col("raters") * F.col("raters")).alias("b")),
                 items.agg(F.lit("items").alias("kind"), F.sum((F.col("m") > hot_bucket).cast("long")).alias("a"),
                           F.sum((F.col("raters") > hot_bucket).cast("long")).alias("b")),
                 items.agg(F.lit("raters").alias("kind"), F.min("raters").alias("a"), F.max("raters").alias("b")),
@@ -148,14 +157,15 @@ class Prepared:
             got = {r["kind"]: r for r in union.collect()}
             self._stats = {"n_users": int(got["users"]["a"]), "partner_bound": int(got["users"]["b"]),
                            "n_hot": int(got["items"]["a"] or 0), "n_hot_all": int(got["items"]["b"] or 0),
-                           "hot_bucket": hot_bucket,
+                           "hot_bucket": hot_bucket, "partner_bound_all": int(got["all partners"]["a"]),
+                           "pair_rows": int(got["pairs"]["a"] or 0), "pair_rows_all": int(got["pairs"]["b"] or 0),
                            "min_raters": int(got["raters"]["a"] or 0), "max_raters": int(got["raters"]["b"] or 0)}
             if pairs is not None:
                 self._stats["n_requested"] = int(got["requested"]["a"])
         return self._stats
 
-    def partner_bound(self) -> int:
-        return self.stats()["partner_bound"]
+    def partner_bound(self, similarity: str = "cosine") -> int:
+        return self.stats()["partner_bound" if similarity == "cosine" else "partner_bound_all"]
 
     def n_users(self) -> int:
         return self.stats()["n_users"]
@@ -169,7 +179,8 @@ def prepare(ratings: DataFrame, cache: str = "auto", r_min: float = R_MIN, r_max
 def cosine_similarity(ratings: DataFrame | None = None, nd: DataFrame | None = None,
                       users: DataFrame | None = None, keep_zero: bool = False,
                       cluster_by_user: bool = True, hot_bucket: int = HOT_BUCKET,
-                      n_hot: int | None = None, include_self: bool = False) -> DataFrame:
+                      n_hot: int | None = None, include_self: bool = False,
+                      n_parts: int | None = None) -> DataFrame:
     """(user_id, other_id, sim) over ordered pairs u != v sharing an item.
 
     ``sim`` is the dot product of normalised deviations, rounded to 10
@@ -189,22 +200,15 @@ def cosine_similarity(ratings: DataFrame | None = None, nd: DataFrame | None = N
     pairs = pair_aggregate(rows, ["nd"], {"p": F.col("a_nd") * F.col("b_nd")}, {"dot": F.sum("p")},
                            left_users=users, pair="all" if include_self else "ne",
                            cluster_by_user=cluster_by_user,
-                           hot_bucket=hot_bucket, n_hot=None if keep_zero else n_hot)
+                           hot_bucket=hot_bucket, n_hot=None if keep_zero else n_hot, n_parts=n_parts)
     sims = pairs.select("user_id", "other_id", round_sim("dot").alias("sim"))
     return sims if keep_zero else sims.filter(F.col("sim") != 0)
 
 
-def self_cosine(nd: DataFrame, users: DataFrame | None = None) -> DataFrame:
-    """(user_id, other_id=user_id, sim): 1 for users with a non-zero norm, else 0."""
-    base = nd if users is None else nd.join(users.select("user_id"), "user_id", "left_semi")
-    return (base.groupBy("user_id").agg(round_sim(F.sum(F.col("nd") * F.col("nd"))).alias("sim"))
-            .select("user_id", F.col("user_id").alias("other_id"), "sim"))
-
-
 def jaccard_similarity(ratings: DataFrame | None = None, users: DataFrame | None = None,
                        cluster_by_user: bool = True, hot_bucket: int = HOT_BUCKET,
                        include_self: bool = False, rows: DataFrame | None = None,
-                       n_hot: int | None = None) -> DataFrame:
+                       n_hot: int | None = None, n_parts: int | None = None) -> DataFrame:
     """(user_id, other_id, sim) = |A n B| / |A u B| for ordered pairs u != v sharing an item.
 
     ``include_self`` adds (u, u) pairs, whose similarity is 1. ``rows`` may
@@ -217,17 +221,10 @@ def jaccard_similarity(ratings: DataFrame | None = None, users: DataFrame | None
                            {"n_co": F.count(F.lit(1)), "n_a": F.max("n_a"), "n_b": F.max("n_b")},
                            left_users=users, pair="all" if include_self else "ne",
                            cluster_by_user=cluster_by_user,
-                           hot_bucket=hot_bucket, n_hot=n_hot)
+                           hot_bucket=hot_bucket, n_hot=n_hot, n_parts=n_parts)
     return pairs.select("user_id", "other_id", round_sim(jaccard("n_co", "n_a", "n_b")).alias("sim"))
 
 
-def self_jaccard(ratings: DataFrame, users: DataFrame | None = None) -> DataFrame:
-    base = ratings.select("user_id").distinct()
-    if users is not None:
-        base = base.join(users.select("user_id"), "user_id", "left_semi")
-    return base.select("user_id", F.col("user_id").alias("other_id"), F.lit(1.0).alias("sim"))
-
-
 def corated_counts(ratings: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """(user_id, other_id, n_co) for unordered pairs u <= v (self included) with n_co > 0."""
     return pair_aggregate(ratings.select("user_id", "item_id"), [], {}, {"n_co": F.count(F.lit(1))},

@@ -8,7 +8,11 @@ and types are chosen to equal the DataFrame results.
 
 from __future__ import annotations
 
-from .catalog import BASELINE_MAE, NEIGHBOUR_K, PREDICTION_K, SWEEP_KS, TOP_N
+# Fixed parameters, stated here again so that a change of the queries' own shows.
+SWEEP = "10, 30, 50, 100, 200, 300, 400, 800"
+BASELINE_MAE, NEIGHBOUR_K, PREDICTION_K, TOP_N = "1.3", 10, 100, 5
+KS = f"""
+ks AS (SELECT CAST(unnest([{SWEEP}]) AS INTEGER) AS k UNION SELECT CAST(count(DISTINCT user_id) - 1 AS INTEGER) FROM train)"""
 
 BASE = """
 ratings AS (
@@ -33,23 +37,23 @@ data AS (
 cands AS (SELECT CAST(-1 AS BIGINT) AS user_id, item_id, title FROM personal WHERE rating IS NULL)"""
 
 
-def _scale(x: str, a: str) -> str:
-    return f"(CASE WHEN {x} > {a} THEN 5 - {a} WHEN {x} < {a} THEN {a} - 1 ELSE 1 END)"
+def _scale(x: str, a: str, low: int = 1, high: int = 5) -> str:
+    return f"(CASE WHEN {x} > {a} THEN {high} - {a} WHEN {x} < {a} THEN {a} - {low} ELSE 1 END)"
 
 
-def prep(src: str = "train") -> str:
+def prep(src: str = "train", low: int = 1, high: int = 5, users: str = "count(DISTINCT user_id)") -> str:
     """Averages, deviations, normalised deviations and cosine pairs of ``src``."""
     return f"""
 ua AS (SELECT user_id, avg(rating) AS avg_rating, count(*) AS n_ratings FROM {src} GROUP BY 1),
 dev AS (
   SELECT s.user_id, s.item_id, s.rating, ua.avg_rating,
-         (s.rating - ua.avg_rating) / {_scale('s.rating', 'ua.avg_rating')} AS dev
+         (s.rating - ua.avg_rating) / {_scale('s.rating', 'ua.avg_rating', low, high)} AS dev
   FROM {src} s JOIN ua USING (user_id)),
 sq AS (SELECT user_id, sum(dev * dev) AS sq FROM dev GROUP BY 1),
 nd AS (
   SELECT d.user_id, d.item_id, CASE WHEN sq.sq > 0 THEN d.dev / sqrt(sq.sq) ELSE 0 END AS nd
   FROM dev d JOIN sq USING (user_id)),
-nusers AS (SELECT count(DISTINCT user_id) AS n FROM {src})"""
+nusers AS (SELECT {users} AS n FROM {src})"""
 
 
 SIMS = """
@@ -85,15 +89,16 @@ nb AS (
   FROM {sims} WHERE sim < 0)"""
 
 
-def _finish(name: str, src: str) -> str:
+def _finish(name: str, src: str, low: int = 1, high: int = 5) -> str:
     dh = "(CASE WHEN coalesce(den, 0) > 0 THEN num / den ELSE 0 END)"
     return f"""
 {name} AS (
-  SELECT *, avg_rating + {dh} * {_scale(f'avg_rating + {dh}', 'avg_rating')} AS prediction
+  SELECT *, avg_rating + {dh} * {_scale(f'avg_rating + {dh}', 'avg_rating', low, high)} AS prediction
   FROM {src})"""
 
 
-def knn_pred(k: int, pairs: str = "test", weighting: str = "raters", extra: str = "t.rating") -> str:
+def knn_pred(k: int, pairs: str = "test", weighting: str = "raters", extra: str = "t.rating",
+             low: int = 1, high: int = 5) -> str:
     counted = "d.dev IS NOT NULL" + (" AND d.dev <> 0" if weighting == "nonzero_dev" else "")
     cols = f"t.user_id, t.item_id, {extra + ', ' if extra else ''}ua.avg_rating"
     return f"""
@@ -104,7 +109,7 @@ acc AS (
   FROM {pairs} t JOIN ua USING (user_id)
   LEFT JOIN nb ON nb.user_id = t.user_id AND nb.eff_rank <= {k}
   LEFT JOIN dev d ON d.user_id = nb.other_id AND d.item_id = t.item_id
-  GROUP BY ALL),{_finish('pred', 'acc')}"""
+  GROUP BY ALL),{_finish('pred', 'acc', low, high)}"""
 
 
 def all_pred(selfs: str, sims: str) -> str:
@@ -144,9 +149,7 @@ def _mae_knn(k: int, weighting: str = "raters") -> str:
 
 
 def _sweep_cte() -> str:
-    ks = ", ".join(f"({k})" for k in SWEEP_KS)
-    return f"""
-ks(k) AS (VALUES {ks}),
+    return KS + f""",
 acc AS (
   SELECT ks.k, t.user_id, t.item_id, t.rating, ua.avg_rating,
          sum(CASE WHEN d.dev IS NOT NULL THEN nb.sim * d.dev END) AS num,
@@ -211,11 +214,33 @@ corated_stats AS (
   FROM st)"""
 
 
+def _scale10() -> str:
+    doubled = "\ntrain2 AS (SELECT user_id, item_id, rating * 2 AS rating FROM train)," \
+              "\ntest2 AS (SELECT user_id, item_id, rating * 2 AS rating FROM test)"
+    return (w(BASE, doubled, prep("train2", 0, 10), SIMS, ranked(), SELF_COS, knn_pred(PREDICTION_K, "test2", low=0, high=10),
+              _all_named("cos", "selfs", "sims", "test2", 0, 10)) + """
+SELECT 'k' AS method, round(avg(abs(prediction - rating)), 9) AS mae, count(*) AS n FROM pred
+UNION ALL SELECT 'all', round(avg(abs(prediction - rating)), 9), count(*) FROM cos""")
+
+
 def _metrics() -> str:
     return (w(BASE, prep(), SIMS, SELF_COS, ranked(), _sweep_cte(), _stats_cte(), JACCARD,
               "\nselfj AS (SELECT DISTINCT user_id, user_id AS other_id, CAST(1.0 AS DOUBLE) AS sim FROM train)",
-              _all_named("cos", "selfs", "sims"), _all_named("jacp", "selfj", "jac"))
+              _all_named("cos", "selfs", "sims"), _all_named("jacp", "selfj", "jac"),
+              "\ncm AS (SELECT round(avg(abs(prediction - rating)), 9) AS c FROM cos)",
+              "\njm AS (SELECT round(avg(abs(prediction - rating)), 9) AS j FROM jacp)",
+              "\nlow AS (SELECT min(k) AS k, arg_min(mae, k) AS mae FROM sweep WHERE mae < CAST(1.3 AS DOUBLE))",
+              "\nnu AS (SELECT count(DISTINCT user_id) AS n FROM train)")
             + """
+SELECT 'differences' AS question, 'cosine_minus_baseline' AS metric, round(c - CAST(1.3 AS DOUBLE), 9) AS value FROM cm
+UNION ALL SELECT 'differences', 'jaccard_minus_cosine', round(j - c, 9) FROM cm, jm
+UNION ALL SELECT 'nonzero_bytes', 'n_nonzero', CAST(count(*) AS DOUBLE) FROM corated
+UNION ALL SELECT 'nonzero_bytes', 'bytes', CAST(count(*) * 8 AS DOUBLE) FROM corated
+UNION ALL SELECT 'lowest_k', 'k', CAST(k AS DOUBLE) FROM low
+UNION ALL SELECT 'lowest_k', 'diff', round(mae - CAST(1.3 AS DOUBLE), 9) FROM low
+UNION ALL SELECT 'topk_bytes', 'bytes_k' || k, CAST(n * k * 8 AS DOUBLE) FROM ks, nu
+UNION ALL SELECT 'users_in_ram', 'users_k' || k, round(1.7179860388e10 / (k * 8 * 3), 9) FROM ks, nu
+UNION ALL
 SELECT 'mae_cosine' AS question, 'mae' AS metric, round(avg(abs(prediction - rating)), 9) AS value FROM cos
 UNION ALL
 SELECT 'mae_jaccard', 'mae', round(avg(abs(prediction - rating)), 9) FROM jacp
@@ -235,17 +260,17 @@ UNION ALL
 SELECT 'knn_sweep', 'mae_k' || CAST(k AS VARCHAR), CAST(mae AS DOUBLE) FROM sweep""")
 
 
-def _all_named(name: str, selfs: str, sims: str) -> str:
+def _all_named(name: str, selfs: str, sims: str, pairs: str = "test", low: int = 1, high: int = 5) -> str:
     return f"""
 {name}_all AS (SELECT user_id, other_id, sim FROM {sims} UNION ALL SELECT * FROM {selfs} WHERE sim <> 0),
 {name}_c AS (
   SELECT t.user_id, t.item_id, sum(s.sim * d.dev) AS num, sum(abs(s.sim)) AS den
-  FROM test t JOIN dev d ON d.item_id = t.item_id
+  FROM {pairs} t JOIN dev d ON d.item_id = t.item_id
   JOIN {name}_all s ON s.user_id = t.user_id AND s.other_id = d.user_id
   GROUP BY 1, 2),
 {name}_acc AS (
   SELECT t.user_id, t.item_id, t.rating, ua.avg_rating, c.num, c.den
-  FROM test t JOIN ua USING (user_id) LEFT JOIN {name}_c c USING (user_id, item_id)),{_finish(name, name + '_acc')}"""
+  FROM {pairs} t JOIN ua USING (user_id) LEFT JOIN {name}_c c USING (user_id, item_id)),{_finish(name, name + '_acc', low, high)}"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -294,11 +319,18 @@ SELECT count(DISTINCT user_id) AS n_users,
        CAST(count(DISTINCT user_id) * (count(DISTINCT user_id) - 1) // 2 + count(DISTINCT user_id) AS BIGINT)
          AS n_computations
 FROM train""",
-        "topk_bytes": b + f"""
-, ks AS (SELECT CAST(UNNEST([{', '.join(str(k) for k in SWEEP_KS)}]) AS INTEGER) AS k
-         UNION SELECT CAST(count(DISTINCT user_id) - 1 AS INTEGER) FROM train)
+        "topk_bytes": w(BASE, KS) + """
 SELECT k, n AS n_users, CAST(n * k * 8 AS BIGINT) AS bytes, round(1.7179860388e10 / (k * 8 * 3), 9) AS max_users_in_ram
 FROM ks, (SELECT count(DISTINCT user_id) AS n FROM train) u""",
+        "scan_ratings_tab": b + "\nSELECT user_id, item_id, rating FROM ratings",
+        "scan_ratings_separator": b + "\nSELECT user_id, item_id, rating FROM ratings",
+        "personal_text": b + "\nSELECT item_id, title, rating FROM personal",
+        "knn_neighbours_declared": w(BASE, prep(users="2 * count(DISTINCT user_id)"), SIMS, ranked()) + f"""
+SELECT user_id, other_id, sim, eff_rank AS rank FROM nb WHERE eff_rank <= {NEIGHBOUR_K}""",
+        "knn_predictions_repeated": w(BASE, prep(), SIMS, ranked(), knn_pred(PREDICTION_K)) + """
+SELECT user_id, item_id, rating, round(prediction, 9) AS prediction FROM pred, (VALUES (1), (2)) twice""",
+        "knn_predictions_scale10": _scale10(),
+        "mae_knn_nonzero_k200": _mae_knn(200, "nonzero_dev"),
         "knn_neighbours": w(BASE, prep(), SIMS, ranked()) + f"""
 SELECT user_id, other_id, sim, eff_rank AS rank FROM nb WHERE eff_rank <= {NEIGHBOUR_K}""",
         "knn_predictions": w(BASE, prep(), SIMS, ranked(), knn_pred(PREDICTION_K)) + """

@@ -7,10 +7,11 @@ broadcast conversion from *measured* sizes) and where reliable checkpoints go.
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,10 +27,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128m",
-    # split a skewed join partition (e.g. one user's many requested pairs
-    # against the neighbour table, whose side is already partitioned by user
-    # by the ranking window) even when that needs an extra shuffle; only
-    # measured skew above the thresholds triggers it
+    # split a skewed join partition even when what follows then needs an extra
+    # shuffle. AQE splits a side only if that side is a plain shuffle, not an
+    # aggregate or window, so tables joined to many rows of one user are stored
+    # first; only measured skew above the thresholds triggers it
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
@@ -37,6 +38,10 @@ DEFAULT_CONF = {
 }
 
 
+#: Folders of intermediate tables, for `drop_tables`.
+_FOLDERS: list[str] = []
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tastegraph", extra_conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine defaults.
@@ -103,46 +108,61 @@ def materialize(df: DataFrame, mode: str = "auto") -> DataFrame:
     if mode in ("checkpoint", "table") and not ensure_checkpoint_dir(df.sparkSession):
         raise ValueError(f"materialize({mode!r}) needs spark.checkpoint.dir on a cluster")
     if mode == "checkpoint":
-        return df.checkpoint(eager=True)
+        return mark_stored(df.checkpoint(eager=True))
     if mode == "table":
         # a Parquet table in the checkpoint folder: lineage is cut like a
         # checkpoint, later reads prune columns and push filters into the
         # scan, and two reads of it are the same scan, so Spark can write
         # one shuffle for both sides of a self-join (it does not for a
         # persisted or checkpointed input)
-        path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+        path = new_folder(df.sparkSession, "table")
         df.write.parquet(path)
-        return df.sparkSession.read.parquet(path)
+        return mark_stored(df.sparkSession.read.schema(df.schema).parquet(path))
     if mode == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        return mark_stored(df.persist(StorageLevel.MEMORY_AND_DISK))
     if mode == "none":
         return df
     raise ValueError(f"unknown materialize mode {mode!r}")
 
 
-def reads_files_only(df: DataFrame) -> bool:
-    """True when the optimised plan is only filters/projections over file scans.
+def mark_stored(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Says that reading ``df`` again costs no more than reading a copy of it.
 
-    Such an input is as cheap to re-read as a materialised copy of it. A
-    projection that yields a constant (a literal user id) does not count:
-    the constant would be folded into later join conditions.
+    `materialize` marks what it has stored; a caller marks a filter or a union
+    of stored tables (``source``: only if that is marked).
     """
-    def ok(node) -> bool:
-        name = node.nodeName()
-        if name == "Project":
-            exprs = node.projectList()
-            for i in range(exprs.size()):
-                e = exprs.apply(i)
-                while e.nodeName() == "Alias":
-                    e = e.child()
-                if e.foldable():
-                    return False
-        elif name not in ("Filter", "LogicalRelation"):
-            return False
-        kids = node.children()
-        return all(ok(kids.apply(i)) for i in range(kids.size()))
-
-    return ok(df._jdf.queryExecution().optimizedPlan())
+    if source is None or is_stored(source):
+        df._tastegraph_stored = True
+    return df
+
+
+def is_stored(df: DataFrame) -> bool:
+    return getattr(df, "_tastegraph_stored", False)
+
+
+def open_fs(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a URI (file:, hdfs:, s3:, gs:) or of a plain local path."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
+    return fs.FileSystem.from_uri(uri)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """URI of a folder of its own in the shared folder, removed by `drop_tables` or when the program ends."""
+    uri = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _FOLDERS.append(uri)
+    return uri
+
+
+def drop_tables() -> None:
+    """Removes the intermediate tables of all queries so far; frames that read them can't be used any more."""
+    while _FOLDERS:
+        f, path = open_fs(_FOLDERS.pop())
+        if f.get_file_info(path).type != fs.FileType.NotFound:
+            f.delete_dir(path)
+
+
+atexit.register(drop_tables)
 
 
 def scalar(df: DataFrame, column: str | None = None):
@@ -151,8 +171,3 @@ def scalar(df: DataFrame, column: str | None = None):
     if row is None:
         return None
     return row[column] if column else row[0]
-
-
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import mark_stored
+
 RATING_COLUMNS = ["user_id", "item_id", "rating"]
 
 # A rating file has user, item, rating and optionally a timestamp that is
@@ -102,7 +104,7 @@ def is_test_pair(user_col: str = "user_id", item_col: str = "item_id", threshold
 
 def holdout_split(ratings: DataFrame, threshold: str = "33") -> tuple[DataFrame, DataFrame]:
     pred = is_test_pair(threshold=threshold)
-    return ratings.filter(~pred), ratings.filter(pred)
+    return mark_stored(ratings.filter(~pred), ratings), mark_stored(ratings.filter(pred), ratings)
 
 
 def with_holdout_flag(ratings: DataFrame, threshold: str = "33") -> DataFrame:
@@ -147,13 +149,16 @@ def personal_rated(personal: DataFrame, user_id: int = PERSONAL_USER_ID) -> Data
 
 
 def personal_candidates(personal: DataFrame, user_id: int = PERSONAL_USER_ID) -> DataFrame:
-    """Catalogue items the personal user has not rated (left-anti join)."""
-    rated = personal.filter(F.col("rating").isNotNull()).select("item_id")
-    return (personal.select("item_id", "title")
-            .join(rated, "item_id", "left_anti")
+    """Catalogue items the personal user has not rated."""
+    return (personal.filter(F.col("rating").isNull())
             .select(F.lit(user_id).cast("long").alias("user_id"), "item_id", "title"))
 
 
 def with_personal(ratings: DataFrame, personal: DataFrame, user_id: int = PERSONAL_USER_ID) -> DataFrame:
     """Corpus ratings plus the rated personal rows (union all, no dedupe)."""
-    return ratings.select(*RATING_COLUMNS).unionByName(personal_rated(personal, user_id))
+    return mark_stored(ratings.select(*RATING_COLUMNS).unionByName(personal_rated(personal, user_id)), ratings)
+
+
+def without_rated(candidates: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Candidate pairs (user_id, item_id, ...) that ``ratings`` doesn't hold (left-anti join)."""
+    return candidates.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")

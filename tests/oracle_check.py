@@ -30,20 +30,25 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _norm(v):
+def _norm(v, decimals):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 9) + 0.0)
+        return repr(round(v, decimals) + 0.0)
     return repr(v)
 
 
 def digest(columns: list[str], rows: list[tuple]) -> str:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    lines = sorted("|".join(_norm(r[i]) for i in order) for r in rows)
+    lines = sorted("|".join(_norm(r[i], 10 if columns[i] == "sim" else 9) for i in order) for r in rows)
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16]
 
 
+def kinds(columns: list[str], rows: list[tuple]) -> dict[str, set]:
+    """Python types of the values of each column, apart from null."""
+    return {c: {type(r[i]) for r in rows if r[i] is not None} for i, c in enumerate(columns)}
+
+
 def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool = True) -> dict:
     from __spark_entry__ import oracle_sql, queries
 
@@ -65,7 +70,8 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
                        schema=sorted(s_cols) == sorted(d_cols),
                        values=digest(s_cols, s_rows) == digest(d_cols, d_rows) if sorted(s_cols) == sorted(d_cols)
                        else False)
-            res["ok"] = res["schema"] and res["values"] and res["rows_spark"] == res["rows_sql"]
+            res["types"] = kinds(s_cols, s_rows) == kinds(d_cols, d_rows)
+            res["ok"] = res["schema"] and res["types"] and res["values"] and res["rows_spark"] == res["rows_sql"]
             if not res["schema"]:
                 res["cols"] = (s_cols, d_cols)
         out[name] = res
@@ -83,3 +89,4 @@ if __name__ == "__main__":
     result = compare(spark, sf, sys.argv[2:] or None)
     bad = [k for k, v in result.items() if not v.get("ok", True)]
     print("FAILED:", bad if bad else "none")
+    print("WITHOUT SQL:", [k for k, v in result.items() if "ok" not in v] or "none")

@@ -80,16 +80,48 @@ def test_metrics_sink_writes_json(spark):
     assert json.loads(nested.json) == {"mae": 1.380214986, "n": 1088.0}
 
 
-def test_reads_files_only(spark):
-    """A filter over written files is re-read as is; constants and joins are materialised."""
+def test_stored_inputs_are_not_copied(spark):
+    """A split of stored ratings is read as it is; other inputs are stored once; all goes in the end."""
     from pyspark.sql import functions as F
 
-    from tastegraph.session import reads_files_only
+    from tastegraph import session
 
+    session.drop_tables()
     ratings = materialize(R.ratings_from_tables(spark, SF001), "table")
     train, test = R.holdout_split(ratings)
-    assert reads_files_only(train) and reads_files_only(test)
-    assert not reads_files_only(train.withColumn("user_id", F.lit(7)))
+    assert session.is_stored(train) and session.is_stored(test)
+    assert K._requested(train, "auto") is train
     personal = R.personal_from_part(spark, SF001)
-    assert not reads_files_only(R.personal_candidates(personal))
-    assert not reads_files_only(R.with_personal(ratings, personal))
+    assert session.is_stored(R.with_personal(ratings, personal))
+    assert not session.is_stored(train.withColumn("user_id", F.lit(7)))
+    folders = list(session._FOLDERS)
+    assert len(folders) == 1 and os.path.isdir(session.open_fs(folders[0])[1])
+    session.drop_tables()
+    assert not any(os.path.exists(session.open_fs(f)[1]) for f in folders) and not session._FOLDERS
+
+
+def test_report_shares_one_ratings_table_and_one_model(spark):
+    from tastegraph import session
+    from tastegraph.plans.catalog import QUERIES
+
+    session.drop_tables()
+    rows = QUERIES["metrics_report"](spark, SF001).collect()
+    names = [f.rsplit("/", 1)[1].split("-")[0] for f in session._FOLDERS]
+    # ratings, the model's three tables, and the four answers that others are made of
+    assert names.count("table") == 8 and names.count("metrics") == 1
+    values = {(r.question, r.metric): r.value for r in rows}
+    u = int(values["similarity_computation_count", "n_users"])
+    assert values["knn_sweep", f"mae_k{u - 1}"] == values["mae_cosine", "mae"]
+    session.drop_tables()
+    assert not session._FOLDERS
+
+
+def test_single_read_queries_store_nothing(spark):
+    from tastegraph import session
+    from tastegraph.plans.catalog import QUERIES
+
+    session.drop_tables()
+    for name in ("scan_ratings", "holdout_split", "distinct_users", "avg_per_user", "avg_per_item", "global_avg",
+                 "user_item_sets", "similarity_computation_count", "ratings_with_personal"):
+        QUERIES[name](spark, SF001)
+    assert not session._FOLDERS

@@ -38,6 +38,63 @@ def test_salted_restricted_users(spark):
     assert plain.filter(F.col("user_id") == F.col("other_id")).count() == 0
 
 
+def test_salted_jaccard_equals_unsalted(spark):
+    train, _ = R.train_test(spark, SF001)
+    assert _rows(S.jaccard_similarity(train)) == _rows(S.jaccard_similarity(train, hot_bucket=5))
+
+
+def test_salted_all_neighbour_prediction(spark, monkeypatch):
+    """A hot item's requesters and raters are dealt to buckets: same predictions, both similarities."""
+    from tastegraph.operators import knn as K
+
+    train, test = R.train_test(spark, SF001)
+    for similarity in ("cosine", "jaccard"):
+        focus = K.Focus(train, test)
+        plain = K.mae(K.predict(train, test, similarity=similarity, focus=focus)).first()
+        split = K.Focus(train, test)
+        split.model.stats(hot_bucket=5)
+        assert split.model.stats()["n_hot_all"] > 0
+        salted = K.predict(train, test, similarity=similarity, focus=split)
+        assert "lb" in salted._jdf.queryExecution().optimizedPlan().toString()
+        assert K.mae(salted).first() == plain
+
+
+def test_one_users_request_copies_few_rows(spark):
+    """The raters' side keeps only the items asked for, once for each left bucket in use."""
+    from tastegraph.operators import pairs as P
+
+    train, _ = R.train_test(spark, SF001)
+    one = train.agg(F.min("user_id").alias("user_id"))
+    rows = P.item_self_join(train, [], left_users=one, hot_bucket=4)
+    items = train.join(one, "user_id", "left_semi").select("item_id")
+    raters = train.join(items, "item_id", "left_semi").count()
+    assert rows.count() == raters - items.count()  # each rater met once; the user itself is left out
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+
+
+def test_hot_user_is_split(spark):
+    """A stored table of averages lets AQE split the join at a user who holds most rows."""
+    from tastegraph.session import materialize
+
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4000", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        base = spark.range(60000).select(
+            F.when(F.col("id") < 50000, F.lit(1)).otherwise(F.col("id")).cast("long").alias("user_id"),
+            F.col("id").alias("item_id"), (F.lit(1.0) + F.col("id") % 5).alias("rating"))
+        ratings = materialize(base.repartition(8), "table")
+        dev = S.deviations(ratings, materialize(S.user_averages(ratings), "table"))
+        parts = dev.where("user_id = 1").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert len(parts) > 1 and sum(r["count"] for r in parts) == 50000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_two_phase_ranking_matches(spark, monkeypatch):
     """Pair-partitioned aggregation + partial top-k gives the same neighbours."""
     from tastegraph.operators import knn as K
