@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.session import ensure_checkpoint_dir
+from tastegraph.session import ensure_checkpoint_dir, new_folder, open_fs
 
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -26,14 +28,14 @@ class Scratch:
 
     ``keep`` writes a frame as Parquet and reads it back, which cuts the lineage:
     a lost executor costs a re-read, not a re-run. ``drop`` removes tables whose
-    last reader has run; tables that the returned frame still reads stay.
+    last reader has run; what the returned frame still reads goes with
+    `session.drop_tables`, at the latest when the program ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        base = ensure_checkpoint_dir(spark)
-        if not base:
+        if not ensure_checkpoint_dir(spark):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        self.spark, self.uri = spark, f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.spark, self.uri = spark, new_folder(spark, name)
 
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}"
@@ -49,27 +51,10 @@ class Scratch:
                 f.delete_dir(p)
 
 
-def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a URI (file:, hdfs:, s3:, gs:) or of a plain local path."""
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    return pafs.FileSystem.from_uri(uri)
-
-
-def pieces(total_bytes: float, target: float, least: int = 1) -> int:
-    """Number of partitions so that each holds about ``target`` bytes."""
-    return max(least, int(total_bytes // target) + 1)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_columns(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, so that extra columns can't clash with an operator's own."""
-    return df.select(*[df[n] for n in names])
-
-
 def text_slices(texts, target_chars: int = 1 << 20):
     """Row ranges of an Arrow string array, each of about ``target_chars`` bytes, or one row if that is longer."""
     n = len(texts)
@@ -98,3 +83,40 @@ def write_whole(uri: str, chunks) -> int:
             size += len(chunk)
     f.move(part, f"{parent}/{name}")
     return size
+
+
+MOST_BITS = 1 << 24  # of a filter; 2 MB on the driver and in each task, however much is put in
+
+
+def filter_bits(values: DataFrame, n: int) -> np.ndarray:
+    """A filter of the values of a long column, as 64-bit words: a join's other side can leave out rows before the shuffle.
+
+    Its size is bounded: with very many values it lets more through, never less,
+    so a join must follow.
+    """
+    bits = max(1 << 12, min(MOST_BITS, 1 << (8 * n).bit_length()))
+
+    def words_of(batches):
+        for batch in batches:
+            at = _place(batch.column(0).to_numpy(zero_copy_only=False), bits)
+            word, back = np.unique(at >> np.uint64(6), return_inverse=True)
+            out = np.zeros(len(word), np.uint64)
+            np.bitwise_or.at(out, back, np.uint64(1) << (at & np.uint64(63)))
+            yield pa.RecordBatch.from_pydict({"word": word.astype(np.int64), "bits": out.view(np.int64)})
+
+    rows = values.mapInArrow(words_of, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    out = np.zeros(bits // 64, np.uint64)
+    out[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def may_hold(words: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """False for values that are not in the filter."""
+    at = _place(values, 64 * len(words))
+    return (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _place(values: np.ndarray, bits: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = values.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (h ^ (h >> np.uint64(32))) & np.uint64(bits - 1)

@@ -36,7 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import Scratch, open_fs, text_slices, write_whole
+from tastegraph.llm.common import Scratch, text_slices, write_whole
+from tastegraph.session import open_fs
 
 BLOCK, LANES = 1024, 32
 PERCENTILE = 0.9

@@ -27,7 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import Scratch, open_fs, write_whole
+from tastegraph.llm.common import Scratch, write_whole
+from tastegraph.session import open_fs
 
 LEAST_BYTES = 1000  # payloads below are stored each time
 ARCHIVE_BYTES = 64 << 20  # compressed size at which a task starts another archive
