@@ -48,9 +48,9 @@ def mask_sql(hex_digits: str) -> str:
 
 
 def terms(text: Column) -> Column:
-    """Distinct lower-case words of a text, and the empty word, which stands for the text itself."""
+    """The empty word, which stands for the text itself, and the distinct lower-case words of a text."""
     spaced = F.translate(F.lower(text), "\t\n\x0b\x0c\r", "     ")
-    return F.array_distinct(F.concat(F.split(spaced, " "), F.array(F.lit(""))))
+    return F.array_distinct(F.concat(F.array(F.lit("")), F.split(spaced, " ")))
 
 
 def lexicon(docs: DataFrame, text_col: str, scratch: Scratch, low: float = LOW, high: float = HIGH) -> tuple[DataFrame, int]:
@@ -79,16 +79,26 @@ def by_rate(found: Column) -> Column:
     return F.array(*[_of_subsets(found, F.lit(m)) for m in masks])
 
 
-def fingerprint(found: Column, rates: Column, whole: Column) -> Column:
-    """found: array of (term, mask) in order; rates: `by_rate` of it; whole: the text's hash, if there is no term."""
+def _bound(value: Column, use) -> Column:
+    """use(value), with the value computed once: a lambda variable can't be inlined into a loop over it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def fingerprint(found: Column, whole: Column) -> Column:
+    """found: array of (term, mask) in order; whole: the text's hash, which stands in if there is no term."""
     joined = lambda a: F.array_join(F.transform(a, lambda x: x["term"]), " ")
-    first = F.when(F.size(found) > 0, _hash(joined(found))).otherwise(whole)
 
-    def field(k: Column) -> Column:
-        own = joined(_of_subsets(F.get(rates, F.floor(k / SUBSETS).cast("int")), F.call_function("shiftleft", F.lit(1).cast("long"), k)))
-        return F.get(F.transform(F.array(own), lambda s: F.when(s == "", F.lit("-")).otherwise(_hash(s))), F.lit(0))
+    def field(rates: Column, k: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), k)
+        own = joined(_of_subsets(F.get(rates, F.floor(k / SUBSETS).cast("int")), bit))
+        return _bound(own, lambda s: F.when(s == "", F.lit("-")).otherwise(_hash(s)))
+
+    def fields(terms_found: Column) -> Column:
+        first = F.when(F.size(terms_found) > 0, _hash(joined(terms_found))).otherwise(whole)
+        subsets = F.sequence(F.lit(0), F.lit(len(RATES) * SUBSETS - 1))
+        return F.concat(F.array(first), _bound(by_rate(terms_found), lambda rates: F.transform(subsets, lambda k: field(rates, k))))
 
-    return F.concat(F.array(first), F.transform(F.sequence(F.lit(0), F.lit(len(RATES) * SUBSETS - 1)), field))
+    return _bound(found, fields)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -158,22 +168,25 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")),
                                             F.substring(F.coalesce("next", F.lit("")), F.lit(1), cut))))
     each = texts.select(
-        "bucket", "copy", "doc", "tid", "row", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("sha"),
+        "bucket", "row", F.struct("copy", "doc", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("sha")).alias("about"),
         F.explode(F.array(F.struct(F.lit(False).alias("is_edited"), F.col("text")),
                           F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text")))).alias("t"))
-    keys = ["bucket", "row", "copy", "doc", "tid", "n_chars", "sha"]
-    each = each.select(*keys, "t.is_edited", _hash(F.col("t.text")).alias("whole"), F.explode(terms(F.col("t.text"))).alias("term"))
+    each = each.select("bucket", "row", "t.is_edited", "about", _hash(F.col("t.text")).alias("whole"),
+                       F.posexplode(terms(F.col("t.text"))).alias("pos", "term"))
+    # what is known of the text goes with its empty word only, so that the other words' rows are short
+    each = each.select("bucket", "row", "is_edited", "term", F.when(F.col("pos") == 0, F.struct("about", "whole")).alias("text"))
     met = each.join(lex, "term")
     some = lambda edited: F.array_sort(F.collect_list(F.when(
         (F.col("is_edited") == F.lit(edited)) & (F.col("term") != ""), F.struct("term", "mask"))))
-    whole = lambda edited: F.max(F.when(F.col("is_edited") == F.lit(edited), F.col("whole")))
-    found = met.groupBy(*keys).agg(some(False).alias("own"), whole(False).alias("own_whole"),
-                                   some(True).alias("changed"), whole(True).alias("changed_whole"))
+    told = lambda edited: F.first(F.when(F.col("is_edited") == F.lit(edited), F.col("text")), ignorenulls=True)
+    found = met.groupBy("bucket", "row").agg(some(False).alias("own"), told(False).alias("own_text"),
+                                             some(True).alias("changed"), told(True).alias("changed_text"))
+    found = found.select("bucket", "row", "own_text.about.*", "own", F.col("own_text.whole").alias("own_whole"),
+                         "changed", F.col("changed_text.whole").alias("changed_whole"))
     # a copy's own fingerprint is only read by the document before it
-    found = found.withColumn("own_rates", by_rate(F.col("own"))).withColumn("changed_rates", by_rate(F.col("changed")))
     prints = found.select(
-        *keys, fingerprint(F.col("own"), F.col("own_rates"), F.col("own_whole")).alias("a"),
-        F.when(~F.col("copy"), fingerprint(F.col("changed"), F.col("changed_rates"), F.col("changed_whole"))).alias("b"))
+        "bucket", "row", "copy", "doc", "n_chars", "sha", fingerprint(F.col("own"), F.col("own_whole")).alias("a"),
+        F.when(~F.col("copy"), fingerprint(F.col("changed"), F.col("changed_whole"))).alias("b"))
     again = Window.partitionBy("bucket").orderBy("row")
     prints = prints.withColumn("c", F.lead("a").over(again)).where(~F.col("copy"))
     return prints.select(
