@@ -23,6 +23,11 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), with the value computed once: a lambda variable can't be inlined into a loop over it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 class Scratch:
     """Intermediate tables of one operator call, in the shared folder named by ``spark.checkpoint.dir``.
 

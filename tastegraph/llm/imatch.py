@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import Scratch
+from tastegraph.llm.common import Scratch, bound
 
 LOW, HIGH = 0.001, 0.05  # band of document frequency, as shares of the documents
 SUBSETS = 12  # of each rate
@@ -79,11 +79,6 @@ def by_rate(found: Column) -> Column:
     return F.array(*[_of_subsets(found, F.lit(m)) for m in masks])
 
 
-def _bound(value: Column, use) -> Column:
-    """use(value), with the value computed once: a lambda variable can't be inlined into a loop over it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def fingerprint(found: Column, whole: Column) -> Column:
     """found: array of (term, mask) in order; whole: the text's hash, which stands in if there is no term."""
     joined = lambda a: F.array_join(F.transform(a, lambda x: x["term"]), " ")
@@ -91,14 +86,14 @@ def fingerprint(found: Column, whole: Column) -> Column:
     def field(rates: Column, k: Column) -> Column:
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), k)
         own = joined(_of_subsets(F.get(rates, F.floor(k / SUBSETS).cast("int")), bit))
-        return _bound(own, lambda s: F.when(s == "", F.lit("-")).otherwise(_hash(s)))
+        return bound(own, lambda s: F.when(s == "", F.lit("-")).otherwise(_hash(s)))
 
     def fields(terms_found: Column) -> Column:
         first = F.when(F.size(terms_found) > 0, _hash(joined(terms_found))).otherwise(whole)
         subsets = F.sequence(F.lit(0), F.lit(len(RATES) * SUBSETS - 1))
-        return F.concat(F.array(first), _bound(by_rate(terms_found), lambda rates: F.transform(subsets, lambda k: field(rates, k))))
+        return F.concat(F.array(first), bound(by_rate(terms_found), lambda rates: F.transform(subsets, lambda k: field(rates, k))))
 
-    return _bound(found, fields)
+    return bound(found, fields)
 
 
 def likeness(a: Column, b: Column) -> Column:

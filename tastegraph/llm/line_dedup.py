@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import LOWER, SPACES, UPPER, Scratch, ascii_lower
+from tastegraph.llm.common import LOWER, SPACES, UPPER, Scratch, ascii_lower, bound
 
 WORD = 64  # lines per bitmap word
 
@@ -92,11 +92,11 @@ def _dense(words: Column) -> Column:
 
 
 def kept_text(text: Column, words: Column) -> Column:
-    dense = _dense(words)
-    dropped = lambda i: F.coalesce(
-        F.expr("1L") == F.getbit(F.get(F.col("_dense"), F.floor(i / WORD).cast("int")), i % WORD), F.lit(False))
-    kept = F.array_join(F.filter(_lines(text), lambda _, i: ~dropped(i)), "\n")
-    return dense, kept
+    """The lines whose bit is not set in the bitmap."""
+    def of(dense: Column) -> Column:
+        return F.array_join(F.filter(_lines(text), lambda _, i: F.coalesce(
+            F.getbit(F.get(dense, F.floor(i / WORD).cast("int")), i % WORD) == 0, F.lit(True))), "\n")
+    return bound(_dense(words), of)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -107,8 +107,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        docs[id_col].alias("_doc"), text_id(docs[text_col]).alias("_tid"))
     met = rows.join(bitmaps, rows["_doc"].eqNullSafe(bitmaps["doc"]) & (rows["_tid"] == bitmaps["tid"]), "left")
     text = F.col("_row")[text_col]
-    dense, kept = kept_text(text, F.col("words"))
-    met = met.select("_row", "n_dropped", "words", dense.alias("_dense"))
+    kept = kept_text(text, F.col("words"))
     n_lines = F.char_length(F.coalesce(text, F.lit(""))) - F.char_length(
         F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(""))) + 1
     return met.select(

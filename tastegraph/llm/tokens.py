@@ -18,7 +18,7 @@ LIMIT = 0x250  # code points below are classified here; any other sends the text
 LETTER, DIGIT, SPACE, NEWLINE, BLANK, OTHER, QUOTE, HARD = 1, 2, 3, 4, 5, 6, 7, 8
 LONGEST = 64  # characters of a remembered chunk
 SLOT_BITS = 21  # remembered chunks at most, as a power of two: 27 MB
-MOST_IDS = 12_000_000  # ids behind the remembered chunks; the table starts anew beyond that
+MOST_IDS = 12_000_000  # ids behind the remembered chunks, many windows' worth; the table starts anew beyond that
 WINDOW = 1 << 20  # characters hashed at a time
 JOINED = 64  # new chunks given to the library in one text
 
@@ -89,9 +89,9 @@ class ChunkEncoder:
             out[i] = ids
         return out
 
-    def _starts(self, cp: np.ndarray, cls: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def _starts(self, cls: np.ndarray, first: np.ndarray) -> np.ndarray:
         """True where a chunk starts."""
-        start = np.zeros(len(cp), bool)
+        start = np.zeros(len(cls), bool)
         start[first] = True
         prev, now = cls[:-1], cls[1:]
         blank = (cls >= SPACE) & (cls <= BLANK)
@@ -100,7 +100,7 @@ class ChunkEncoder:
             (prev == OTHER) & (now == QUOTE))
         if self.words:
             start[1:] |= blank[:-1] != blank[1:]
-        elif len(cp) > 2:
+        elif len(cls) > 2:
             alone = ~blank[:-2] & ~blank[2:]
             start[1:-1] |= alone & ((cls[1:-1] == SPACE) | (cls[1:-1] == NEWLINE))
             start[2:] |= alone & (cls[1:-1] == NEWLINE)
@@ -108,8 +108,7 @@ class ChunkEncoder:
 
     def _window(self, text: str, cp: np.ndarray, cls: np.ndarray, at: np.ndarray, end: np.ndarray):
         """Ids and id counts of the chunks [at, end) of one window."""
-        n = len(at)
-        lo = int(at[0])
+        n, lo = len(at), int(at[0])
         with np.errstate(over="ignore"):
             v = self.value[cp[lo:int(end[-1])]]
             sums = np.zeros(len(v) + 1, np.uint64)
@@ -128,7 +127,6 @@ class ChunkEncoder:
         hit = self.keys[slot] == h
         new = np.flatnonzero(used & ~hit)
         starts = np.zeros(n, np.int64)
-        extra = np.zeros(0, np.uint16)
         if len(new):
             _, one, back = np.unique(h[new], return_index=True, return_inverse=True)
             which = new[one]
@@ -138,8 +136,7 @@ class ChunkEncoder:
             offset = np.cumsum(size) - size
             if self.n_ids + len(flat) > MOST_IDS:
                 self._forget()
-                hit[:] = False
-                return self._window(text, cp, cls, at, end) if len(flat) <= MOST_IDS else self._parts(text, cp, cls, at, end)
+                return self._window(text, cp, cls, at, end)
             while self.n_ids + len(flat) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             self.ids[self.n_ids:self.n_ids + len(flat)] = flat
@@ -157,11 +154,6 @@ class ChunkEncoder:
         shift = np.repeat(starts - (np.cumsum(counts) - counts), counts)
         return self.ids[shift + np.arange(total)], counts
 
-    def _parts(self, text, cp, cls, at, end):
-        half = len(at) // 2
-        a, b = self._window(text, cp, cls, at[:half], end[:half]), self._window(text, cp, cls, at[half:], end[half:])
-        return np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
-
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint16, in order of the texts) and the number of ids of each text; null counts as empty."""
         texts = [t or "" for t in texts]
@@ -175,9 +167,9 @@ class ChunkEncoder:
         first = np.cumsum(sizes) - sizes
         hard = np.zeros(len(texts), bool)
         if (at := np.flatnonzero(cls == HARD)).size:
+            # of texts that start at one place, all but the last are empty
             hard[np.searchsorted(first, at, "right") - 1] = True
-            # an empty text starts where the next one does: give the character to the last that starts there
-        start = self._starts(cp, cls, first[sizes > 0])
+        start = self._starts(cls, first[sizes > 0])
         at = np.flatnonzero(start)
         end = np.append(at[1:], len(cp))
         doc = np.searchsorted(first, at, "right") - 1
@@ -185,17 +177,15 @@ class ChunkEncoder:
         counts = np.zeros(len(at), np.int64)
         parts: list[np.ndarray] = []
         bounds = np.searchsorted(at, np.arange(0, len(cp) + WINDOW, WINDOW))
-        pieces: list[np.ndarray] = [None] * len(at) if not easy.all() else []
         odd: dict[int, list[int]] = {}
         if not easy.all():
-            # whole texts for the hard ones, single chunks for the long ones
+            # whole texts for the hard ones, at the place of their first chunk; single chunks for the long ones
             whole = np.flatnonzero(hard)
             for d, ids in zip(whole.tolist(), self._library([texts[d] for d in whole])):
                 odd[int(np.searchsorted(doc, d))] = ids
             long = np.flatnonzero(~easy & ~hard[doc])
             for i, ids in zip(long.tolist(), self._library([text[at[i]:end[i]] for i in long])):
                 odd[i] = ids
-        del pieces
         for a, b in zip(bounds[:-1], bounds[1:]):
             pick = np.flatnonzero(easy[a:b]) + a
             if len(pick):
