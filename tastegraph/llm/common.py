@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,23 @@ def bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Gives this package to the session's Python workers, once, so that they needn't find it on their own path."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        path = f"{tempfile.mkdtemp(prefix='package-')}/{package.name}.zip"
+        with zipfile.ZipFile(path, "w") as out:
+            for f in sorted(package.rglob("*.py")):
+                out.write(f, f.relative_to(package.parent))
+        context.addPyFile(path)  # served by the driver to every executor
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 class Scratch:
     """Intermediate tables of one operator call, in the shared folder named by ``spark.checkpoint.dir``.
 
@@ -40,7 +60,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         if not ensure_checkpoint_dir(spark):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        self.spark, self.uri = spark, new_folder(spark, name)
+        self.spark, self.uri = ship(spark), new_folder(spark, name)
 
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}"
@@ -57,7 +77,7 @@ class Scratch:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text_slices(texts, target_chars: int = 1 << 20):

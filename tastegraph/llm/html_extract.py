@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import text_slices
+from tastegraph.llm.common import ship, text_slices
 from tastegraph.llm.dom import LAYOUT, Node, features, parse
 from tastegraph.llm.labelled_pages import labelled_pages
 
@@ -129,6 +129,7 @@ def fit(pages: DataFrame) -> Model:
                     (1, pa.bool_()), (2, pa.bool_()), (3, pa.string()), (4, pa.bool_()))), pa.array([seen[k] for k in keys], pa.int64())],
                 ["got", "label", "above", "kind", "is_text", "n"])
 
+    ship(pages.sparkSession)
     counted = pages.select("html", "content").mapInArrow(
         run, "got array<string>, label boolean, above boolean, kind string, is_text boolean, n long")
     rows = counted.groupBy("got", "label", "above", "kind", "is_text").agg(F.sum("n").alias("n")).collect()
@@ -181,7 +182,7 @@ def main_blocks(html: str, model: Model) -> list[str]:
 
 def extract(pages: DataFrame, model: Model, html_col: str = "html") -> DataFrame:
     """(row, text): the page as a struct, and its main text, blocks joined by a line feed."""
-    shared = pages.sparkSession.sparkContext.broadcast(model)
+    shared = ship(pages.sparkSession).sparkContext.broadcast(model)
     rows = pages.select(F.struct(*[pages[c] for c in pages.columns if c != html_col]).alias("row"), pages[html_col].alias("html"))
 
     def run(batches):

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import text_slices
+from tastegraph.llm.common import ship, text_slices
 
 ORDER = 3
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 65_536
@@ -175,13 +175,14 @@ class Model:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """The model; its counts have at most as many rows as the sample has bytes and orders."""
+    ship(docs.sparkSession)
     rows = gram_counts(sample(docs, id_col, text_col, lang_col)).collect()
     return Model([(r.lang, r.order, r.gram, r.n) for r in rows])
 
 
 def score_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """(row, lang_pred, score, bits_per_byte): row is the document as a struct; bits of the language predicted."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = ship(docs.sparkSession).sparkContext.broadcast(model)
     text = docs[text_col]
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                        F.when(text.rlike(r"\p{L}"), text).alias("text"))
