@@ -278,7 +278,8 @@ def _metrics(spark, sf):
     u = focus.n_users
     cos = materialize(K.mae(K.predict(train, test, focus=focus)), "auto")
     jac = materialize(K.mae(K.predict(train, test, similarity="jaccard", focus=focus)), "auto")
-    both = cos.select(F.col("mae").alias("c")).join(jac.select(F.col("mae").alias("j")))  # one row each
+    both = cos.withColumn("method", F.lit("c")).unionByName(jac.withColumn("method", F.lit("j"))).agg(
+        *[F.max(F.when(F.col("method") == m, F.col("mae"))).alias(m) for m in ("c", "j")])
     diff = both.select(round_out(F.col("c") - F.lit(BASELINE_MAE)).alias("cosine_minus_baseline"),
                        round_out(F.col("j") - F.col("c")).alias("jaccard_minus_cosine"))
     counts = materialize(S.corated_counts(train), "auto")
