@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import Scratch, text_slices
+from tastegraph.llm.common import Scratch, filter_bits, may_hold, text_slices
 from tastegraph.llm.components import components
 from tastegraph.llm.shingles import mix, shingle_sets
 
@@ -98,15 +98,20 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
     return np.stack(out, axis=1).view(np.int64) if out else np.zeros((0, 0), np.int64)
 
 
-def keys(classes: DataFrame) -> DataFrame:
-    """(key, rep): the keys of each class."""
+def keys(classes: DataFrame, only: np.ndarray | None = None) -> DataFrame:
+    """(key, rep): the keys of each class; only: a filter of the keys wanted."""
+    shared = classes.sparkSession.sparkContext.broadcast(only)
+
     def run(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 2000):
                 part = batch.slice(i, 2000)
                 k = chunk_keys(_signatures(part.column(1)))
-                yield pa.RecordBatch.from_pydict({
-                    "key": k.reshape(-1), "rep": np.repeat(part.column(0).to_numpy(), k.shape[1])})
+                key, rep = k.reshape(-1), np.repeat(part.column(0).to_numpy(), k.shape[1])
+                if shared.value is not None:
+                    wanted = may_hold(shared.value, key)
+                    key, rep = key[wanted], rep[wanted]
+                yield pa.RecordBatch.from_pydict({"key": key, "rep": rep})
 
     return classes.select("rep", "sig").mapInArrow(run, "key long, rep long")
 
@@ -127,10 +132,12 @@ def within_distance(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def candidate_edges(classes: DataFrame, scratch: Scratch) -> DataFrame:
     """Edges whose components hold every pair of classes within the signature distance."""
-    keyed = keys(classes)
-    shared = scratch.keep(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("least"),
+    shared = scratch.keep(keys(classes).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("least"),
                                                    F.max("rep").alias("most")).where("n > 1"), "shared")
-    members = scratch.keep(keyed.join(shared.where("n > 2").select("key", "n", "least"), "key"), "members")
+    # most keys belong to one class: the others are told by a filter, so that few rows are shuffled for the join
+    several = shared.where("n > 2").select("key", "n", "least")
+    only = filter_bits(several.select("key"), several.count())
+    members = scratch.keep(keys(classes, only).join(several, "key"), "members")
     few = members.where(F.col("n") <= HOT).select("key", "rep")
     pairs = few.toDF("key", "a").join(few.toDF("key", "b"), "key").where("a < b").select("a", "b")
     two = shared.where("n = 2").select(F.col("least").alias("a"), F.col("most").alias("b"))
@@ -198,7 +205,14 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, scra
     total = scratch.keep(total.select("component", F.expr(f"cast(weight div {UNIT_WEIGHT} + 1 as int)").alias("blocks")), "weights")
     member = groups.join(total, "component").withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
     member = scratch.keep(member, "members-dealt")
-    texts = docs.select(docs[id_col].cast("long").alias("node"), docs[text_col].alias("text")).join(member, "node")
+    only = docs.sparkSession.sparkContext.broadcast(filter_bits(member.select("node"), member.count()))
+
+    def wanted(batches):  # leaves out most texts that are in no group, before they are shuffled
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(only.value, batch.column(0).to_numpy(zero_copy_only=False))))
+
+    texts = docs.select(docs[id_col].cast("long").alias("node"), docs[text_col].alias("text")).where("node IS NOT NULL")
+    texts = texts.mapInArrow(wanted, "node long, text string").join(member, "node")
     dealt = texts.select("component", "block", "node", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     unit = ["component", "lo", "hi"]
     dealt = dealt.select("component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
