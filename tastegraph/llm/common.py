@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -80,7 +81,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_slices(texts, target_chars: int = 1 << 20):
+def give_back() -> None:
+    """Returns memory that allocators keep for later."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def tidied(run):
+    """A task function that gives memory back when its partition is done: Python workers live on between tasks,
+    and what is kept adds up over the stages of a program."""
+    def done(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return done
+
+
+def text_slices(texts, target_chars: int = 1 << 19):
     """Row ranges of an Arrow string array, each of about ``target_chars`` bytes, or one row if that is longer."""
     n = len(texts)
     if not n:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import ship, text_slices
+from tastegraph.llm.common import ship, text_slices, tidied
 from tastegraph.llm.dom import LAYOUT, Node, features, parse
 from tastegraph.llm.labelled_pages import labelled_pages
 
@@ -193,7 +193,7 @@ def extract(pages: DataFrame, model: Model, html_col: str = "html") -> DataFrame
                 texts = ["\n".join(main_blocks(h, model)) if h else "" for h in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["row", "text"])
 
-    return rows.mapInArrow(run, rows.select("row").schema.add("text", "string"))
+    return rows.mapInArrow(tidied(run), rows.select("row").schema.add("text", "string"))
 
 
 def digest(pages: DataFrame) -> DataFrame:

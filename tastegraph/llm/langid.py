@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import ship, text_slices
+from tastegraph.llm.common import give_back, ship, text_slices, tidied
 
 ORDER = 3
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 65_536
@@ -105,11 +105,11 @@ class Model:
         kept = [by[k].keys() if k < ORDER else most for k in range(ORDER + 1)]
         self.row: list[dict[int, int]] = [{} for _ in range(ORDER + 1)]
         n_rows = max(1, sum(map(len, kept)))
-        p = np.full((n_rows, n_columns, max(1, n_langs)), 1 / 256)
+        p = np.full((n_rows, n_columns, max(1, n_langs)), 1 / 256, np.float32)
         at = 0
         for k in range(ORDER + 1):
             for c in sorted(kept[k]):
-                low = p[self._row_of(c & ((1 << 8 * (k - 1)) - 1), k - 1)] if k else np.full((n_columns, max(1, n_langs)), 1 / 256)
+                low = p[self._row_of(c & ((1 << 8 * (k - 1)) - 1), k - 1)].astype(float) if k else np.full((n_columns, max(1, n_langs)), 1 / 256)
                 here = low.copy()
                 for g, followers in by[k][c].items():
                     n, d = sum(followers.values()), len(followers)
@@ -124,9 +124,10 @@ class Model:
                 p[at] = here
                 self.row[k][c] = at
                 at += 1
-        with np.errstate(divide="ignore"):
-            bits = np.where(p > 0, -np.log2(np.maximum(p, 1e-300)), 0)
-        self.bits = bits.reshape(n_rows * n_columns, -1).astype(np.float32)
+        p[p <= 0] = 1  # of bytes that can't come: every byte has followed this context
+        np.log2(p, out=p)
+        np.negative(p, out=p)
+        self.bits = p.reshape(n_rows * n_columns, -1)
         self.n_columns = n_columns
         # the row of the longest suffix of the last two bytes, and of three where that context is kept
         self.two = np.array([self._row_of(c, 2) for c in range(1 << 16)], np.int32)
@@ -176,8 +177,11 @@ class Model:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """The model; its counts have at most as many rows as the sample has bytes and orders."""
     ship(docs.sparkSession)
-    rows = gram_counts(sample(docs, id_col, text_col, lang_col)).collect()
-    return Model([(r.lang, r.order, r.gram, r.n) for r in rows])
+    rows = gram_counts(sample(docs, id_col, text_col, lang_col)).toPandas()
+    model = Model(list(zip(*(rows[c].tolist() for c in ("lang", "order", "gram", "n")))))
+    del rows
+    give_back()
+    return model
 
 
 def score_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -185,16 +189,16 @@ def score_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     shared = ship(docs.sparkSession).sparkContext.broadcast(model)
     text = docs[text_col]
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-                       F.when(text.rlike(r"\p{L}"), text).alias("text"))
+                       F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letter"))
     scored = "lang_pred string, score double, bits_per_byte double"
 
     def run(batches):
         model = shared.value
         for batch in batches:
-            texts = batch.column(1)
+            texts = pc.struct_field(batch.column(0), [text_col])
             for a, b in text_slices(texts):
                 part = texts.slice(a, b - a)
-                known = pc.is_valid(part).to_numpy(zero_copy_only=False) & bool(model.langs)
+                known = batch.column(1).slice(a, b - a).to_numpy(zero_copy_only=False) & bool(model.langs)
                 bits, sizes = model.text_bits(part)
                 best = bits.argmin(axis=1)
                 least = bits[np.arange(len(bits)), best]
@@ -208,7 +212,7 @@ def score_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     schema = rows.select("row").schema
     for field in scored.split(", "):
         schema = schema.add(*field.split(" "))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidied(run), schema)
 
 
 def accepted(scored: DataFrame, least_score: float = 0.5) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import Scratch, filter_bits, may_hold, text_slices
+from tastegraph.llm.common import Scratch, filter_bits, may_hold, text_slices, tidied
 from tastegraph.llm.components import components
 from tastegraph.llm.shingles import mix, shingle_sets
 
@@ -74,7 +74,7 @@ def signed(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame
                     "doc": batch.column(0).slice(a, b - a), "n": pa.array(n, pa.int64()), "h1": pa.array(h1, pa.int64()),
                     "h2": pa.array(h2, pa.int64()), "sig": pa.array(sig, pa.binary())})
 
-    return docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].alias("text")).mapInArrow(run, SIGNED)
+    return docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].alias("text")).mapInArrow(tidied(run), SIGNED)
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
@@ -113,7 +113,7 @@ def keys(classes: DataFrame, only: np.ndarray | None = None) -> DataFrame:
                     key, rep = key[wanted], rep[wanted]
                 yield pa.RecordBatch.from_pydict({"key": key, "rep": rep})
 
-    return classes.select("rep", "sig").mapInArrow(run, "key long, rep long")
+    return classes.select("rep", "sig").mapInArrow(tidied(run), "key long, rep long")
 
 
 def within_distance(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, scra
             yield batch.filter(pa.array(may_hold(only.value, batch.column(0).to_numpy(zero_copy_only=False))))
 
     texts = docs.select(docs[id_col].cast("long").alias("node"), docs[text_col].alias("text")).where("node IS NOT NULL")
-    texts = texts.mapInArrow(wanted, "node long, text string").join(member, "node")
+    texts = texts.mapInArrow(tidied(wanted), "node long, text string").join(member, "node")
     dealt = texts.select("component", "block", "node", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     unit = ["component", "lo", "hi"]
     dealt = dealt.select("component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
@@ -251,7 +251,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, scra
         if out:
             yield _edges(out)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(tidied(run), "a long, b long")
 
 
 def _edges(rows: list[tuple[int, int]]) -> pa.RecordBatch:

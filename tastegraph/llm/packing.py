@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import Scratch, text_slices
+from tastegraph.llm.common import Scratch, text_slices, tidied
 
 DIMENSIONS, BITS = 4, 15  # 60 bits of key
 SEQUENCE = 2048
@@ -106,7 +106,7 @@ def encode(docs: DataFrame, tokenizer: str, kind: str, end_id: int,
                     "doc": batch.column(0).slice(a, b - a), "key": key, "n": n + 1,
                     "ids": pa.array([data[i:j] for i, j in zip(cut, cut[1:])], pa.binary())})
 
-    return docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].alias("text")).mapInArrow(run, ENCODED)
+    return docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].alias("text")).mapInArrow(tidied(run), ENCODED)
 
 
 def _cuts(rest: int) -> list[int]:
@@ -165,7 +165,7 @@ def pack(encoded: DataFrame, length: int = SEQUENCE) -> DataFrame:
                 "doc_tokens": pa.array(n, pa.int64()), "sequence_id": pa.array([base + s for s in seq], pa.int64()),
                 "offset": pa.array(offset, pa.int64())})
 
-    return ranged.select("doc", "ids").mapInArrow(run, PIECES)
+    return ranged.select("doc", "ids").mapInArrow(tidied(run), PIECES)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, kind: str = "words", end_id: int = 1) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import Scratch, text_slices, write_whole
+from tastegraph.llm.common import Scratch, text_slices, tidied, write_whole
 from tastegraph.session import open_fs
 
 BLOCK, LANES = 1024, 32
@@ -232,7 +232,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, kind: str, end_id
             "part": pa.array([part], pa.int32()), "path": [path], "n_docs": [told["n_docs"]],
             "n_ids": [told["n_ids"]], "n_bytes": [size]})
 
-    return ordered.mapInArrow(write, FILE_SCHEMA)
+    return ordered.mapInArrow(tidied(write), FILE_SCHEMA)
 
 
 def read_documents(files: DataFrame) -> DataFrame:
@@ -259,7 +259,7 @@ def read_documents(files: DataFrame) -> DataFrame:
                 file.close()
 
     named = spark.createDataFrame(rows, "path string, base long").repartition(max(1, len(rows)))
-    return named.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return named.mapInArrow(tidied(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def digest(docs: DataFrame, tokenizer: str, kind: str = "bytes", end_id: int = 2) -> DataFrame:
