@@ -7,10 +7,14 @@ from html.parser import HTMLParser
 
 #: HTML elements without content, with content that is no page text, and that run inside a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template head title svg math iframe object canvas audio video select option "
-                    "datalist textarea".split())
+SKIPPED = frozenset("script style template head title svg iframe canvas audio video select option datalist textarea".split())
+#: Elements that may stand in a head; the start of any other ends it.
+IN_HEAD = frozenset("html head title meta link base style script noscript template".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr img input button picture source output".split())
+                   "small span strike strong sub sup time tt u var wbr img input button picture source output noscript object "
+                   "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup "
+                   "msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd maction semantics "
+                   "annotation annotation-xml".split())
 #: Which open elements a start tag closes.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th"), "body": ("head",)}
@@ -74,7 +78,17 @@ class _Builder(HTMLParser):
             if self.open[i][0] in WALLS:
                 return
 
+    def _end_head(self) -> None:
+        """Ends an open head that was not ended, unless within its title, a style, a script or a template."""
+        if self.count.get("head") and self.skipping == 1:
+            while self.count["head"]:
+                self._pop()
+
     def handle_starttag(self, tag, attrs):
+        if tag == "head" and self.count.get("head"):
+            return
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag in CLOSES:
             self._close(CLOSES[tag])
             if tag in ("tr", "tbody"):
@@ -125,6 +139,8 @@ class _Builder(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if data.strip():
+            self._end_head()
         if not self.skipping:
             self.parts.append((data, self.count.get("a", 0) > 0))
 

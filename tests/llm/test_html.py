@@ -98,3 +98,30 @@ def test_edge_cases(spark, model):
 def test_blocks_of_the_tree():
     nodes = parse("<ul><li>a<li>b</ul><table><tr><td>c<td>d<tr><td>e</table><p>f<div>g</div>h<br>i")
     assert [x.text for x in nodes if x.text is not None] == ["a", "b", "c", "d", "e", "f", "g", "h i"]
+
+
+def test_head_without_end():
+    texts = lambda html: [x.text for x in parse(html) if x.text is not None]
+    head = "<head><meta charset='u'><title>T</title><style>p{}</style><script>f()</script><template><p>t</p></template>"
+    assert texts(f"<html>{head}<p>One.<p>Two.") == ["One.", "Two."]
+    assert texts(f"<!DOCTYPE html>{head}<link rel=x>\n plain <b>text</b>") == ["plain text"]
+    assert texts(f"{head}<noscript><link rel=x></noscript><base href=x><article><h1>A</h1>b</article>") == ["A", "b"]
+    assert texts(f"{head}<noscript><p>c</p></noscript><title>U</title></head><body><p>d</p>") == ["c", "d"]
+    assert texts(f"{head}</head><body><p>e</p></body>") == ["e"]
+    assert texts(f"{head}<body><p>f</p>") == ["f"]
+
+
+def test_fallbacks_and_formulas_are_text():
+    def texts(html):
+        return [x.text for x in parse(html) if x.text is not None]
+
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><msup><mn>2</mn><mi>n</mi></msup></math> be so.</p>") == ["Let x=2n be so."]
+    assert texts("<p>See <object data=x><param name=a>the map</object> here.</p><p>On.</p>") == ["See the map here.", "On."]
+    assert texts("<div><noscript><p>Shown as well.</p></noscript><p>Next.</p></div>") == ["Shown as well.", "Next."]
+
+
+def test_pages_without_end_of_head_are_extracted(model):
+    page = ("<!DOCTYPE html><html><head><title>x</title><article><h1>Title</h1><p>First paragraph, long enough to be read as text.</p>"
+            "<p>Where <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is the sum, as all of us know.</p></article>")
+    assert html_extract.main_blocks(page, model) == [
+        "Title", "First paragraph, long enough to be read as text.", "Where a+b is the sum, as all of us know."]
