@@ -4,12 +4,14 @@ A text is cut only where its tokenizer's pre-tokenizer always starts a new
 piece, so the ids of the text are the ids of its chunks in order. Chunks are
 hashed as numpy arrays; ids of chunks seen before come from a table of fixed
 size, the others from the tokenizers library. A text with characters beyond
-Latin letters (or rare control characters) is given to the library whole.
+Latin letters (or rare control characters), or with the string of an added
+token ("<|endoftext|>"), is given to the library whole.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from itertools import takewhile
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -44,7 +46,9 @@ class ChunkEncoder:
             raise ValueError(f"unknown tokenizer kind {kind!r}")
         self.words = kind == "words"
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # a special token's string in a text is ordinary text
+        # in lower case, as a file may have them found after its normalizer; their starts that have no case
+        self.added = sorted({t.content.lower() for t in self.tok.get_added_tokens_decoder().values()})
+        self.marks = sorted({"".join(takewhile(lambda c: not c.isalpha(), x)) for x in self.added})
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.edge = np.zeros(max(vocab.values()) + 1, bool)
         for s, i in vocab.items():
@@ -169,6 +173,8 @@ class ChunkEncoder:
         if (at := np.flatnonzero(cls == HARD)).size:
             # of texts that start at one place, all but the last are empty
             hard[np.searchsorted(first, at, "right") - 1] = True
+        if any(m in text for m in self.marks):
+            hard |= np.fromiter((any(x in low for x in self.added) for low in map(str.lower, texts)), bool, len(texts))
         start = self._starts(cls, first[sizes > 0])
         at = np.flatnonzero(start)
         end = np.append(at[1:], len(cp))

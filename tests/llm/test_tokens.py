@@ -46,6 +46,38 @@ def test_encoder_forgets_and_goes_on():
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == library(texts, "words")
 
 
+def plain_library(texts, kind):
+    """The stated call: the file as it is, without special tokens added."""
+    tok = Tokenizer.from_file(path(FILES[kind]))
+    return [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("kind", FILES)
+@settings(max_examples=150, deadline=None)
+@given(texts=st.lists(st.lists(st.sampled_from(
+    ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", "end", " of", " ", "\n", "'", "1", "é", "中"]),
+    max_size=8).map("".join), max_size=6))
+def test_added_tokens_in_texts(kind, texts):
+    ids, counts = ENCODERS[kind].encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])][:len(texts)] == plain_library(texts, kind) or not texts
+
+
+def test_added_token_in_a_file_and_a_sequence(spark):
+    rows = [(1, "end <|endoftext|> of"), (2, "plain"), (3, "<|startoftext|><|endoftext|>"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = [t or "" for _, t in rows]
+    want = [[*x, 2] for x in plain_library(texts, "bytes")]
+    assert want[0] == [437, 220, 50256, 286, 2]
+    got = sorted(token_files.digest(docs, path(FILES["bytes"])).collect(), key=lambda r: r.doc_id)
+    assert [(r.n_tokens, r.ids_crc32) for r in got] == [(len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for x in want]
+    assert [r.start for r in got] == [sum(map(len, want[:i])) for i in range(len(want))]
+    pieces = defaultdict(list)
+    for r in packing.pack_documents(docs, path(FILES["words"])).collect():
+        pieces[r.doc_id].append((r.start, np.frombuffer(r.ids, "<u4").tolist()))
+    packed = {d: [x for _, p in sorted(ps) for x in p] for d, ps in pieces.items()}
+    assert packed == {d: [*x, 1] for (d, _), x in zip(rows, plain_library(texts, "words"))}
+
+
 def check_files(df):
     out = token_files.digest(df, path(FILES["bytes"])).collect()
     want = docs_of(df)
