@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as tokenizer_path
 
-from tastegraph.llm import ann, html_extract, imatch, langid, line_dedup, mixing, near_dup, packing, token_files, warc
+from tastegraph.llm import ann, collocations, html_extract, imatch, langid, line_dedup, mixing, near_dup, packing, token_files, warc
 from tastegraph.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10_tree_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.digest(table(spark, sf_dir, "pages"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hierarchical_mix": op1_hierarchical_mix,
     "op2_hilbert_pack": op2_hilbert_pack,
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_imatch": op9_imatch,
     "op10_tree_extract": op10_tree_extract,
+    "op11_collocations": op11_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -70,4 +75,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": line_dedup.SQL,
     "op8_warc": warc.SQL,
     "op9_imatch": imatch.SQL,
+    "op11_collocations": collocations.SQL,
 }

@@ -32,7 +32,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of an Arrow string array; null rows are empty."""
     texts = texts.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
@@ -41,19 +41,9 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all rows in order, A-Z counting as a-z, and the number of words of each row."""
-    data, offsets = _buffers(texts)
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
-    blank = _BLANK[data]
-    first = np.zeros(len(data) + 1, bool)
-    first[offsets] = True
-    start = ~blank
-    start[1:] &= blank[:-1] | first[1:-1]
-    end = ~blank
-    end[:-1] &= blank[1:] | first[1:-1]
-    at, stop = np.flatnonzero(start), np.flatnonzero(end) + 1
+def span_hashes(data: np.ndarray, at: np.ndarray, stop: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hashes of the byte spans [at, stop) in ascending order, A-Z counting as a-z; each seed gives others."""
+    value = _VALUE if not seed else mix(_VALUE + np.uint64(seed)) | np.uint64(1)
     out = np.zeros(len(at), np.uint64)
     short = np.flatnonzero(stop - at <= LONGEST)
     i = 0
@@ -62,14 +52,31 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             lo = at[short[i]]
             j = max(i + 1, int(np.searchsorted(at[short], lo + WINDOW)))
             a, b = at[short[i:j]] - lo, stop[short[i:j]] - lo
-            v = _VALUE[data[lo:lo + b[-1]]]
+            v = value[data[lo:lo + b[-1]]]
             sums = np.zeros(len(v) + 1, np.uint64)
             np.cumsum(v * _POWER[:len(v)], out=sums[1:])
             out[short[i:j]] = mix((sums[b] - sums[a]) * _INVERSE[a] + (b - a).astype(np.uint64))
             i = j
     for i in np.flatnonzero(stop - at > LONGEST).tolist():
         word = data[at[i]:stop[i]].tobytes().translate(_LOWER)
-        out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
+    return out
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all rows in order, A-Z counting as a-z, and the number of words of each row."""
+    data, offsets = buffers(texts)
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    blank = _BLANK[data]
+    first = np.zeros(len(data) + 1, bool)
+    first[offsets] = True
+    start = ~blank
+    start[1:] &= blank[:-1] | first[1:-1]
+    end = ~blank
+    end[:-1] &= blank[1:] | first[1:-1]
+    at, stop = np.flatnonzero(start), np.flatnonzero(end) + 1
+    out = span_hashes(data, at, stop)
     row = np.searchsorted(offsets, at, "right") - 1
     return out, np.bincount(row, minlength=len(texts))
 
