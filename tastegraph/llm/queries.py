@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as tokenizer_path
 
-from tastegraph.llm import ann, collocations, html_extract, imatch, langid, line_dedup, mixing, near_dup, packing, token_files, warc
+from tastegraph.llm import ann, collocations, html_extract, imatch, langid, line_dedup, mixing, near_dup, packing, pieces, token_files, warc
 from tastegraph.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hierarchical_mix": op1_hierarchical_mix,
     "op2_hilbert_pack": op2_hilbert_pack,
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_imatch": op9_imatch,
     "op10_tree_extract": op10_tree_extract,
     "op11_collocations": op11_collocations,
+    "op12_piece_agenda": op12_piece_agenda,
 }
 
 ORACLE_SQL: dict[str, str] = {
