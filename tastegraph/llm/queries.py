@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from public_tokenizers import path as tokenizer_path
 
-from tastegraph.llm import ann, collocations, html_extract, imatch, langid, line_dedup, mixing, near_dup, packing, pieces, token_files, warc
+from tastegraph.llm import (
+    ann, collocations, hard_negatives, html_extract, imatch, langid, line_dedup, mixing, near_dup, packing, pieces, token_files, warc,
+)
 from tastegraph.llm.common import table
 
 
@@ -60,6 +62,10 @@ def op12_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op13_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hierarchical_mix": op1_hierarchical_mix,
     "op2_hilbert_pack": op2_hilbert_pack,
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_tree_extract": op10_tree_extract,
     "op11_collocations": op11_collocations,
     "op12_piece_agenda": op12_piece_agenda,
+    "op13_cover_tree_negatives": op13_cover_tree_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -81,4 +88,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_warc": warc.SQL,
     "op9_imatch": imatch.SQL,
     "op11_collocations": collocations.SQL,
+    "op13_cover_tree_negatives": hard_negatives.SQL,
 }
