@@ -9,7 +9,7 @@ Characters that are no piece are written as byte pieces.
 No merge can cross two adjacent characters that stand side by side in no piece,
 so a text is cut there first: before runs of word marks, if no piece holds one
 after another character, at ASCII characters that only stand alone, and between a
-letter and punctuation that no piece has after a letter. The ids
+Latin letter and punctuation that no piece has after a letter. The ids
 of short cuts are remembered in each Python worker, by their whole strings, in a
 table of bounded size.
 
@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import re
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, repeat
 from operator import add
 from string import punctuation
 
@@ -43,7 +43,9 @@ from tastegraph.llm.common import ship, text_slices, tidied
 MARK = "▁"  # stands for a space
 LONGEST = 48  # characters of a remembered cut
 MOST_CUTS = 1 << 19  # remembered by a worker, which starts anew beyond that
+WORD = 24  # characters of a string that is merged without looking for further cuts
 NEVER = float("inf")
+LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]"  # of Latin scripts
 SLICE = 1 << 20  # bytes of text encoded at a time
 
 
@@ -67,30 +69,26 @@ class Agenda:
         beside = set("".join(self.pairs))
         alone = "".join(c for c in map(chr, range(128)) if c not in beside)
         mark = MARK if not any(p[1] == MARK != p[0] for p in self.pairs) else ""
-        after = {p[1] for p in self.pairs if re.match(r"[^\W\d_]", p)}
+        after = {p[1] for p in self.pairs if re.match(LETTER, p)}
         close = re.escape("".join(c for c in punctuation if c not in after))  # never goes on from a letter
         rest = f"[^{re.escape(mark + alone)}]" if mark + alone else "(?s:.)"
         ways = [f"[{re.escape(alone)}]"] if alone else []
-        ways += [f"{mark + '*' if mark else ''}[^\\W\\d_]++(?=[{close}])"] if close else []
+        ways += [f"{mark + '*' if mark else ''}{LETTER}++(?=[{close}])"] if close else []
         self.cut = re.compile("|".join([*ways, f"{mark}+{rest}*", f"{rest}+"] if mark else [*ways, f"{rest}+"]))
         self.known = Known(self)
 
     def merge(self, chars: str) -> list[int]:
         """Ids of a string, whose merges are independent of what stands beside it."""
         symbols = self._merge_short(chars) if len(chars) <= LONGEST else self._merge_long(chars)
-        out: list[int] = []
-        for s in symbols:
-            i = self.id.get(s)
-            if i is None:
-                out += [self.bytes[x] for x in s.encode()]
-            else:
-                out.append(i)
-        return out
+        ids = list(map(self.id.get, symbols))
+        if None in ids:
+            ids = [x for s, i in zip(symbols, ids) for x in ([i] if i is not None else [self.bytes[b] for b in s.encode()])]
+        return ids
 
     def _merge_short(self, chars: str) -> list[str]:
         """The agenda as a list in order of text: its first least cost is the next merge."""
         symbols, cost = list(chars), self.cost.get
-        agenda = [cost(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        agenda = list(map(cost, map(add, symbols, symbols[1:]), repeat(NEVER)))
         while agenda:
             least = min(agenda)
             if least == NEVER:
@@ -140,13 +138,13 @@ class Agenda:
 
 
 class Known(dict):
-    """Ids of short strings seen before; others are cut further where no piece goes on, and merged."""
+    """Ids of short strings seen before; others are merged, long ones after cuts where no piece goes on."""
 
     def __init__(self, own: Agenda):
         self.merge, self.pairs = own.merge, own.pairs
 
     def __missing__(self, cut: str) -> list[int]:
-        at = [i for i, pair in enumerate(map(add, cut, cut[1:]), 1) if pair not in self.pairs]
+        at = [i for i, pair in enumerate(map(add, cut, cut[1:]), 1) if pair not in self.pairs] if len(cut) > WORD else ()
         if at:
             return [x for a, b in zip([0, *at], [*at, len(cut)]) for x in self[cut[a:b]]]
         ids = self.merge(cut)
