@@ -38,12 +38,12 @@ from pyspark.sql import functions as F
 from tastegraph.llm.common import Scratch, tidied
 
 SHARD = 8192  # vectors of a shard, about
-LEAF = 24  # vectors of a leaf at most
-BLOCK = 256  # anchors of a block, about
-BLOCKS_PER_TREE = 64  # that one copy of a tree meets
-OPENED = 4  # nodes that each anchor opens at a time
+LEAF = 128  # vectors of a leaf at most
+BLOCK = 1024  # anchors of a block, about
+BLOCKS_PER_TREE = 16  # that one copy of a tree meets
+OPENED = 8  # nodes that each anchor opens at a time
 BROADCAST_ROWS = 1_000_000
-NODES = "center int, radius double, first int, last int, leaf boolean"
+NEVER = np.iinfo(np.int64).max
 ITEM = "dim int, shard string, copy int, kind int, vectors binary, ids binary, labels binary, more binary"
 
 
@@ -122,50 +122,63 @@ class Shard:
         low = np.maximum(dot - swing, (both - (away + self.radius) ** 2) / 2)
         return low - slack, high + slack
 
-    def scores(self, anchors: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Exact inner products of pairs of an anchor and a vector."""
+    def exact(self, anchors: np.ndarray) -> np.ndarray:
+        """The anchors in the type in which inner products with this shard are exact."""
         largest = np.sqrt((anchors.astype(np.float64) ** 2).sum(axis=1).max(initial=0)) * self.reach
         if largest >= 2.0 ** 62:
             raise ArithmeticError("inner products beyond 64 bits")
-        kind = np.float64 if largest < 2.0 ** 52 else np.int64  # sums of whole numbers below 2^53 are exact in either
-        return np.einsum("ij,ij->i", anchors.astype(kind)[row], self.vectors[at].astype(kind)).astype(np.int64)
+        # sums of whole numbers below 2^53 are exact in double precision, in any order
+        return anchors.astype(np.float64) if largest < 2.0 ** 52 else anchors
 
-    def search(self, anchors, ids, labels, same: bool, k: int, least=None, most=None):
-        """(row, id, score) of the best k vectors of the same (or of another) label, scores from ``least`` to ``most``."""
-        n = len(anchors)
+    def scores(self, anchors: np.ndarray, first: int, last: int) -> np.ndarray:
+        """Inner products of the anchors, as `exact` gives them, with a range of vectors."""
+        return (anchors @ self.vectors[first:last].T.astype(anchors.dtype)).astype(np.int64)
+
+    def search(self, anchors, ids, labels, same: bool, k: int, least: np.ndarray, most: np.ndarray):
+        """(row, window, id, score): the best k vectors of the same (or of another) label for each window.
+
+        ``least`` and ``most`` [anchors, windows] bound the scores wanted.
+        """
+        n, windows = least.shape
         low, high = self.bounds(anchors)
-        if least is not None:
-            outside = (high < least[:, None]) | (low > most[:, None])
-            high[outside] = -np.inf
+        anchors = self.exact(anchors)
         todo = np.full(high.shape, -np.inf)
         todo[:, 0] = high[:, 0]
-        kept = (np.zeros(0, np.int64),) * 3
-        worst = np.full(n, -np.inf)
+        kept = (np.zeros(0, np.int64),) * 3  # anchor * windows + window, id, score
+        need = np.where(least <= most, least, NEVER)  # rises to the k-th score found
         active = np.arange(n)
         while len(active):
             pick = np.argpartition(-todo[active], min(OPENED, todo.shape[1]) - 1, axis=1)[:, :OPENED]
-            some = todo[active[:, None], pick]
-            some = (some > -np.inf) & (some >= worst[active][:, None])
-            on = some.any(axis=1)
-            row, node = np.repeat(active, pick.shape[1]).reshape(pick.shape)[some], pick[some]
-            active = active[on]
-            todo[row, node] = -np.inf
+            top = todo[active[:, None], pick]
+            todo[active[:, None], pick] = -np.inf
+            some = top >= need[active].min(axis=1)[:, None]
+            active_next = active[some.any(axis=1)]
+            # a node is opened if it reaches into a window that it can still improve
+            fits = some & ((top[:, :, None] >= need[active][:, None]) & (low[active[:, None], pick][:, :, None] <= most[active][:, None])).any(axis=2)
+            row, node = np.repeat(active, pick.shape[1]).reshape(pick.shape)[fits], pick[fits]
+            active = active_next
             leaf = self.leaf[node]
             r, child = _ranges(row[~leaf], self.first[node[~leaf]], self.last[node[~leaf]])
             todo[r, child] = high[r, child]
-            r, at = _ranges(row[leaf], self.first[node[leaf]], self.last[node[leaf]])
-            fits = ((self.labels[at] == labels[r]) == same) & (self.ids[at] != ids[r])
-            r, at = r[fits], at[fits]
-            score = self.scores(anchors, r, at)
-            if least is not None:
-                fits = (score >= least[r]) & (score <= most[r])
-                r, at, score = r[fits], at[fits], score[fits]
-            if len(r):
-                kept = _best(*(np.concatenate(x) for x in zip(kept, (r, self.ids[at], score))), k)
-                count = np.bincount(kept[0], minlength=n)
+            found = [self._verify(anchors, ids, labels, same, row[leaf][node[leaf] == x], x, need, most) for x in np.unique(node[leaf])]
+            if sum(len(x[0]) for x in found):
+                kept = _best(*(np.concatenate(x) for x in zip(kept, *found)), k)
+                count = np.bincount(kept[0], minlength=n * windows)
                 full = np.flatnonzero(count >= k)
-                worst[full] = kept[2][(np.cumsum(count) - 1)[full]]
-        return kept
+                need.reshape(-1)[full] = kept[2][(np.cumsum(count) - 1)[full]]
+        return kept[0] // windows, kept[0] % windows, kept[1], kept[2]
+
+    def _verify(self, anchors, ids, labels, same, row, node, need, most):
+        """A leaf's exact scores for some anchors, as (anchor and window, id, score) of those wanted."""
+        a, b = self.first[node], self.last[node]
+        score = self.scores(anchors[row], a, b)
+        wanted = (score >= need[row].min(axis=1)[:, None]) & (score <= most[row].max(axis=1)[:, None])
+        r, at = np.nonzero(wanted)
+        right = ((self.labels[a + at] == labels[row[r]]) == same) & (self.ids[a + at] != ids[row[r]])
+        r, at = r[right], at[right]
+        score, at, r = score[r, at], a + at, row[r]
+        i, window = np.nonzero((score[:, None] >= need[r]) & (score[:, None] <= most[r]))
+        return r[i] * need.shape[1] + window, self.ids[at[i]], score[i]
 
 
 def _ranges(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,7 +264,8 @@ def visit(trees: DataFrame, packed: DataFrame, same: bool, k: int, n_blocks: int
     """(anchor, mark, positive, positive_score, id, score): the best k of each shard, for anchors (same) or for their windows.
 
     ``more`` of an anchor is its mark, which tells rows of one id apart, and for
-    windows also the positive's id and score.
+    windows also each positive's id and score; absent ones have a score below 0,
+    whose window is empty.
     """
     where = trees.select("dim", "shard", F.substring_index("shard", "/", 1).alias("of"))
     where = F.broadcast(where) if where.count() <= BROADCAST_ROWS else where
@@ -277,13 +291,11 @@ def visit(trees: DataFrame, packed: DataFrame, same: bool, k: int, n_blocks: int
                 if key != (dim, name, copy):
                     raise ValueError(f"no tree came before the block of shard {name}")
                 more = np.frombuffer(raw[3], "<i8").reshape(len(ids), -1)
-                if same:
-                    row, found, score = shard.search(vectors, ids, labels, True, k)
-                    positive = np.zeros((len(row), 2), np.int64)
-                else:
-                    low, high = window(more[:, 2])
-                    row, found, score = shard.search(vectors, ids, labels, False, k, low, high)
-                    positive = more[row, 1:]
+                least, most = np.full((len(ids), 1), -NEVER), np.full((len(ids), 1), NEVER)
+                if not same:
+                    least, most = window(more[:, 2::2])
+                row, which, found, score = shard.search(vectors, ids, labels, same, k, least, most)
+                positive = np.zeros((len(row), 2), np.int64) if same else np.stack([more[row, 1 + 2 * which], more[row, 2 + 2 * which]], axis=1)
                 if len(row):
                     yield pa.RecordBatch.from_pydict({
                         "anchor": ids[row], "mark": more[row, 0], "positive": positive[:, 0].copy(),
@@ -317,8 +329,10 @@ def mine(table: DataFrame, every: int = 50, positives: int = 5, negatives: int =
     found = (visit(trees, packed, True, positives, n_blocks).withColumn("rank", F.row_number().over(best))
              .where(F.col("rank") <= positives).select(F.col("anchor").alias("id"), "mark", F.col("id").alias("positive"), "score"))
     found = scratch.keep(found, "positives")
-    windows = anchors.join(found, ["id", "mark"]).withColumn("more", F.array("mark", "positive", "score"))
-    n_blocks = found.count() // BLOCK + 1
+    # a positive of negative score has an empty window
+    each = found.where("score >= 0").groupBy("id", "mark").agg(F.flatten(F.array_sort(F.collect_list(F.array("positive", "score")))).alias("pairs"))
+    absent = F.array_repeat(F.lit(-1).cast("long"), (F.lit(2 * positives) - F.size("pairs")).cast("int"))
+    windows = anchors.join(each, ["id", "mark"]).withColumn("more", F.concat(F.array("mark"), "pairs", absent)).drop("pairs")
     packed = scratch.keep(blocks(windows, n_blocks), "windows")
     order = Window.partitionBy("anchor", "mark", "positive", "positive_score").orderBy(F.col("score").desc(), "id")
     return (visit(trees, packed, False, negatives, n_blocks).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= negatives)

@@ -101,14 +101,32 @@ def test_bounds_hold_and_skip_nodes():
         assert (s <= high[:, node][:, None]).all() and (s >= low[:, node][:, None]).all()
     scored = []
     real = shard.scores
-    shard.scores = lambda a, row, at: scored.append(len(row)) or real(a, row, at)
-    row, ids, score = shard.search(anchors, np.full(40, -1), np.zeros(40, np.int64), True, 3)
+    shard.scores = lambda a, first, last: scored.append(len(a) * (last - first)) or real(a, first, last)
+    no = np.full((40, 1), hn.NEVER)
+    row, _, ids, score = shard.search(anchors, np.full(40, -1), np.zeros(40, np.int64), True, 3, -no, no)
     full = anchors @ shard.vectors.T
     want = [tuple(x) for r in range(40) for x in sorted((-s, i) for i, s in enumerate(full[r].tolist()))[:3]]
     assert list(zip((-score).tolist(), ids.tolist())) == want
     assert sum(scored) < 0.5 * full.size  # the rest was skipped by its bounds
 
 
+def test_several_windows_at_once():
+    rng = np.random.default_rng(6)
+    points = rng.integers(-50, 50, (900, 4))
+    tree = hn.CoverTree(points.astype(float))
+    place = np.empty(900, int)
+    place[tree.order] = np.arange(900)
+    shard = hn.Shard(points[tree.order], np.arange(900), np.zeros(900, np.int64), place[tree.center],
+                     *(np.array(getattr(tree, c)) for c in ("radius", "first", "last", "leaf")))
+    least = rng.integers(-3000, 3000, (30, 3))
+    most = least + rng.integers(-100, 900, (30, 3))
+    got = shard.search(points[:30], np.full(30, -1), np.ones(30, np.int64), False, 2, least, most)
+    full = points[:30] @ shard.vectors.T
+    want = [(r, w, i, -s) for r in range(30) for w in range(3)
+            for s, i in sorted((-s, i) for i, s in enumerate(full[r].tolist()) if least[r, w] <= s <= most[r, w])[:2]]
+    assert sorted(zip(*(x.tolist() for x in got))) == sorted(want)
+
+
 def test_windows_are_exact():
     p = np.array([-7, 0, 1, 2, 19, 100, 12345, 2 ** 61 + 7])
     low, high = hn.window(p)
