@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import R_MAX, R_MIN, abs_error, round_out
 from ..session import is_stored, materialize, scalar
+from .bounded import bounded_similarity, long_lists
 from .neighbours import rank_neighbours
 from .pairs import join_partitions
 from .predict import (
@@ -49,6 +50,8 @@ NEIGHBOUR_BROADCAST_ROWS = 2_000_000
 # shares items with millions of others) pairs are aggregated per (user, other)
 # and a partial top-k per user runs before the shuffle by user.
 PARTNERS_PER_TASK = 5_000_000
+# Rows of the whole self-join from which on a search with bounds is worth its extra joins.
+BOUNDED_PAIR_ROWS = 100_000_000
 
 
 class Focus:
@@ -63,7 +66,8 @@ class Focus:
     built on it alone (two semi-joins). Otherwise the whole table is modelled
     and no restriction is applied: it would only cost joins and stop Spark
     from reusing one shuffle for both sides of the self-join. ``n_users`` is
-    always the whole population.
+    always the whole population; a declared one may be larger than the users
+    present, and a smaller one is refused, as negatives would get wrong ranks.
     """
 
     def __init__(self, train: DataFrame, pairs: DataFrame | None, cache: str = "auto",
@@ -76,6 +80,8 @@ class Focus:
             counts = counts.unionByName(self.pairs.agg(F.lit("pairs").alias("kind"),
                                                        F.countDistinct("user_id").alias("n")))
         got = {r["kind"]: int(r["n"] or 0) for r in counts.collect()}
+        if n_users is not None and n_users < got["train"]:
+            raise ValueError(f"{n_users} users declared, but {got['train']} are present")
         self.n_users = n_users if n_users is not None else got["train"]
         self.n_requested = got.get("pairs")
         self.users, self.train = None, train
@@ -90,6 +96,12 @@ class Focus:
                 self.train = materialize(train.join(near, "user_id", "left_semi"), cache)
         self.model = prepare(self.train, cache, r_min, r_max)
 
+    def requests(self, neighbours_broadcast: bool) -> DataFrame | None:
+        """(user_id, n): requested pairs of each user, for dealing those of a user with very many to several tasks."""
+        if neighbours_broadcast:  # no shuffle by user then
+            return None
+        return self.pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
 
 def _neighbours_for_lookup(f: Focus, nb: DataFrame, k: int) -> DataFrame:
     """Broadcast the neighbour table when its size is bounded by the request.
@@ -99,9 +111,11 @@ def _neighbours_for_lookup(f: Focus, nb: DataFrame, k: int) -> DataFrame:
     from shuffling by user, which for one user's recommendations would put
     every candidate pair into one task (or k tasks).
     """
-    if f.users is not None and f.n_requested * k <= NEIGHBOUR_BROADCAST_ROWS:
-        return F.broadcast(nb)
-    return nb
+    return F.broadcast(nb) if _is_focused(f, k) else nb
+
+
+def _is_focused(f: Focus, k: int) -> bool:
+    return f.users is not None and f.n_requested * k <= NEIGHBOUR_BROADCAST_ROWS
 
 
 def _requested(pairs: DataFrame, cache: str) -> DataFrame:
@@ -149,6 +163,11 @@ def _fits_one_task(model: Prepared, similarity: str) -> bool:
 def ranked(f: Focus, users: DataFrame | None, k: int, similarity: str, cache: str = "auto") -> DataFrame:
     """Neighbours of the ``users`` up to effective rank k."""
     model = f.model
+    if similarity == "cosine" and users is None and model.stats()["pair_rows"] > BOUNDED_PAIR_ROWS:
+        cut = long_lists(model.items)
+        if cut is not None:
+            sims = materialize(bounded_similarity(model.nd, k, cut, cache=cache), cache)
+            return rank_neighbours(sims, k, f.n_users, model.partner_bound(similarity), cut_first=True)
     sims = similarities(model, f.train, users, similarity)
     cut_first = not _fits_one_task(model, similarity)
     bound = model.partner_bound(similarity)
@@ -189,7 +208,7 @@ def predict(train: DataFrame, pairs: DataFrame, k: int | None = None, similarity
         return finish_prediction(wide, "num", "den", r_min, r_max).drop("num", "den")
     nb = _neighbours_for_lookup(f, ranked(f, users, k, similarity, cache), k)
     return predictions_for_ks(pairs_avg, nb, model.dev, [k], weighting, model.item_raters(),
-                              _route(model, k), r_min, r_max).drop("k")
+                              _route(model, k), r_min, r_max, f.requests(_is_focused(f, k))).drop("k")
 
 
 def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], similarity: str = "cosine",
@@ -202,7 +221,8 @@ def knn_sweep_predictions(train: DataFrame, test: DataFrame, ks: list[int], simi
     global_avg = global_mean_value(train) if cold_user == "global_mean" else None
     nb = _neighbours_for_lookup(f, ranked(f, f.users, max(ks), similarity, cache), max(ks))
     return predictions_for_ks(prepare_pairs(f.pairs, model.avg, cold_user, global_avg), nb, model.dev, list(ks),
-                              weighting, model.item_raters(), _route(model, max(ks)), r_min, r_max)
+                              weighting, model.item_raters(), _route(model, max(ks)), r_min, r_max,
+                              f.requests(_is_focused(f, max(ks))))
 
 
 def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str = "nonzero_dev",
@@ -216,7 +236,7 @@ def item_deviation(train: DataFrame, pairs: DataFrame, k: int, weighting: str =
     model = f.model
     nb = _neighbours_for_lookup(f, ranked(f, f.users, k, similarity, cache), k)
     wide = knn_item_deviation(f.pairs.select("user_id", "item_id"), nb, model.dev, [k], weighting,
-                              model.item_raters(), route=_route(model, k))
+                              model.item_raters(), _route(model, k), f.requests(_is_focused(f, k)))
     return (wide.filter(F.col(f"den_{k}") > 0)
             .select("user_id", "item_id", (F.col(f"num_{k}") / F.col(f"den_{k}")).alias("dev_hat")))
 

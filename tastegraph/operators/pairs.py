@@ -96,12 +96,18 @@ def item_self_join(rows: DataFrame, values: list[str], left_users: DataFrame | N
     ``n_hot`` (number of items above ``hot_bucket`` rows) is counted here
     unless the caller already knows it. ``n_parts`` sets the number of join
     partitions where the rows coming out, not the bytes going in, should size
-    them (`join_partitions`).
+    them (`join_partitions`); it is found by the same count.
     """
     base = rows.select("user_id", "item_id", *values)
     hot = hot_items(base, hot_bucket)
     if n_hot is None:
-        n_hot = hot.count()  # one aggregate action: decides whether salting is needed at all
+        # one aggregate action: decides whether salting is needed at all, and how many rows come out
+        m = F.col("m").cast("double")
+        sizes = (base.groupBy("item_id").agg(F.count(F.lit(1)).alias("m"))
+                 .agg(F.sum((F.col("m") > hot_bucket).cast("long")).alias("hot"), F.sum(m * m).alias("pairs")).first())
+        n_hot = int(sizes["hot"] or 0)
+        if n_parts is None and left_users is None:
+            n_parts = join_partitions(base, int(sizes["pairs"] or 0))
     left = right = base
     if left_users is not None:
         # only the items of the requested users are joined; the other side keeps no others either

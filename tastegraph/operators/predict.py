@@ -26,7 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import R_MAX, R_MIN, predict_rating, weighted_mean
-from .pairs import HOT_BUCKET, hot_items, salted
+from .pairs import HOT_BROADCAST_ROWS, HOT_BUCKET, hot_items, salted
+from .spread import spread_join
+
+# Requests of one user that one task expands through the user's k neighbours.
+REQUESTS_PER_TASK = 100_000
 
 
 def _with_user_avg(pairs: DataFrame, user_avg: DataFrame, cold_user: str,
@@ -52,7 +56,7 @@ def _weight(weighting: str):
 
 def knn_item_deviation(pairs: DataFrame, neighbours: DataFrame, dev: DataFrame, ks: list[int],
                        weighting: str = "raters", item_raters: DataFrame | None = None,
-                       route: str = "both") -> DataFrame:
+                       route: str = "both", requests: DataFrame | None = None) -> DataFrame:
     """Per requested (user_id, item_id): ``num_<k>``/``den_<k>`` for each k in ``ks``.
 
     ``pairs`` carries any extra columns (rating, avg_rating...) which are kept,
@@ -67,7 +71,9 @@ def knn_item_deviation(pairs: DataFrame, neighbours: DataFrame, dev: DataFrame,
     says which of the two can receive pairs (known from the item rater
     counts), so the plan holds only those. Without ``item_raters`` every pair
     goes through the user's neighbours. Left joins keep pairs that have no
-    contribution at all (their sums are NULL).
+    contribution at all (their sums are NULL). ``requests`` (user_id, n), n being
+    at least the user's number of pairs, lets the pairs of a user with very many
+    be dealt to several tasks, each with a copy of the user's neighbours.
     """
     requested, pairs = pairs, pairs.select("user_id", "item_id").distinct()
     nb = neighbours.select("user_id", "other_id", "sim", "eff_rank")
@@ -77,7 +83,9 @@ def knn_item_deviation(pairs: DataFrame, neighbours: DataFrame, dev: DataFrame,
         return p.join(d, "item_id", "left").join(nb, ["user_id", "other_id"], "left")
 
     def by_user(p):
-        return p.join(nb, "user_id", "left").join(d, ["other_id", "item_id"], "left")
+        met = p.join(nb, "user_id", "left") if requests is None else spread_join(
+            p, nb, "user_id", "item_id", sizes=requests, n="n", how="left", most=REQUESTS_PER_TASK)
+        return met.join(d, ["other_id", "item_id"], "left")
 
     if item_raters is None or route == "user":
         rows = by_user(pairs)
@@ -113,8 +121,9 @@ def all_item_deviation(pairs: DataFrame, sims: DataFrame, dev: DataFrame, weight
     want = pairs.select("user_id", "item_id").distinct()
     keys = ["item_id"]
     hot = hot_items(d, hot_bucket)
-    if hot.count() if n_hot is None else n_hot:
-        want, d, keys = salted(want, d, hot, "user_id", "other_id")
+    n_hot = hot.count() if n_hot is None else n_hot
+    if n_hot:
+        want, d, keys = salted(want, d, hot, "user_id", "other_id", n_hot <= HOT_BROADCAST_ROWS)
     contrib = (want.join(d, keys)
                .join(sims.select("user_id", "other_id", "sim"), ["user_id", "other_id"])
                .groupBy("user_id", "item_id")
@@ -138,9 +147,10 @@ def prepare_pairs(pairs: DataFrame, user_avg: DataFrame, cold_user: str = "drop"
 
 def predictions_for_ks(pairs_avg: DataFrame, neighbours: DataFrame, dev: DataFrame, ks: list[int],
                        weighting: str = "raters", item_raters: DataFrame | None = None,
-                       route: str = "both", r_min: float = R_MIN, r_max: float = R_MAX) -> DataFrame:
+                       route: str = "both", r_min: float = R_MIN, r_max: float = R_MAX,
+                       requests: DataFrame | None = None) -> DataFrame:
     """Long form (k, user_id, item_id, ..., prediction) for each k of a sweep."""
-    wide = knn_item_deviation(pairs_avg, neighbours, dev, ks, weighting, item_raters, route)
+    wide = knn_item_deviation(pairs_avg, neighbours, dev, ks, weighting, item_raters, route, requests)
     extra = [c for c in wide.columns if not (c.startswith("num_") or c.startswith("den_"))]
     per_k = F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.col(f"num_{k}").alias("num"), F.col(f"den_{k}").alias("den"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import R_MAX, R_MIN, jaccard, normalized_deviation, round_sim
 from ..session import materialize
 from .pairs import HOT_BUCKET, pair_aggregate
+from .spread import spread_join
 
 
 def user_averages(ratings: DataFrame) -> DataFrame:
@@ -40,11 +41,15 @@ def global_average(ratings: DataFrame) -> DataFrame:
 
 def deviations(ratings: DataFrame, user_avg: DataFrame | None = None,
                r_min: float = R_MIN, r_max: float = R_MAX) -> DataFrame:
-    """(user_id, item_id, rating, avg_rating, dev) for every rating (inner join on user)."""
+    """(user_id, item_id, rating, avg_rating, dev) for every rating (inner join on user).
+
+    The rows of a user with very many ratings are dealt to several tasks;
+    ``user_avg`` should be stored, as it is read for the users' sizes first.
+    """
     if user_avg is None:
-        user_avg = user_averages(ratings)
-    return (ratings.select("user_id", "item_id", "rating")
-            .join(user_avg.select("user_id", "avg_rating"), "user_id")
+        user_avg = materialize(user_averages(ratings))
+    return (spread_join(ratings.select("user_id", "item_id", "rating"), user_avg.select("user_id", "avg_rating", "n_ratings"),
+                        "user_id", "item_id").drop("n_ratings")
             .withColumn("dev", normalized_deviation("rating", "avg_rating", r_min, r_max)))
 
 
@@ -60,15 +65,16 @@ def normalized(dev: DataFrame) -> DataFrame:
     Users whose deviations are all 0 (norm 0) get nd = 0, i.e. similarity 0
     with everybody, instead of 0/0.
     """
-    norms = dev.groupBy("user_id").agg(F.sum(F.col("dev") * F.col("dev")).alias("sq"))
-    return (dev.select("user_id", "item_id", "dev").join(norms, "user_id")
+    norms = materialize(dev.groupBy("user_id").agg(F.sum(F.col("dev") * F.col("dev")).alias("sq"),
+                                                   F.count(F.lit(1)).alias("n_ratings")))
+    return (spread_join(dev.select("user_id", "item_id", "dev"), norms, "user_id", "item_id")
             .select("user_id", "item_id",
                     F.when(F.col("sq") > 0, F.col("dev") / F.sqrt("sq")).otherwise(F.lit(0.0)).alias("nd")))
 
 
 def preprocess(ratings: DataFrame, r_min: float = R_MIN, r_max: float = R_MAX):
     """(user averages, deviations, normalised deviations) of a rating table."""
-    avg = user_averages(ratings)
+    avg = materialize(user_averages(ratings))
     dev = deviations(ratings, avg, r_min, r_max)
     return avg, dev, normalized(dev)
 
@@ -90,13 +96,12 @@ class Prepared:
 
     def __init__(self, ratings: DataFrame, r_min: float = R_MIN, r_max: float = R_MAX,
                  cache: str = "auto", by_item: bool = False):
-        # one row a user, stored: a join of the rating rows with a stored table is one of plain
-        # shuffles, which AQE splits at a user with many rows (it can't split below an aggregate)
+        # one row a user, stored: its sizes tell which users' rows are to be dealt to several tasks
         self.avg = materialize(user_averages(ratings), cache)
         dev = deviations(ratings, self.avg, r_min, r_max)
         per_user = materialize(dev.groupBy("user_id").agg(F.sum(F.col("dev") * F.col("dev")).alias("sq"),
                                                           F.count(F.lit(1)).alias("n_u")), cache)
-        table = (dev.select("user_id", "item_id", "dev").join(per_user, "user_id")
+        table = (spread_join(dev.select("user_id", "item_id", "dev"), per_user, "user_id", "item_id", n="n_u")
                  .select("user_id", "item_id", "dev",
                          F.when(F.col("sq") > 0, F.col("dev") / F.sqrt("sq")).otherwise(F.lit(0.0)).alias("nd"),
                          "n_u"))
@@ -104,8 +109,18 @@ class Prepared:
             table = table.repartition("item_id")
         self.by_item = by_item
         self.rows = materialize(table, cache)
+        self.cache = cache
+        self._items = None
         self._stats = None
 
+    @property
+    def items(self) -> DataFrame:
+        """(item_id, m, raters): similarity rows (nd != 0) and rating rows of each item, counted once and stored."""
+        if self._items is None:
+            nz = (F.col("nd") != 0).cast("int")
+            self._items = materialize(self.rows.groupBy("item_id").agg(F.sum(nz).alias("m"), F.count(F.lit(1)).alias("raters")), self.cache)
+        return self._items
+
     @property
     def dev(self) -> DataFrame:
         return self.rows.select("user_id", "item_id", "dev")
@@ -115,7 +130,7 @@ class Prepared:
         return self.rows.select("user_id", "item_id", "nd")
 
     def item_raters(self) -> DataFrame:
-        return self.rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("m"))
+        return self.items.select("item_id", F.col("raters").alias("m"))
 
     def stats(self, pairs: DataFrame | None = None, hot_bucket: int = HOT_BUCKET) -> dict:
         """Scalars the plan depends on, computed in one job and remembered.
@@ -133,8 +148,9 @@ class Prepared:
         """
         if self._stats is None or (pairs is not None and "n_requested" not in self._stats):
             rows = self.rows.select("user_id", "item_id", (F.col("nd") != 0).cast("int").alias("nz"))
-            items = rows.groupBy("item_id").agg(F.sum("nz").alias("m"), F.count(F.lit(1)).alias("raters"))
-            per_user = (rows.join(items, "item_id").groupBy("user_id")
+            items = self.items
+            # the rows of a hot item are dealt to several tasks, and a user's sums are partial ones
+            per_user = (spread_join(rows, items, "item_id", "user_id", n="raters").groupBy("user_id")
                         .agg(F.sum(F.when(F.col("nz") == 1, F.col("m") - 1)).alias("b"),
                              F.sum(F.col("raters") - 1).alias("c")))
             parts = [
@@ -215,8 +231,8 @@ def jaccard_similarity(ratings: DataFrame | None = None, users: DataFrame | None
     give (user_id, item_id, n) directly (n = the user's number of items).
     """
     if rows is None:
-        counts = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-        rows = ratings.select("user_id", "item_id").join(counts, "user_id")
+        counts = materialize(ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")))
+        rows = spread_join(ratings.select("user_id", "item_id"), counts, "user_id", "item_id", n="n")
     pairs = pair_aggregate(rows, ["n"], {"n_a": F.col("a_n"), "n_b": F.col("b_n")},
                            {"n_co": F.count(F.lit(1)), "n_a": F.max("n_a"), "n_b": F.max("n_b")},
                            left_users=users, pair="all" if include_self else "ne",
@@ -225,7 +241,7 @@ def jaccard_similarity(ratings: DataFrame | None = None, users: DataFrame | None
     return pairs.select("user_id", "other_id", round_sim(jaccard("n_co", "n_a", "n_b")).alias("sim"))
 
 
-def corated_counts(ratings: DataFrame, hot_bucket: int = HOT_BUCKET) -> DataFrame:
-    """(user_id, other_id, n_co) for unordered pairs u <= v (self included) with n_co > 0."""
+def corated_counts(ratings: DataFrame, hot_bucket: int = HOT_BUCKET, pair: str = "le") -> DataFrame:
+    """(user_id, other_id, n_co) for unordered pairs u <= v (self included; without with ``pair="lt"``) with n_co > 0."""
     return pair_aggregate(ratings.select("user_id", "item_id"), [], {}, {"n_co": F.count(F.lit(1))},
-                          pair="le", hot_bucket=hot_bucket)
+                          pair=pair, hot_bucket=hot_bucket)

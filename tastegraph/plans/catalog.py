@@ -149,7 +149,8 @@ def q_corated_stats(spark, sf):
 
 
 def q_corated_nonzero_bytes(spark, sf):
-    return ST.similarity_bytes(S.corated_counts(_tt(spark, sf)[0]))
+    train = _tt(spark, sf)[0]
+    return ST.similarity_bytes(S.corated_counts(train, pair="lt"), K.count_users(train))
 
 
 def q_similarity_computation_count(spark, sf):
