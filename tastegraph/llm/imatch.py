@@ -1,19 +1,26 @@
 """I-Match fingerprints: terms of a middle frequency band, sorted and hashed over random subsets of the lexicon.
 
-The lexicon holds the terms found in at least a thousandth and at most a
-twentieth of all documents (and in two at least), so it has at most a thousand
-times as many terms as a document has on average, whatever the corpus; it is
-broadcast only after its size has been counted. Every lexicon term belongs to
-random subsets at four rates, told by hex digits of its SHA-256. A fingerprint
-is 49 fields: the hash of all of a text's lexicon terms, and of those in each
-subset ("-" if there are none). The likeness of two fingerprints is 1 if the
-first fields agree, else the largest share, over the rates, of agreeing subsets
-among those not empty in both. Low rates serve long texts, high rates short.
+Document frequencies are counted over distinct texts. The lexicon's band holds
+the terms found in at least a thousandth and at most a twentieth of them (and in
+two at least), so it has at most a thousand times as many terms as a text has on
+average, whatever the corpus. Where near copies of one text make more than a
+twentieth, its words are above the band; common terms, those above it, are kept
+apart for that. The lexicon is broadcast only after its size has been counted.
+
+Every term belongs to random subsets, told by hex digits of its SHA-256: a term of
+the band at four rates, a common one at the first three. A fingerprint is 85 fields: the
+hash of all of a text's terms in the band, of those in each subset, and of its
+common terms in each subset ("-" if there are none). The likeness of two
+fingerprints is 1 if the first fields agree, else the largest share, over the
+rates, of agreeing subsets among those not empty in both. Low rates serve long
+texts, high rates short. Common terms count only where the band says little of
+either text: fewer than half of its subsets at the highest rate have any term.
 
 Only DataFrame functions are used.
 
 Edge cases
-* null or empty text: no terms; a text without lexicon terms has the hash of the text in its first field;
+* null or empty text: no terms; a text without terms in the band has the hash of the text in its first field;
+* repeated rows and copies count once for the frequencies;
 * null ids come last in the order of documents; rows with equal ids are ordered by their text's hash;
 * a single document is its own next document; an empty table gives an empty result.
 """
@@ -29,6 +36,8 @@ LOW, HIGH = 0.001, 0.05  # band of document frequency, as shares of the document
 SUBSETS = 12  # of each rate
 #: Hex digits that must be zero, and whether one more must be below 4: rates 1/16, 1/64, 1/256, 1/1024.
 RATES = ((1, False), (1, True), (2, False), (2, True))
+COMMON_RATES = 3  # the first of them, for common terms
+THIN = SUBSETS // 2  # fewer fields of the highest rate with a term in the band say too little
 BROADCAST_TERMS = 1_000_000
 BUCKET_DOCS, MOST_BUCKETS = 1000, 10_000
 
@@ -53,15 +62,31 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.concat(F.array(F.lit("")), F.split(spaced, " ")))
 
 
+def distinct_texts(docs: DataFrame, text_col: str, scratch: Scratch) -> tuple[DataFrame, int]:
+    """(text) of the distinct texts, null being empty, and how many they are; only texts with copies are shuffled."""
+    rows = docs.select(F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    keyed = rows.select("text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), F.col("text")).alias("t2"))
+    copies = scratch.keep(keyed.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "copies")
+    n_copied, spare = copies.agg(F.count(F.lit(1)), F.sum(F.col("c") - 1)).first()
+    hint = F.broadcast if n_copied <= BROADCAST_TERMS else (lambda df: df)
+    copied = hint(copies.select("t1", "t2"))
+    once = keyed.join(copied, ["t1", "t2"], "left_anti").select("text")
+    several = keyed.join(copied, ["t1", "t2"], "left_semi").groupBy("t1", "t2").agg(F.min("text").alias("text"))
+    return once.unionByName(several.select("text")), docs.count() - int(spare or 0)
+
+
 def lexicon(docs: DataFrame, text_col: str, scratch: Scratch, low: float = LOW, high: float = HIGH) -> tuple[DataFrame, int]:
-    """(term, mask) of the terms in the band and of the empty word; and how many they are."""
-    n = docs.count()
-    found = (docs.select(F.explode(terms(F.coalesce(docs[text_col], F.lit("")))).alias("term"))
+    """(term, mask, common) of the terms in the band and above it, and of the empty word; and how many they are."""
+    texts, n = distinct_texts(docs, text_col, scratch)
+    found = (texts.select(F.explode(terms(F.col("text"))).alias("term"))
              .where("term <> ''").groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    band = found.where((F.col("df") >= max(2.0, low * n)) & (F.col("df") <= high * n)).select("term")
+    band = found.where(F.col("df") >= max(2.0, low * n)).select("term", (F.col("df") > max(2.0, high * n)).alias("common"))
     digits = band.withColumn("digits", F.concat(F.sha2("term", 256), F.sha2(F.concat("term", F.lit("#")), 256)))
-    kept = scratch.keep(digits.select("term", F.expr(mask_sql("digits")).alias("mask")), "lexicon")
-    empty = docs.sparkSession.createDataFrame([("", 0)], "term string, mask long")
+    kept = digits.select("term", F.expr(mask_sql("digits")).alias("mask"), "common")
+    # a common term that is in no subset says nothing
+    drawn = F.col("mask").bitwiseAND(F.lit((1 << COMMON_RATES * SUBSETS) - 1)) != 0
+    kept = scratch.keep(kept.where(~F.col("common") | drawn), "lexicon")
+    empty = docs.sparkSession.createDataFrame([("", 0, False)], "term string, mask long, common boolean")
     return kept.unionByName(empty), kept.count() + 1
 
 
@@ -73,14 +98,14 @@ def _of_subsets(found: Column, mask: Column) -> Column:
     return F.filter(found, lambda x: x["mask"].bitwiseAND(mask) != 0)
 
 
-def by_rate(found: Column) -> Column:
+def by_rate(found: Column, rates: int = len(RATES)) -> Column:
     """The lexicon terms that are in any subset of each rate, so that a subset is picked from few."""
-    masks = [sum(1 << b for b in range(i * SUBSETS, (i + 1) * SUBSETS)) for i in range(len(RATES))]
+    masks = [sum(1 << b for b in range(i * SUBSETS, (i + 1) * SUBSETS)) for i in range(rates)]
     return F.array(*[_of_subsets(found, F.lit(m)) for m in masks])
 
 
 def fingerprint(found: Column, whole: Column) -> Column:
-    """found: array of (term, mask) in order; whole: the text's hash, which stands in if there is no term."""
+    """found: array of (term, mask, common) in order; whole: the text's hash, which stands in if the band has no term."""
     joined = lambda a: F.array_join(F.transform(a, lambda x: x["term"]), " ")
 
     def field(rates: Column, k: Column) -> Column:
@@ -88,25 +113,31 @@ def fingerprint(found: Column, whole: Column) -> Column:
         own = joined(_of_subsets(F.get(rates, F.floor(k / SUBSETS).cast("int")), bit))
         return bound(own, lambda s: F.when(s == "", F.lit("-")).otherwise(_hash(s)))
 
+    def subsets(terms_found: Column, rates: int) -> Column:
+        each = F.sequence(F.lit(0), F.lit(rates * SUBSETS - 1))
+        return bound(by_rate(terms_found, rates), lambda some: F.transform(each, lambda k: field(some, k)))
+
     def fields(terms_found: Column) -> Column:
         first = F.when(F.size(terms_found) > 0, _hash(joined(terms_found))).otherwise(whole)
-        subsets = F.sequence(F.lit(0), F.lit(len(RATES) * SUBSETS - 1))
-        return F.concat(F.array(first), bound(by_rate(terms_found), lambda rates: F.transform(subsets, lambda k: field(rates, k))))
+        return F.concat(F.array(first), subsets(terms_found, len(RATES)))
 
-    return bound(found, fields)
+    band, common = F.filter(found, lambda x: ~x["common"]), F.filter(found, lambda x: x["common"])
+    return F.concat(bound(band, fields), bound(common, lambda c: subsets(c, COMMON_RATES)))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1, of two fingerprints as arrays of fields."""
     shares = []
-    for level in range(len(RATES)):
+    for level in range(len(RATES) + COMMON_RATES):
         x, y = (F.slice(c, 2 + level * SUBSETS, SUBSETS) for c in (a, b))
         pairs = F.zip_with(x, y, lambda p, q: F.when((p == "-") & (q == "-"), F.lit(0))
                            .when(p == q, F.lit(2)).otherwise(F.lit(1)))
         either = F.size(F.filter(pairs, lambda v: v > 0))
         same = F.size(F.filter(pairs, lambda v: v == 2))
         shares.append(F.when(either > 0, same / either).otherwise(F.lit(0.0)))
-    return F.when(F.get(a, F.lit(0)) == F.get(b, F.lit(0)), F.lit(1.0)).otherwise(F.greatest(*shares))
+    told = [F.size(F.filter(F.slice(c, 2, SUBSETS), lambda v: v != "-")) for c in (a, b)]
+    return (F.when(F.get(a, F.lit(0)) == F.get(b, F.lit(0)), F.lit(1.0))
+            .when(F.least(*told) < THIN, F.greatest(*shares)).otherwise(F.greatest(*shares[:len(RATES)])))
 
 
 def _numbers(values: list[int]) -> Column:
@@ -172,7 +203,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     each = each.select("bucket", "row", "is_edited", "term", F.when(F.col("pos") == 0, F.struct("about", "whole")).alias("text"))
     met = each.join(lex, "term")
     some = lambda edited: F.array_sort(F.collect_list(F.when(
-        (F.col("is_edited") == F.lit(edited)) & (F.col("term") != ""), F.struct("term", "mask"))))
+        (F.col("is_edited") == F.lit(edited)) & (F.col("term") != ""), F.struct("term", "mask", "common"))))
     told = lambda edited: F.first(F.when(F.col("is_edited") == F.lit(edited), F.col("text")), ignorenulls=True)
     found = met.groupBy("bucket", "row").agg(some(False).alias("own"), told(False).alias("own_text"),
                                              some(True).alias("changed"), told(True).alias("changed_text"))
@@ -197,11 +228,13 @@ def digest(docs: DataFrame) -> DataFrame:
 def _likeness_sql(a: str, b: str) -> str:
     """Over rows (doc_id, k, fa, fb, fc) of fields, for the subsets of each rate."""
     shares = []
-    for level in range(len(RATES)):
+    for level in range(len(RATES) + COMMON_RATES):
         span = f"k BETWEEN {1 + level * SUBSETS} AND {(level + 1) * SUBSETS}"
         shares.append(f"coalesce(count(*) FILTER ({span} AND {a} = {b} AND {a} <> '-') / "
                       f"nullif(count(*) FILTER ({span} AND ({a} <> '-' OR {b} <> '-')), 0), 0.0)")
-    return f"CASE WHEN bool_or(k = 0 AND {a} = {b}) THEN 1.0 ELSE greatest({', '.join(shares)}) END"
+    told = ", ".join(f"count(*) FILTER (k BETWEEN 1 AND {SUBSETS} AND {x} <> '-')" for x in (a, b))
+    return (f"CASE WHEN bool_or(k = 0 AND {a} = {b}) THEN 1.0 WHEN least({told}) < {THIN} THEN greatest({', '.join(shares)}) "
+            f"ELSE greatest({', '.join(shares[:len(RATES)])}) END")
 
 
 SQL = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
@@ -210,11 +243,14 @@ SQL = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(
 e AS (SELECT *, substr(text, 1, n - n // 3) || substr(coalesce(following, first_text), 1, n // 3) AS edited FROM d),
 x AS (SELECT doc_id, 0 AS v, text FROM e UNION ALL SELECT doc_id, 1, edited FROM e),
 w AS (SELECT doc_id, v, unnest(list_distinct(string_split(translate(lower(text), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '))) AS term FROM x),
-lex AS (SELECT term, {mask_sql("digits")} AS mask FROM (SELECT term, sha256(term) || sha256(term || '#') AS digits FROM w
-    WHERE v = 0 AND term <> '' GROUP BY term HAVING count(*) >= greatest(2, {LOW} * (SELECT count(*) FROM d)) AND count(*) <= {HIGH} * (SELECT count(*) FROM d))),
-k AS (SELECT unnest(generate_series(0, {len(RATES) * SUBSETS})) AS k),
+one AS (SELECT min(doc_id) AS doc_id FROM d GROUP BY text),
+lex AS (SELECT term, df > greatest(2, {HIGH} * (SELECT count(*) FROM one)) AS common, {mask_sql("digits")} AS mask
+    FROM (SELECT term, count(*) AS df, sha256(term) || sha256(term || '#') AS digits FROM w JOIN one ON w.doc_id = one.doc_id
+    WHERE v = 0 AND term <> '' GROUP BY term HAVING count(*) >= greatest(2, {LOW} * (SELECT count(*) FROM one)))),
+k AS (SELECT unnest(generate_series(0, {(len(RATES) + COMMON_RATES) * SUBSETS})) AS k),
 hit AS (SELECT doc_id, v, k, substr(md5(string_agg(w.term, ' ' ORDER BY w.term)), 1, 8) AS f
-    FROM w JOIN lex ON w.term = lex.term JOIN k ON k = 0 OR (mask >> (k - 1)) & 1 = 1 GROUP BY doc_id, v, k),
+    FROM w JOIN lex ON w.term = lex.term JOIN k ON CASE WHEN common THEN k > {len(RATES) * SUBSETS} AND (mask >> greatest(k - {len(RATES) * SUBSETS + 1}, 0)) & 1 = 1
+        ELSE k = 0 OR (k <= {len(RATES) * SUBSETS} AND (mask >> greatest(k - 1, 0)) & 1 = 1) END GROUP BY doc_id, v, k),
 fields AS (SELECT x.doc_id, x.v, k.k, coalesce(f, CASE WHEN k.k = 0 THEN substr(md5(x.text), 1, 8) ELSE '-' END) AS f
     FROM x, k LEFT JOIN hit ON hit.doc_id = x.doc_id AND hit.v = x.v AND hit.k = k.k),
 three AS (SELECT e.doc_id, e.n, e.edited, a.k, a.f AS fa, b.f AS fb, c.f AS fc FROM e JOIN fields a ON a.doc_id = e.doc_id AND a.v = 0

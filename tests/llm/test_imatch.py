@@ -1,6 +1,7 @@
 """I-Match: the contract's columns against a plain version, fingerprints, order over buckets, edge cases."""
 
 import hashlib
+import random
 
 import duckdb
 import pytest
@@ -40,6 +41,53 @@ def test_near_and_far(spark):
     assert all(0 <= x <= 1 for r in rows for x in (r.near_edited, r.near_next))
 
 
+def against_sql(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = imatch.digest(docs).collect()
+    db = duckdb.connect()
+    db.register("documents", docs.toPandas())
+    want = db.sql(f"SELECT doc_id, fingerprint, edited_fingerprint, near_edited, near_next FROM ({imatch.SQL})").fetchall()
+    rnd = lambda rows: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in rows)
+    assert rnd((r.doc_id, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in got) == rnd(want)
+    return {r.doc_id: r for r in got}
+
+
+def test_a_third_near_copies(spark):
+    """Words of a large group of near copies are above the band; the group's fingerprints tell it all the same."""
+    rng = random.Random(3)
+    vocabulary = [f"c{i % 20}" for i in range(600)] + [f"w{i}" for i in range(1500)]  # common words and others
+    base = [f"b{i}" for i in range(200)]
+    rows, members = [], []
+    for i in range(300):
+        if rng.random() < 0.35:
+            text = list(base)
+            text[rng.randrange(200)] = f"edit{i}"
+            members.append(i)
+        else:
+            text = rng.choices(vocabulary, k=rng.randrange(50, 300))
+        rows.append((i, " ".join(text)))
+    got = against_sql(spark, rows)
+    mean = lambda x: sum(x) / len(x)
+    beside = [i for i in members if i - 1 in members]
+    apart = [i for i in range(1, 300) if i not in members and i - 1 not in members]
+    assert mean([got[i].near_edited for i in members]) > 0.4
+    assert mean([got[i].near_next for i in beside]) > 0.7
+    assert mean([got[i].near_next for i in apart]) < 0.15
+    assert all(set(got[i].fingerprint.split()[49:]) != {"-"} for i in members)
+
+
+def test_thirty_documents_and_copies(spark):
+    """Small tables have a lexicon too, and copies count once for its frequencies."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choices(words, k=40))) for i in range(30)]
+    got = against_sql(spark, rows)
+    assert all(set(r.fingerprint.split()[1:]) != {"-"} for r in got.values())
+    again = against_sql(spark, rows + [(100 + i, rows[0][1]) for i in range(40)])
+    assert all(again[i].fingerprint == got[i].fingerprint for i in range(30))
+    assert len({again[i].fingerprint for i in (0, *range(100, 140))}) == 1
+
+
 def test_edge_cases(spark, odd_docs, no_docs):
     distinct = odd_docs.where("doc_id IS NULL OR doc_id <> 7").where("doc_id IS NOT NULL OR text IS NOT NULL")
     rows = [(r.doc_id, r.text) for r in distinct.collect()]
