@@ -1,19 +1,22 @@
 """Line dedup: range-partitioned line hashes, streamed first occurrences, per-document keep bitmaps.
 
 Every line long enough to count gets a 128-bit hash of its key (stripped, A-Z
-lower-cased). The hashes are range-partitioned and sorted by (hash, document
-descending, position), so a key shared by a third of all documents spans as
-many ranges as its rows need. The first document in that order keeps the key's
-lines; the others' lines are marked in a bitmap. Text itself takes no part in
-these shuffles; it is moved once, to meet its bitmap.
+lower-cased). The hashes are range-partitioned by (hash, document descending) and
+sorted by position as well, so a key shared by a third of all documents spans as
+many ranges as its rows need. A row's place in that stream of ranges tells the
+first occurrences: each range reduces a key, as it streams past, to its first
+place and its number of documents, so that of a key cut by the edges of ranges
+one row for each range is carried over. The document at the first place keeps
+the key's lines; the others' lines are marked in a bitmap. Text itself takes no part
+in these shuffles; it is moved once, to meet its bitmap.
 
 Only DataFrame functions are used.
 
 Edge cases
 * null or empty text: one empty line, nothing dropped;
-* null document id: sorts below all ids; if every holder's id is null, all keep their lines;
-* repeated rows: each row counts as a document, and rows with one id keep or lose a key together;
-* an empty table gives an empty result; extra columns pass through `dedup_lines` untouched.
+* a document is an id: rows that share one, equal or not, count once, and keep or lose a key together;
+* rows with a null id are one document, that sorts below all ids;
+* an empty table gives an empty result; extra columns pass through `dedup_lines` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -51,10 +54,12 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
 
 
 def occurrences(hashed: DataFrame) -> DataFrame:
-    """One row per (key hash, document) with the positions of that key, streamed in range order."""
-    order = [F.col("h1"), F.col("h2"), F.col("doc").desc(), F.col("tid")]
-    return (hashed.repartitionByRange(*order).sortWithinPartitions(*order, "pos")
-            .groupBy("h1", "h2", "doc", "tid").agg(F.collect_list("pos").alias("positions")))
+    """One row per (key hash, document) with the lines of that key and the row's place, streamed in range order."""
+    order = [F.col("h1"), F.col("h2"), F.col("doc").desc_nulls_last()]
+    held = (hashed.repartitionByRange(*order).sortWithinPartitions(*order, "tid", "pos")
+            .groupBy("h1", "h2", "doc").agg(F.collect_list(F.struct("tid", "pos")).alias("lines")))
+    # ranges are numbered in order, and the rows of a range are grouped in order
+    return held.sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id())
 
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -70,12 +75,12 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scratch = Scratch(docs.sparkSession, "lines")
     # stored: finding the ranges, the first occurrences and their join each read the hashes, and none the text again
     held = occurrences(scratch.keep(line_hashes(docs, id_col, text_col, min_chars), "hashes"))
-    first = (held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("keeper"))
+    first = (held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.min_by("doc", "place").alias("keeper"))
              .where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"))
     # a stored table, so that both join sides are plain shuffles, which AQE can split at a hot key
     first = scratch.keep(first, "first")
     lost = held.join(first, ["h1", "h2"]).where(~F.col("doc").eqNullSafe(F.col("keeper")))
-    bits = (lost.select("doc", "tid", F.explode("positions").alias("pos"))
+    bits = (lost.select("doc", F.explode("lines").alias("line")).select("doc", "line.tid", "line.pos")
             .groupBy("doc", "tid", F.expr(f"cast(pos div {WORD} as int)").alias("word"))
             .agg(F.bit_or(F.expr(f"shiftleft(1L, pos % {WORD})")).alias("bits")))
     return bits.groupBy("doc", "tid").agg(
@@ -101,7 +106,13 @@ def kept_text(text: Column, words: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """The documents without their repeated lines, plus ``n_lines`` and ``n_dropped`` in a struct ``_lines``."""
+    """The documents without their repeated lines, plus ``n_lines`` and ``n_dropped`` in a last column, a struct.
+
+    It is named ``_lines``, with more underscores in front where a column has that name.
+    """
+    told = "_lines"
+    while told in docs.columns:
+        told = "_" + told
     bitmaps = keep_bitmaps(docs, id_col, text_col, min_chars, min_docs)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
                        docs[id_col].alias("_doc"), text_id(docs[text_col]).alias("_tid"))
@@ -114,7 +125,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         *[F.when(F.col("words").isNull(), text).otherwise(kept).alias(c) if c == text_col
           else F.col("_row")[c].alias(c) for c in docs.columns],
         F.struct(n_lines.cast("long").alias("n_lines"),
-                 F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped")).alias("_lines"))
+                 F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped")).alias(told))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 from collections import defaultdict
 
+import duckdb
 from conftest import SF001
 from pyspark.sql import functions as F
 
@@ -13,14 +14,14 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def brute(rows, min_chars=40, min_docs=5):
-    """rows: (id, text); each row counts as a document. Returns (id, lines, dropped, text)."""
+    """rows: (id, text); each id counts as a document. Returns (id, lines, dropped, text)."""
     key = lambda line: line.strip(STRIP).translate(LOWER)
     rank = lambda i: (i is not None, i or 0)  # noqa: E731  null ids are smallest
-    holders = defaultdict(list)
+    holders = defaultdict(set)
     for i, t in rows:
         for k in {key(x) for x in (t or "").split("\n")}:
             if len(k) >= min_chars:
-                holders[k].append(i)
+                holders[k].add(i)
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
@@ -65,6 +66,30 @@ def test_hot_line_and_long_document(spark):
     assert line_dedup.dedup_lines(df).where("doc_id = 1000").first()._lines.n_dropped == 0
 
 
+def test_documents_are_told_by_their_ids(spark):
+    line = "a line of at least forty characters that several rows hold"
+    for rows in ([(7, f"{line}\n{i}") for i in range(4)] + [(8, line)], [(7, line)] * 4 + [(8, line)],
+                 [(7, line)] * 4 + [(None, line), (None, f"{line}\nx")]):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert result(df) == brute(rows) and sum(r._lines.n_dropped for r in line_dedup.dedup_lines(df).collect()) == 0
+    rows = [(i, line) for i in (7, 7, 8, 9, 10, None)]
+    assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    values = ", ".join(f"({i}, '{t}')" for i, t in [(7, f"{line}\n{n}") for n in range(4)] + [(8, line)])
+    sql = line_dedup.SQL.replace("FROM documents", f"FROM (VALUES {values}) AS d(doc_id, text)")
+    assert sum(r[2] for r in duckdb.sql(sql).fetchall()) == 0
+
+
+def test_clashing_names(spark):
+    line = "a line of at least forty characters that several rows hold"
+    names = ["doc_id", "text", "_lines", "__lines", "_row", "_doc", "_tid", "words", "h1", "place"]
+    rows = [(i, line, *range(8)) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} int" for c in names[2:]))
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == [*names, "___lines"]
+    got = sorted(tuple(r) for r in out.select(*names).collect())
+    assert got == [(i, line if i == 5 else "", *range(8)) for i in range(6)]
+
+
 def test_bitmaps_are_compressed(spark):
     line = "the same long line is held by six documents in all, at the end"
     rows = [(i, "\n".join(["x"] * 1000 + [line])) for i in range(6)]
