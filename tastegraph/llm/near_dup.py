@@ -164,12 +164,12 @@ def links(a: list[np.ndarray], b: list[np.ndarray] | None, percent: int) -> list
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     split = len(a) if b is not None else 0
-    both = np.zeros((len(a), len(b) if b is not None else len(a)), np.float32)
+    both = np.zeros((len(a), len(b) if b is not None else len(a)), np.int64)
     for lo in range(0, n, COLUMNS):
         i, j = np.searchsorted(column, (lo, lo + COLUMNS))
         x = np.zeros((len(sets), min(COLUMNS, n - lo)), np.float32)
         x[row[i:j], column[i:j] - lo] = 1
-        both += x[:len(a)] @ x[split:].T
+        both += (x[:len(a)] @ x[split:].T).astype(np.int64)  # exact: at most COLUMNS at a time
     either = size[:len(a), None] + size[None, split:] - both
     hit = (100 * both >= percent * either) & (both > 0)
     if b is None:
@@ -197,39 +197,86 @@ def _forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def confirmed_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, scratch: Scratch, words: int,
-                    percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Edges (a, b) that span the true links within each group of (node, component)."""
+def dealt_members(classes: DataFrame, groups: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, component, n, blocks, block): the members of each group, dealt to blocks of bounded weight."""
     weighed = classes.select(F.col("rep").alias("node"), "n").join(groups, "node")
     total = weighed.groupBy("component").agg(F.sum(F.col("n") + DOCUMENT_WEIGHT).alias("weight"))
     total = scratch.keep(total.select("component", F.expr(f"cast(weight div {UNIT_WEIGHT} + 1 as int)").alias("blocks")), "weights")
-    member = groups.join(total, "component").withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
-    member = scratch.keep(member, "members-dealt")
-    only = docs.sparkSession.sparkContext.broadcast(filter_bits(member.select("node"), member.count()))
+    member = weighed.join(total, "component").withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
+    return scratch.keep(member.select("node", "component", "n", "blocks", "block"), "members-dealt")
+
+
+def first_units(member: DataFrame) -> DataFrame:
+    """(node, component, lo, hi, second): each block with its group's smallest node; hi is -1: all pairs within.
+
+    So a text is moved once, and a group's smallest one once for each block.
+    """
+    own = member.select("node", "component", F.col("block").alias("lo"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    smallest = member.where("blocks > 1 and node = component").select("node", "component", "block", every.alias("lo")).where("lo <> block")
+    return own.unionByName(smallest.drop("block")).withColumn("hi", F.lit(-1)).withColumn("second", F.lit(False))
+
+
+def second_units(member: DataFrame, parts: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """Units that compare what the first ones left apart, or None: every member with those outside its group's largest part.
+
+    Members of one part need no more links between them. The others are few in a
+    group of near copies; they are dealt to chunks, each of which meets every
+    block.
+    """
+    spread = member.where("blocks > 1").join(parts.toDF("node", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    spread = scratch.keep(spread, "members-apart")
+    sizes = spread.groupBy("component", "part").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("component").agg(F.max_by("part", "size").alias("largest"), F.count(F.lit(1)).alias("n_parts"))
+    largest = scratch.keep(largest.where("n_parts > 1").select("component", "largest"), "largest-parts")
+    if not largest.head(1):
+        return None
+    rest = spread.join(largest, "component").where("part <> largest")
+    chunks = rest.groupBy("component").agg(F.expr(f"cast(sum(n + {DOCUMENT_WEIGHT}) div {UNIT_WEIGHT} + 1 as int)").alias("chunks"))
+    chunks = scratch.keep(chunks, "chunks")
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = spread.join(chunks, "component").select("node", "component", F.col("block").alias("lo"), upto("chunks").alias("hi"))
+    right = rest.join(chunks, "component").withColumn("hi", F.expr("cast(pmod(xxhash64(node), chunks) as int)"))
+    right = right.select("node", "component", upto("blocks").alias("lo"), "hi")
+    return left.withColumn("second", F.lit(False)).unionByName(right.withColumn("second", F.lit(True)))
+
+
+def confirmed_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, scratch: Scratch, words: int,
+                    percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Edges (a, b) that span the true links within each group of (node, component)."""
+    member = dealt_members(classes, groups, scratch)
+    found = scratch.keep(unit_links(docs, first_units(member), member, words, percent, id_col, text_col), "links-1")
+    if not member.where("blocks > 1").head(1):
+        return found
+    more = second_units(member, components(found, scratch, "parts-1"), scratch)
+    if more is None:
+        return found
+    return found.unionByName(unit_links(docs, scratch.keep(more, "units-2"), more, words, percent, id_col, text_col))
+
+
+def unit_links(docs: DataFrame, units: DataFrame, nodes: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Edges (a, b) that span the links within each unit, or between its first and second rows if hi isn't -1."""
+    nodes = nodes.select("node").distinct()
+    only = docs.sparkSession.sparkContext.broadcast(filter_bits(nodes, nodes.count()))
 
     def wanted(batches):  # leaves out most texts that are in no group, before they are shuffled
         for batch in batches:
             yield batch.filter(pa.array(may_hold(only.value, batch.column(0).to_numpy(zero_copy_only=False))))
 
     texts = docs.select(docs[id_col].cast("long").alias("node"), docs[text_col].alias("text")).where("node IS NOT NULL")
-    texts = texts.mapInArrow(tidied(wanted), "node long, text string").join(member, "node")
-    dealt = texts.select("component", "block", "node", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    texts = texts.mapInArrow(tidied(wanted), "node long, text string").join(units, "node")
     unit = ["component", "lo", "hi"]
-    dealt = dealt.select("component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-                         F.col("block"), "node", "text")
-    dealt = dealt.repartition(*unit).sortWithinPartitions(*unit, "block", "node")
+    dealt = texts.select(*unit, "second", "node", "text").repartition(*unit).sortWithinPartitions(*unit, "second", "node")
 
     def run(batches):
         def spanned(unit, rows):
-            (_, lo, hi), (nodes, blocks, sets) = unit, zip(*rows)
-            first = [i for i, k in enumerate(blocks) if k == lo]
-            second = [i for i, k in enumerate(blocks) if k != lo]
-            order = first + second
-            if lo == hi:
-                found = links([sets[i] for i in first], None, percent) if len(first) > 1 else []
+            nodes, second, sets = zip(*rows)
+            split = sum(not x for x in second)
+            if unit[2] == -1:
+                found = links(list(sets), None, percent) if len(sets) > 1 else []
             else:
-                found = links([sets[i] for i in first], [sets[i] for i in second], percent) if first and second else []
-            return [(nodes[order[i]], nodes[order[j]]) for i, j in _forest(found)]
+                found = links(list(sets[:split]), list(sets[split:]), percent) if 0 < split < len(sets) else []
+            return [(nodes[i], nodes[j]) for i, j in _forest(found)]
 
         now, rows, out = None, [], []
         for batch in batches:
@@ -237,12 +284,12 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, scra
             for a, b in text_slices(texts):
                 part = batch.slice(a, b - a)
                 head = zip(*(part.column(i).to_pylist() for i in range(5)))
-                for (c, lo, hi, block, node), s in zip(head, shingle_sets(part.column(5), words)):
+                for (c, lo, hi, second, node), s in zip(head, shingle_sets(part.column(5), words)):
                     if (c, lo, hi) != now:
                         if rows:
                             out += spanned(now, rows)
                         now, rows = (c, lo, hi), []
-                    rows.append((node, block, s))
+                    rows.append((node, second, s))
                 if len(out) > 5000:
                     yield _edges(out)
                     out = []

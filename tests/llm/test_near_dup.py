@@ -74,6 +74,54 @@ def test_many_blocks_and_hot_keys_change_nothing(spark, families, monkeypatch):
     assert result(df, words=4) == brute(families)
 
 
+def test_counts_of_millions_are_exact():
+    m = 671_089
+    shared = np.arange(4 * m, dtype=np.uint64)
+    a, b = np.append(shared, np.arange(1 << 40, (1 << 40) + m // 2, dtype=np.uint64)), np.append(
+        shared, np.arange(1 << 50, (1 << 50) + m - m // 2, dtype=np.uint64))
+    assert near_dup.links([a, b], None, 80) == [(0, 1)]  # exactly 80 %
+    assert near_dup.links([a], [b[1:]], 80) == []
+
+
+def test_a_large_group_moves_each_text_about_once(spark, monkeypatch):
+    """Members are dealt to blocks with a copy of the smallest; only those left apart are compared again."""
+    monkeypatch.setattr(near_dup, "UNIT_WEIGHT", 4000)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    rows = []
+    for i in range(240):
+        text = list(base)
+        text[rng.randrange(150)] = f"x{i}"
+        rows.append((i, " ".join(text)))
+    # a second family, joined to the first by loose edges only, and one text between both
+    other = base[:75] + [f"y{rng.randrange(5000)}" for _ in range(75)]
+    rows += [(500 + i, " ".join(other[:-1] + [f"z{i}"])) for i in range(30)]
+    seen = []
+    real = near_dup.unit_links
+
+    def counted(docs, units, *rest):
+        seen.append((units.count(), units.select("component", "lo").distinct().count()))
+        return real(docs, units, *rest)
+    monkeypatch.setattr(near_dup, "unit_links", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(df, words=4) == brute(rows)
+    moved, blocks = seen[0]
+    assert blocks > 5 and moved < len(rows) + blocks
+
+
+def test_parts_across_blocks_are_joined(spark, monkeypatch):
+    """A chain in which few members are near the smallest: links between blocks are found in the second units."""
+    monkeypatch.setattr(near_dup, "UNIT_WEIGHT", 1500)
+    rng = random.Random(11)
+    text = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(60):
+        for _ in range(2):
+            text[rng.randrange(100)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    assert result(spark.createDataFrame(rows, "doc_id long, text string"), words=4) == brute(rows)
+
+
 def test_table(spark):
     df = spark.read.parquet(f"{SF001}/documents.parquet")
     assert result(df, words=4) == brute([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
