@@ -18,7 +18,9 @@ Tokens are words between white space. Only DataFrame functions are used.
 Edge cases
 * null language or source: `und`, `unknown`; names without a weight: the level's default;
 * null or empty text, or one without words: takes no part and is not returned;
-* null ids hash as the empty string; rows equal in id and text are one document;
+* null ids hash as the empty string;
+* rows equal in id and text are one document: that of the smallest language, then source, and of rows that
+  differ in other columns only, the one whose other columns as JSON have the smallest hash;
 * an empty table gives an empty result.
 Tokens times the largest weight must stay below 2**63.
 """
@@ -49,15 +51,22 @@ def _weight(level: str, weights: dict) -> Column:
                       F.lit(weights[level][""])).cast("long")
 
 
+def pick(docs: DataFrame, text_col: str = "text") -> Column:
+    """Tells rows of one id and text apart by their other columns."""
+    rest = [docs[c] for c in docs.columns if c != text_col]
+    return F.xxhash64(F.to_json(F.struct(*rest)))
+
+
 def leaves_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, tid, domain, lang, source, tokens) of documents that have any word, once each."""
-    named = docs.select(docs[id_col].cast("long").alias("doc"), F.xxhash64(docs[text_col]).alias("tid"),
+    """(doc, tid, domain, lang, source, pick, tokens) of documents that have any word, once each."""
+    named = docs.select(docs[id_col].cast("long").alias("doc"), F.xxhash64(docs[text_col]).alias("tid"), pick(docs, text_col).alias("pick"),
                         F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"),
                         F.coalesce(docs["source"].cast("string"), F.lit("unknown")).alias("source"),
                         F.regexp_count(docs[text_col], F.lit(WORD)).cast("long").alias("tokens"))
     number = F.expr("coalesce(try_cast(regexp_extract(source, '([0-9]+)', 1) AS BIGINT), 0)")
     named = named.withColumn("domain", F.get(F.array(*map(F.lit, DOMAINS)), (number % len(DOMAINS)).cast("int")))
-    return named.where("tokens > 0").dropDuplicates(["doc", "tid"]).select("doc", "tid", *TREE, "tokens")
+    first = F.min(F.struct("lang", "source", "pick", "domain", "tokens")).alias("first")
+    return named.where("tokens > 0").groupBy("doc", "tid").agg(first).select("doc", "tid", *[f"first.{c}" for c in (*TREE, "pick", "tokens")])
 
 
 def fill(children: DataFrame, parents: list[str], name: str) -> DataFrame:
@@ -103,7 +112,7 @@ def _order_key(epoch: Column) -> Column:
 
 def choose(docs: DataFrame, share: float = SHARE, weights: dict = WEIGHTS, epochs: int = EPOCHS,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, tid, domain, lang, source, tokens, whole, part): epochs taken whole, and words taken of the next."""
+    """(doc, tid, domain, lang, source, pick, tokens, whole, part): epochs taken whole, and words taken of the next."""
     scratch = Scratch(docs.sparkSession, "mixing")
     rows = scratch.keep(leaves_of(docs, id_col, text_col), "documents")
     leaves = scratch.keep(rows.groupBy(*TREE).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")), "leaves")
@@ -123,7 +132,7 @@ def choose(docs: DataFrame, share: float = SHARE, weights: dict = WEIGHTS, epoch
             .groupBy(*TREE).agg(F.min_by(F.struct("bucket", (F.col("rest") - F.col("upto") + F.col("tokens")).alias("left")), "bucket").alias("edge")))
     edge = scratch.keep(edge.select(*TREE, "edge.bucket", "edge.left"), "edges").withColumnRenamed("bucket", "edge")
     marked = dealt.join(F.broadcast(edge) if few else edge, list(TREE), "left")
-    columns = ["doc", "tid", *TREE, "tokens", "whole"]
+    columns = ["doc", "tid", *TREE, "pick", "tokens", "whole"]
     inner = marked.where("edge IS NULL OR bucket <> edge").select(
         *columns, F.when(F.col("bucket") < F.col("edge"), F.col("tokens")).otherwise(F.lit(0)).cast("long").alias("part"))
     before = Window.partitionBy(*TREE).orderBy("key", "doc", "tid").rowsBetween(Window.unboundedPreceding, -1)
@@ -140,11 +149,15 @@ def first_words(text: Column, n: Column) -> Column:
 def mix(docs: DataFrame, share: float = SHARE, weights: dict = WEIGHTS, epochs: int = EPOCHS,
         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents chosen, with all their columns: once for each whole epoch, and cut where the prefix ends."""
+    # plain keys, so that the join's partitions serve the choice among equal rows too, and texts move once
+    key = ["_null", "_id", "_tid", "_pick"]
+    named = lambda doc: [doc.isNull().alias("_null"), F.coalesce(doc, F.lit(0).cast("long")).alias("_id")]
     taken = choose(docs, share, weights, epochs, id_col, text_col).select(
-        F.col("doc").alias("_doc"), F.col("tid").alias("_tid"), F.col("tokens").alias("_tokens"), F.col("whole").alias("_whole"), F.col("part").alias("_part"))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[id_col].cast("long").alias("_d"),
-                       F.xxhash64(docs[text_col]).alias("_t"))
-    met = rows.join(taken, F.col("_d").eqNullSafe(F.col("_doc")) & (F.col("_t") == F.col("_tid"))).dropDuplicates(["_d", "_t"])
+        *named(F.col("doc")), F.col("tid").alias("_tid"), F.col("pick").alias("_pick"),
+        F.col("tokens").alias("_tokens"), F.col("whole").alias("_whole"), F.col("part").alias("_part"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), *named(docs[id_col].cast("long")),
+                       F.xxhash64(docs[text_col]).alias("_tid"), pick(docs, text_col).alias("_pick"))
+    met = rows.join(taken, key).dropDuplicates(key)
     parts = F.concat(F.array_repeat(F.col("_tokens"), F.col("_whole").cast("int")),
                      F.when(F.col("_part") > 0, F.array("_part")).otherwise(F.array().cast("array<bigint>")))
     met = met.select("_row", "_tokens", F.explode(parts).alias("_n"))
@@ -191,7 +204,8 @@ share{depth} AS (SELECT {keys}, CAST(base + CASE WHEN k <= spare THEN 1 ELSE 0 E
 def sql(docs: str = "documents") -> str:
     """Common table expressions that end in ``taken``: (doc_id, domain, lang, source, tokens, text, epoch, n)."""
     cases = " ".join(f"WHEN {i} THEN '{d}'" for i, d in enumerate(DOMAINS))
-    return f"""named AS (SELECT doc_id, text, coalesce(lang, 'und') AS lang, coalesce(source, 'unknown') AS source, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS tokens FROM {docs}),
+    return f"""named AS (SELECT doc_id, text, coalesce(lang, 'und') AS lang, coalesce(source, 'unknown') AS source, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS tokens FROM {docs}
+    QUALIFY row_number() OVER (PARTITION BY doc_id, text ORDER BY coalesce(lang, 'und'), coalesce(source, 'unknown')) = 1),
 rows_ AS (SELECT *, CASE coalesce(try_cast(regexp_extract(source, '([0-9]+)', 1) AS BIGINT), 0) % {len(DOMAINS)} {cases} END AS domain FROM named WHERE tokens > 0),
 leaves AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens FROM rows_ GROUP BY ALL),
 {", ".join(_fill_sql(d) for d in range(3))},

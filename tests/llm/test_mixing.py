@@ -3,6 +3,7 @@
 import random
 import re
 
+import duckdb
 import pytest
 from conftest import SF001
 from pyspark.sql import functions as F
@@ -95,3 +96,20 @@ def test_budget_is_met(spark, share):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     total = sum(r.tokens for r in mixing.leaves_of(docs).collect())
     assert sum(r.whole * r.tokens + r.part for r in mixing.choose(docs, share=share).collect()) == int(total * share)
+
+
+def test_repeated_rows_have_a_defined_choice(spark):
+    """Of rows equal in id and text the smallest language and source counts, and that row's columns are returned."""
+    rows = [(1, "a b c", "en", "src1", 5), (1, "a b c", "de", "src2", 6), (1, "a b c", "de", "src1", 7), (1, "a b c", "de", "src1", 8),
+            (2, "d e", None, None, 1), (2, "d e", None, None, 1)]
+    for n in (1, 4):
+        docs = spark.createDataFrame(rows[::-1] if n == 4 else rows, "doc_id long, text string, lang string, source string, extra int").repartition(n)
+        out = sorted(map(tuple, mixing.mix(docs, share=1.0, epochs=1).select("doc_id", "lang", "source", "extra").collect()), key=str)
+        assert [r[:3] for r in out] == [(1, "de", "src1"), (2, None, None)]
+        if n == 1:
+            first = out
+    assert out == first
+    got = sorted((r.doc_id, r.lang, r.source) for r in mixing.digest(docs).collect())
+    db = duckdb.connect()
+    db.register("documents", docs.toPandas())
+    assert sorted(set(got)) == sorted(set(db.sql(f"SELECT doc_id, lang, source FROM ({mixing.SQL})").fetchall()))
