@@ -7,11 +7,15 @@ from html.parser import HTMLParser
 
 #: HTML elements without content, with content that is no page text, and that run inside a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style template head title svg iframe canvas audio video select option datalist textarea".split())
+SKIPPED = frozenset("script style template head title svg iframe select option datalist textarea".split())
+#: Of these, those that a page may forget to end; the start of a block of page text ends them.
+FORGOTTEN = frozenset("svg select datalist".split())
+BLOCKS = frozenset("address article aside blockquote body center details div dl figure footer form h1 h2 h3 h4 h5 h6 header hr "
+                   "li main menu nav ol p pre section table ul".split())
 #: Elements that may stand in a head; the start of any other ends it.
 IN_HEAD = frozenset("html head title meta link base style script noscript template".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr img input button picture source output noscript object "
+                   "small span strike strong sub sup time tt u var wbr img input button picture source output noscript object canvas audio video "
                    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup "
                    "msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd maction semantics "
                    "annotation annotation-xml".split())
@@ -84,11 +88,21 @@ class _Builder(HTMLParser):
             while self.count["head"]:
                 self._pop()
 
+    def _end_forgotten(self) -> None:
+        """Ends drawings and selections that are still open, unless HTML is embedded in the drawing."""
+        if self.count.get("foreignobject") or not any(self.count.get(t) for t in FORGOTTEN):
+            return
+        first = next(i for i, (tag, _) in enumerate(self.open) if tag in FORGOTTEN)
+        while len(self.open) > first:
+            self._pop()
+
     def handle_starttag(self, tag, attrs):
         if tag == "head" and self.count.get("head"):
             return
         if tag not in IN_HEAD:
             self._end_head()
+        if tag in BLOCKS and self.skipping:
+            self._end_forgotten()
         if tag in CLOSES:
             self._close(CLOSES[tag])
             if tag in ("tr", "tbody"):

@@ -125,3 +125,16 @@ def test_pages_without_end_of_head_are_extracted(model):
             "<p>Where <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is the sum, as all of us know.</p></article>")
     assert html_extract.main_blocks(page, model) == [
         "Title", "First paragraph, long enough to be read as text.", "Where a+b is the sum, as all of us know."]
+
+
+@pytest.mark.parametrize("tag", ["svg", "canvas", "audio", "video", "select"])
+def test_elements_never_ended_swallow_nothing(tag):
+    texts = [n.text for n in parse(f"<article><p>a</p><{tag}><p>b</p></article><p>c</p>") if n.text]
+    assert texts == ["a", "b", "c"]
+
+
+def test_fallback_and_drawings():
+    texts = [n.text for n in parse("<p>see <canvas>a chart</canvas> and <video src=x>a film</video></p>"
+                                   "<svg><title>t</title><text>label</text></svg><select><option>one</select><p>end</p>") if n.text]
+    assert texts == ["see a chart and a film", "end"]
+    assert [n.text for n in parse("<svg><foreignObject><div>in</div></foreignObject><text>x</text></svg><p>out") if n.text] == ["out"]
