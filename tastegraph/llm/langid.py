@@ -13,8 +13,11 @@ As the statistics are frozen, the code lengths of every context and byte are a
 table, and a whole text is scored by array lookups of its last three bytes.
 
 Limits of the model, not of the data scored: SAMPLE_ROWS documents of at most
-SAMPLE_BYTES bytes for each language, and the CONTEXTS most frequent contexts of
-three bytes (rarer ones fall back to two).
+SAMPLE_BYTES bytes for each language, of longer ones, taken where a language has
+too few others, the beginning; and contexts of two and three bytes (others fall
+back to shorter ones) chosen by their rank among each language's own, so that
+every language has an equal share, as many as make a table of at most CELLS
+code lengths (contexts times bytes times languages) and at most CONTEXTS of an order.
 
 Edge cases
 * null or empty text, or no letter: `und`, score 0;
@@ -31,11 +34,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import give_back, ship, text_slices, tidied
+from tastegraph.llm.common import Scratch, give_back, ship, text_slices, tidied
 
 ORDER = 3
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 65_536
-CONTEXTS = 20_000
+CONTEXTS, CELLS = 20_000, 1 << 26
 PAD = b"\n" * ORDER  # what stands before a text
 WINDOW = 1 << 20
 UNDETERMINED = "und"
@@ -50,12 +53,14 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFr
     """(lang, text): at most SAMPLE_ROWS labelled documents of each language, by a hash of the id."""
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    rows = rows.where(F.octet_length("text") <= SAMPLE_BYTES)
+    long = F.octet_length("text") > SAMPLE_BYTES
+    begun = F.when(long, F.left("text", F.lit(SAMPLE_BYTES // 4))).otherwise(F.col("text"))  # a character has at most 4 bytes
+    rows = rows.select("id", "lang", long.alias("long"), begun.alias("text"))
     draw = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 40))
-    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(1.5 * SAMPLE_ROWS) / F.count(F.lit(1))).alias("share"))
-    near = rows.withColumn("draw", draw).join(F.broadcast(share), "lang").where(F.col("draw") <= F.col("share") * (1 << 40))
-    # about 1.5 times the rows wanted are left for each language; exactly the first by draw stay
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", F.xxhash64("text")))
+    share = rows.groupBy("lang", "long").agg(F.least(F.lit(1.0), F.lit(1.5 * SAMPLE_ROWS) / F.count(F.lit(1))).alias("share"))
+    near = rows.withColumn("draw", draw).join(F.broadcast(share), ["lang", "long"]).where(F.col("draw") <= F.col("share") * (1 << 40))
+    # about 1.5 times the rows wanted are left for each language; exactly the first by draw stay, short ones before long
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("long", "draw", F.xxhash64("text")))
     return near.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS).select("lang", "text")
 
 
@@ -82,6 +87,21 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     return counts.groupBy("lang", "order", "gram").agg(F.sum("n").alias("n"))
 
 
+def chosen(counts: DataFrame) -> DataFrame:
+    """The counts of the contexts that the model keeps: those of at most one byte, and of longer ones equal shares by language."""
+    langs, n_bytes = counts.agg(F.count_distinct("lang"), F.count_distinct(F.col("gram").bitwiseAND(F.lit(255)))).first()
+    most = min(CONTEXTS, CELLS // (max(1, langs) * (n_bytes + 1)) // 2)
+    context = F.shiftright("gram", 8)
+    longer = counts.where("order > 1").groupBy("lang", "order", context.alias("context")).agg(F.sum("n").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang", "order").orderBy(F.desc("n"), "context"))
+    best = (longer.withColumn("rank", rank).where(F.col("rank") <= most)
+            .groupBy("order", "context").agg(F.min("rank").alias("rank"), F.sum("n").alias("n")))
+    first = F.row_number().over(Window.partitionBy("order").orderBy("rank", F.desc("n"), "context"))
+    kept = best.withColumn("first", first).where(F.col("first") <= most).select("order", "context")
+    long_ones = counts.where("order > 1").withColumn("context", context).join(F.broadcast(kept), ["order", "context"], "left_semi")
+    return counts.where("order <= 1").unionByName(long_ones.select(*counts.columns))
+
+
 class Model:
     """Code lengths in bits, for each context and byte and language, as arrays."""
 
@@ -100,15 +120,12 @@ class Model:
         n_columns, unseen = int(seen.sum()) + 1, int((~seen).sum())
         weight = np.ones(n_columns)
         weight[0] = unseen
-        total = {c: sum(sum(x.values()) for x in per.values()) for c, per in by[ORDER].items()}
-        most = sorted(total, key=lambda c: (-total[c], c))[:CONTEXTS]
-        kept = [by[k].keys() if k < ORDER else most for k in range(ORDER + 1)]
         self.row: list[dict[int, int]] = [{} for _ in range(ORDER + 1)]
-        n_rows = max(1, sum(map(len, kept)))
+        n_rows = max(1, sum(map(len, by)))
         p = np.full((n_rows, n_columns, max(1, n_langs)), 1 / 256, np.float32)
         at = 0
         for k in range(ORDER + 1):
-            for c in sorted(kept[k]):
+            for c in sorted(by[k]):
                 low = p[self._row_of(c & ((1 << 8 * (k - 1)) - 1), k - 1)].astype(float) if k else np.full((n_columns, max(1, n_langs)), 1 / 256)
                 here = low.copy()
                 for g, followers in by[k][c].items():
@@ -175,9 +192,10 @@ class Model:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """The model; its counts have at most as many rows as the sample has bytes and orders."""
-    ship(docs.sparkSession)
-    rows = gram_counts(sample(docs, id_col, text_col, lang_col)).toPandas()
+    """The model; the counts that the driver gets are fewer than the table's cells, whatever the number of languages."""
+    scratch = Scratch(docs.sparkSession, "langid")
+    counts = scratch.keep(gram_counts(sample(docs, id_col, text_col, lang_col)), "counts")
+    rows = chosen(counts).toPandas()
     model = Model(list(zip(*(rows[c].tolist() for c in ("lang", "order", "gram", "n")))))
     del rows
     give_back()

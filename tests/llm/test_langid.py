@@ -105,3 +105,32 @@ def test_accepted(spark, table_):
     assert [r.row.doc_id for r in langid.accepted(langid.score_rows(docs, model)).collect()] == [2]
     clean = table_.where("length(text) > 200")
     assert langid.accepted(langid.score_rows(clean, model)).count() >= 0.99 * clean.count()
+
+
+def test_rare_language_and_long_texts(spark):
+    """A language with one long text only is learned, and has a share of the contexts beside a frequent one."""
+    rows = [(3 * i, "the reading of the thing and the other " * 40, "en") for i in range(300)]
+    rows += [(9000, "мова та книга для читання " * 4000, "uk"), (9004, "мова книга", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").where(~langid.held_out(F.col("doc_id")))
+    model = langid.fit(docs)
+    assert model.langs == ["en", "uk"]
+    assert {t[:3] for t in (r.text for r in langid.sample(docs, "doc_id", "text", "lang").where("lang = 'uk'").collect())} == {"мов"}
+    out = langid.score_rows(spark.createDataFrame([(1, "книга для читання"), (2, "the thing")], "doc_id long, text string"), model)
+    assert [r.lang_pred for r in out.orderBy("row.doc_id").collect()] == ["uk", "en"]
+
+
+def test_many_languages_are_bounded(spark, monkeypatch):
+    """With many languages the table stays below its bound, every language has contexts, and each is told."""
+    monkeypatch.setattr(langid, "CELLS", 1 << 19)
+    alphabet = [chr(0x4E00 + i) for i in range(400)]
+    own = {f"l{i:02d}": alphabet[10 * i:10 * i + 10] for i in range(40)}
+    rng = np.random.default_rng(3)
+    rows = [(g, "".join(rng.choice(own[g], 300 if i else 30))) for i, g in enumerate(own) for _ in range(3)]
+    labelled = spark.createDataFrame(rows, "lang string, text string")
+    counts = langid.chosen(langid.gram_counts(labelled)).collect()
+    model = langid.Model([tuple(r) for r in counts])
+    small = (1 + 256) * model.n_columns * len(model.langs)  # contexts of at most one byte are always kept
+    assert model.bits.size <= langid.CELLS + small
+    assert {r.lang for r in counts if r.order == 3} == set(own)
+    texts = ["".join(rng.choice(own[g], 40)) for g in model.langs]
+    assert model.text_bits(pa.array(texts))[0].argmin(axis=1).tolist() == list(range(40))
