@@ -6,8 +6,8 @@ are dealt to shards of bounded size by a hash. A task builds its shard's graph:
 nodes come in batches, a greedy search of the graph so far proposes their
 neighbours, and relaxed pruning keeps an edge only if no kept, nearer neighbour
 is closer to its end by the factor ALPHA; edges back are pruned alike. Graphs
-are stored as rows. Queries come in blocks; each block searches every shard by
-beam, distances of what it finds are computed exactly in double precision, and
+are stored as rows. Queries come in blocks that stream past a shard's graph and
+search it by beam, distances of what it finds are computed exactly in double precision, and
 the best of all shards are ranked.
 
 Edge cases
@@ -27,11 +27,12 @@ from pyspark.sql import functions as F
 
 from tastegraph.llm.common import Scratch
 
-SHARD = 4096  # nodes of a shard, about
+SHARD = 16_384  # nodes of a shard, about: a query's work in a shard grows far less than the shard
 DEGREE, BUILD_BEAM, BEAM, ALPHA = 28, 56, 96, 1.2
 ENTRIES, EXPANDED = 32, 4  # random nodes a search starts from, and as many far ones; nodes it expands at a time
 BATCH = 512
-QUERY_BLOCK = 1024
+QUERY_BLOCK, SLICE_BLOCKS = 256, 256  # queries of a block, about, and blocks that pass one copy of a graph
+MOST_TASKS = 20_000
 GRAPH = "shard int, dim int, n int, vectors binary, edges binary, entries binary, ids binary, bounds binary"
 
 
@@ -43,8 +44,7 @@ def beam_search(vectors: np.ndarray, edges: np.ndarray, entries: np.ndarray, que
     seen[:, entries] = True
     dist = norms[entries][None] - 2 * queries @ vectors[entries].T
     node = np.broadcast_to(entries, dist.shape)
-    order = np.argsort(dist, axis=1, kind="stable")[:, :width]
-    node, dist = np.take_along_axis(node, order, 1), np.take_along_axis(dist, order, 1)
+    node, dist = _smallest(dist, width, node, dist)
     pad = width - node.shape[1]
     node = np.pad(node, ((0, 0), (0, max(0, pad))), constant_values=-1)
     dist = np.pad(dist, ((0, 0), (0, max(0, pad))), constant_values=np.inf)
@@ -52,35 +52,41 @@ def beam_search(vectors: np.ndarray, edges: np.ndarray, entries: np.ndarray, que
     active = np.arange(n_queries)
     while len(active):
         open_dist = np.where(done[active], np.inf, dist[active])
-        pick = np.argsort(open_dist, axis=1, kind="stable")[:, :EXPANDED]
+        pick = np.argpartition(open_dist, EXPANDED - 1, axis=1)[:, :EXPANDED]
         some = np.isfinite(np.take_along_axis(open_dist, pick, 1))
-        active, pick, some = (a[some[:, 0]] for a in (active, pick, some))
+        on = some.any(axis=1)
+        active, pick, some = active[on], pick[on], some[on]
         if not len(active):
             break
         rows = np.repeat(np.arange(len(active)), EXPANDED).reshape(pick.shape)[some]
         done[active[rows], pick[some]] = True
         near = np.full((len(active), EXPANDED, edges.shape[1]), -1, np.int32)
         near[some] = edges[node[active[rows], pick[some]]]
-        near = near.reshape(len(active), -1)
-        at = active[:, None]
-        near[(near >= 0) & seen[at, near]] = -1
-        # a node may come twice in one step: the last to mark it keeps it
-        mark = np.full((len(active), n), -1, np.int32)
-        r, c = np.nonzero(near >= 0)
-        mark[r, near[r, c]] = c
-        near[r, c] = np.where(mark[r, near[r, c]] == c, near[r, c], -1)
-        r, c = np.nonzero(near >= 0)
-        seen[active[r], near[r, c]] = True
+        # a node may come twice in one step; where none is, the last node's mark is read and left out
+        near = np.sort(near.reshape(len(active), -1), axis=1)
+        fresh = (near >= 0) & ~seen[active[:, None], near]
+        fresh[:, 1:] &= near[:, 1:] != near[:, :-1]
+        r, c = np.nonzero(fresh)
+        which = near[r, c]
+        seen[active[r], which] = True
         new = np.full(near.shape, np.inf, np.float32)
-        new[r, c] = norms[near[r, c]] - 2 * np.einsum("ij,ij->i", vectors[near[r, c]], queries[active[r]])
-        all_node = np.concatenate([node[active], near], axis=1)
+        new[r, c] = norms[which] - 2 * np.einsum("ij,ij->i", vectors[which], queries[active[r]])
         all_dist = np.concatenate([dist[active], new], axis=1)
-        all_done = np.concatenate([done[active], near < 0], axis=1)
-        order = np.argsort(all_dist, axis=1, kind="stable")[:, :width]
-        node[active], dist[active], done[active] = (np.take_along_axis(a, order, 1) for a in (all_node, all_dist, all_done))
+        node[active], dist[active], done[active] = _smallest(
+            all_dist, width, np.concatenate([node[active], near], axis=1), all_dist, np.concatenate([done[active], ~fresh], axis=1))
+    order = np.argsort(dist, axis=1, kind="stable")
+    node, dist = np.take_along_axis(node, order, 1), np.take_along_axis(dist, order, 1)
     return np.where(np.isfinite(dist), node, -1), dist
 
 
+def _smallest(dist: np.ndarray, width: int, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The columns at the smallest distances of each row, in no order."""
+    if dist.shape[1] <= width:
+        return columns
+    order = np.argpartition(dist, width - 1, axis=1)[:, :width]
+    return tuple(np.take_along_axis(c, order, 1) for c in columns)
+
+
 def robust_prune(vectors: np.ndarray, points: np.ndarray, cand: np.ndarray) -> np.ndarray:
     """Edges [points, DEGREE] of the points, picked from candidates [points, m] (-1 for none)."""
     out = np.full((len(points), DEGREE), -1, np.int32)
@@ -188,7 +194,7 @@ def nodes(rows: DataFrame, k: int) -> DataFrame:
 
 def graphs(distinct: DataFrame, n_nodes: int) -> DataFrame:
     """One row of GRAPH for each shard (and length of vectors)."""
-    shards = n_nodes // SHARD + 1
+    shards = shard_count(n_nodes)
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64(F.get("ids", F.lit(0))), F.lit(shards)).cast("int"))
     dealt = dealt.withColumn("dim", F.size("vector"))
 
@@ -207,45 +213,61 @@ def graphs(distinct: DataFrame, n_nodes: int) -> DataFrame:
     return dealt.groupBy("shard", "dim").applyInArrow(build, GRAPH)
 
 
-def search(stored: DataFrame, queries: DataFrame, n_queries: int, k: int) -> DataFrame:
-    """(query_id, vec_id, score): of each shard, each query's k best. queries: (id, vector); stored: rows of GRAPH."""
+def shard_count(n_nodes: int) -> int:
+    return n_nodes // SHARD + 1
+
+
+def search(stored: DataFrame, shards: int, queries: DataFrame, n_queries: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score): of each shard, each query's k best. queries: (id, vector); stored: rows of GRAPH.
+
+    A unit of work is a shard and a slice of the blocks of queries: the graph comes
+    first in a sorted partition, is read once, and the slice's blocks stream past it.
+    """
     blocks = n_queries // QUERY_BLOCK + 1
+    slices = blocks // SLICE_BLOCKS + 1
     keyed = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("dim", F.size("vector"))
 
-    def join_block(key, part):
-        return pa.table({"dim": pa.array([key[1].as_py()], pa.int32()), "query_ids": [part.column("id").combine_chunks().to_numpy(zero_copy_only=False).astype("<i8").tobytes()],
-                         "query_vectors": [_rows(part.column("vector")).astype("<f8").tobytes()]})
-
-    packed = keyed.groupBy("block", "dim").applyInArrow(join_block, "dim int, query_ids binary, query_vectors binary")
-    # each block of queries meets each shard of its length
-    pairs = packed.join(stored.select("dim", "shard"), "dim")
-    graph = stored.select("dim", "shard", "vectors", "edges", "entries", "ids", "bounds")
-    pairs = pairs.join(graph, ["dim", "shard"]).select(
-        "dim", "query_ids", "query_vectors", "vectors", "edges", "entries", "ids", "bounds")
+    def pack(key, part):
+        return pa.table({
+            "dim": pa.array([key[1].as_py()], pa.int32()), "slice": pa.array([key[0].as_py() % slices], pa.int32()),
+            "query_ids": [part.column("id").combine_chunks().to_numpy(zero_copy_only=False).astype("<i8").tobytes()],
+            "query_vectors": [_rows(part.column("vector")).astype("<f8").tobytes()]})
+
+    packed = keyed.groupBy("block", "dim").applyInArrow(pack, "dim int, slice int, query_ids binary, query_vectors binary")
+    # a block goes to each shard, a graph to each slice; a length of vectors may have no graph in some shard
+    asked = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("turn", F.lit(1))
+    graph = stored.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).withColumn("turn", F.lit(0))
+    unit = ["dim", "shard", "slice"]
+    both = (graph.unionByName(asked, allowMissingColumns=True)
+            .repartition(min(MOST_TASKS, 2 * shards * slices), *unit).sortWithinPartitions(*unit, "turn")
+            .select(*unit, "query_ids", "query_vectors", "vectors", "edges", "entries", "ids", "bounds"))
 
     def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                dim, query_ids, queries, vectors, edges, entries, ids, bounds = (c[i].as_py() for c in batch.columns)
-                vectors = np.frombuffer(vectors, "<f8").reshape(-1, dim)
+        held = None
+        for row in (b.slice(i, 1) for b in batches for i in range(b.num_rows)):
+            dim, shard, part, query_ids, queries, *graph = (c[0].as_py() for c in row.columns)
+            if query_ids is None:
+                held = dim, shard, part
+                vectors, (edges, entries, ids, bounds) = np.frombuffer(graph[0], "<f8").reshape(-1, dim), graph[1:]
                 edges = np.frombuffer(edges, "<i4").reshape(len(vectors), -1)
                 entries, ids, bounds = (np.frombuffer(x, "<i8") for x in (entries, ids, bounds))
-                query_ids, queries = np.frombuffer(query_ids, "<i8"), np.frombuffer(queries, "<f8").reshape(-1, dim)
                 near = vectors.astype(np.float32)
+            elif held == (dim, shard, part):
+                query_ids, queries = np.frombuffer(query_ids, "<i8"), np.frombuffer(queries, "<f8").reshape(-1, dim)
                 for lo in range(0, len(queries), BATCH):
                     q = queries[lo:lo + BATCH]
                     found, _ = beam_search(near, edges, entries, q.astype(np.float32), BEAM)
                     out = []
-                    for name, v, row in zip(query_ids[lo:lo + BATCH].tolist(), q, found):
-                        row = row[row >= 0]
-                        score = np.sqrt(((vectors[row] - v) ** 2).sum(axis=1))
-                        got = [(s, x) for s, r in zip(score.tolist(), row.tolist()) for x in ids[bounds[r]:bounds[r + 1]].tolist() if x != name]
+                    for name, v, at in zip(query_ids[lo:lo + BATCH].tolist(), q, found):
+                        at = at[at >= 0]
+                        score = np.sqrt(((vectors[at] - v) ** 2).sum(axis=1))
+                        got = [(s, x) for s, r in zip(score.tolist(), at.tolist()) for x in ids[bounds[r]:bounds[r + 1]].tolist() if x != name]
                         out += [(name, x, s) for s, x in sorted(got)[:k]]
                     if out:
                         a, b, c = zip(*out)
                         yield pa.RecordBatch.from_pydict({"query_id": pa.array(a, pa.int64()), "vec_id": pa.array(b, pa.int64()), "score": c})
 
-    return pairs.mapInArrow(run, "query_id long, vec_id long, score double")
+    return both.mapInArrow(run, "query_id long, vec_id long, score double")
 
 
 def nearest(table: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -253,9 +275,10 @@ def nearest(table: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
     scratch = Scratch(table.sparkSession, "ann")
     rows = sound_rows(table, id_col, vector_col)
     distinct = scratch.keep(nodes(rows, k), "nodes")
-    stored = scratch.keep(graphs(distinct, distinct.count()), "graphs")
+    n_nodes = distinct.count()
+    stored = scratch.keep(graphs(distinct, n_nodes), "graphs")
     queries = scratch.keep(rows.where(F.col("id") % every == 0).dropDuplicates(), "queries")
-    found = search(stored, queries, queries.count(), k)
+    found = search(stored, shard_count(n_nodes), queries, queries.count(), k)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
