@@ -39,7 +39,8 @@ RATES = ((1, False), (1, True), (2, False), (2, True))
 COMMON_RATES = 3  # the first of them, for common terms
 THIN = SUBSETS // 2  # fewer fields of the highest rate with a term in the band say too little
 BROADCAST_TERMS = 1_000_000
-BUCKET_DOCS, MOST_BUCKETS = 1000, 10_000
+BUCKET_DOCS = 1000
+RANGES = 1000  # of ids, whose bounds are told in the plan
 
 
 def mask_sql(hex_digits: str) -> str:
@@ -145,37 +146,55 @@ def _numbers(values: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def neighbours(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Window]:
+def _passed(bounds: Column, most: int, value: Column) -> Column:
+    """How many of at most ``most`` ascending bounds are at most the value, by halving; 0 for null."""
+    steps = [1 << k for k in range(most.bit_length() - 1, -1, -1)]
+    if not steps:
+        return F.lit(0).cast("long")
+    return F.aggregate(_numbers(steps), F.lit(0).cast("long"), lambda at, s: F.when(
+        F.get(bounds, (at + s - 1).cast("int")) <= value, at + s).otherwise(at))
+
+
+def _shares(parts: int) -> list[float]:
+    return [i / parts for i in range(1, parts)]
+
+
+def neighbours(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> tuple[DataFrame, Window]:
     """Documents dealt to buckets of id ranges, with the next document's text.
 
-    Each bucket also gets, marked as a copy, the first document of the bucket
-    that follows in descending order (the last bucket: that of the first), so
-    that the order needs no task that sees all documents. Rows: (bucket, copy,
-    doc, tid, text); the window orders a bucket.
+    The buckets hold about BUCKET_DOCS documents, however many there are: at most
+    RANGES ranges of equal size are told by bounds in the plan, and each is cut into
+    buckets by bounds of its own, which a small table holds. Each bucket also gets,
+    marked as a copy, the first document of the bucket that follows in descending
+    order (the last bucket: that of the first), so that the order needs no task that
+    sees all documents. Rows: (bucket, copy, doc, tid, text); the window orders a bucket.
     """
     ids = docs.select(docs[id_col].cast("long").alias("doc"))
-    n = docs.count()
-    parts = min(MOST_BUCKETS, n // BUCKET_DOCS + 1)
-    least, marks = ids.agg(F.min("doc"), F.percentile_approx("doc", [i / parts for i in range(1, parts)] or [0.5])).first()
-    bounds = sorted({x for x in marks or [] if x > least}) if parts > 1 else []
-    steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)] if bounds else []
-    if bounds:  # how many bounds are at most the id, by halving
-        bucket = F.aggregate(_numbers(steps), F.lit(0).cast("long"), lambda at, s: F.when(
-            F.get(_numbers(bounds), (at + s - 1).cast("int")) <= F.col("doc"), at + s).otherwise(at))
-    else:
-        bucket = F.lit(0).cast("long")
-    dealt = ids.select("doc", bucket.alias("bucket")).groupBy("bucket").agg(F.max("doc").alias("top"))
-    heads = {r.bucket: r.top for r in dealt.collect()}  # one row for each bucket
-    top = max(heads, default=0)
+    wanted = docs.count() // BUCKET_DOCS + 1
+    ranges = min(RANGES, wanted)
+    cuts = -(-wanted // ranges)  # buckets of a range
+    least, marks = ids.agg(F.min("doc"), F.percentile_approx("doc", _shares(ranges) or [0.5])).first()
+    bounds = sorted({x for x in marks or [] if x > least}) if ranges > 1 else []
+    part = _passed(_numbers(bounds), len(bounds), F.col("doc")).alias("range")
+    dealt = ids.select("doc", part)
+    # a range's bounds are ids in it but its smallest, so that no bucket is empty
+    own = F.filter("marks", lambda x: x > F.col("least")) if cuts > 1 else F.array().cast("array<bigint>")
+    marked = dealt.groupBy("range").agg(F.min("doc").alias("least"), F.percentile_approx("doc", _shares(cuts) or [0.5]).alias("marks"))
+    marked = scratch.keep(marked.select("range", F.coalesce(F.array_sort(F.array_distinct(own)), F.array().cast("array<bigint>")).alias("marks")), "ranges")
+    hint = F.broadcast if wanted <= BROADCAST_TERMS else (lambda df: df)
+    cut = _passed(F.col("marks"), cuts - 1, F.col("doc"))
+    tops = (dealt.join(hint(marked), "range").select("range", cut.alias("cut"), "doc").groupBy("range", "cut").agg(F.max("doc").alias("top"))
+            .groupBy("range").agg(F.array_sort(F.collect_list(F.struct("cut", "top"))).alias("tops")))
+    places = scratch.keep(marked.join(tops, "range").select("range", "marks", F.col("tops.top").alias("tops")), "places")
     rows = docs.select(docs[id_col].cast("long").alias("doc"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    rows = rows.withColumn("tid", F.xxhash64("text")).withColumn("bucket", bucket)
-    head = F.get(F.split(F.lit(",".join(str(heads.get(i)) for i in range(top + 1))), ","), F.col("bucket").cast("int"))
-    is_head = F.coalesce(F.col("doc").cast("string"), F.lit("None")) == head
-    follows = F.when(F.col("bucket") == top, F.lit(0).cast("long")).otherwise(F.col("bucket") + 1)
-    own = F.struct(F.col("bucket"), F.lit(False).alias("copy"))
-    also = F.struct(follows.alias("bucket"), F.lit(True).alias("copy"))
+    rows = rows.withColumn("tid", F.xxhash64("text")).withColumn("range", part).join(hint(places), "range").withColumn("cut", cut)
+    is_head = F.get("tops", F.col("cut").cast("int")).eqNullSafe(F.col("doc"))
+    bucket = F.col("range") * cuts + F.col("cut")
+    following = F.when(F.col("range") == len(bounds), F.lit(0).cast("long")).otherwise((F.col("range") + 1) * cuts)
+    follows = F.when(F.col("cut") < F.size("marks"), bucket + 1).otherwise(following)
+    own_place, also = F.struct(bucket.alias("bucket"), F.lit(False).alias("copy")), F.struct(follows.alias("bucket"), F.lit(True).alias("copy"))
     placed = rows.select("doc", "tid", "text", F.explode(
-        F.when(is_head, F.array(own, also)).otherwise(F.array(own))).alias("at"))
+        F.when(is_head, F.array(own_place, also)).otherwise(F.array(own_place))).alias("at"))
     order = Window.partitionBy("bucket").orderBy("copy", F.col("doc").desc_nulls_last(), "tid")
     return placed.select("at.bucket", "at.copy", "doc", "tid", "text"), order
 
@@ -186,7 +205,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scratch = Scratch(docs.sparkSession, "imatch")
     lex, size = lexicon(docs, text_col, scratch, low, high)
     lex = F.broadcast(lex) if size <= BROADCAST_TERMS else lex
-    placed, order = neighbours(docs, id_col, text_col)
+    placed, order = neighbours(docs, id_col, text_col, scratch)
     n_chars = F.char_length("text")
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     texts = (placed.withColumn("next", F.lead("text").over(order)).withColumn("row", F.row_number().over(order))

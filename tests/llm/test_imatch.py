@@ -2,12 +2,14 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import duckdb
 import pytest
 from conftest import SF001
 
 from tastegraph.llm import imatch
+from tastegraph.llm.common import Scratch
 
 
 def edited(rows):
@@ -21,8 +23,10 @@ def edited(rows):
     return out
 
 
-def test_table_against_sql(spark, monkeypatch):
-    monkeypatch.setattr(imatch, "BUCKET_DOCS", 30)  # many buckets: the order goes on across them
+@pytest.mark.parametrize("ranges", [1, 3, 1000])
+def test_table_against_sql(spark, monkeypatch, ranges):
+    monkeypatch.setattr(imatch, "BUCKET_DOCS", 15)  # many buckets: the order goes on across them
+    monkeypatch.setattr(imatch, "RANGES", ranges)  # and across the ranges that are cut into buckets
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     got = imatch.digest(docs)
     columns = sorted(got.columns)
@@ -121,3 +125,17 @@ def test_no_python_in_the_plan(spark):
 def test_masks(spark, digits):
     mask = spark.createDataFrame([(digits,)], "digits string").selectExpr(imatch.mask_sql("digits")).first()[0]
     assert mask == ((1 << len(imatch.RATES) * imatch.SUBSETS) - 1 if digits[0] == "0" else 0)
+
+
+def test_buckets_grow_in_number_not_in_size(spark, monkeypatch):
+    """Ids far from evenly spread, twice the ranges: each bucket has about BUCKET_DOCS documents, each but the copies once."""
+    monkeypatch.setattr(imatch, "BUCKET_DOCS", 10)
+    monkeypatch.setattr(imatch, "RANGES", 4)
+    rows = [(i ** 3, f"text {i}") for i in range(400)] + [(None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    placed, _ = imatch.neighbours(docs, "doc_id", "text", Scratch(spark, "buckets"))
+    got = placed.collect()
+    assert sorted(r.text for r in got if not r.copy) == sorted(t for _, t in rows)
+    sizes = Counter(r.bucket for r in got if not r.copy)
+    assert len(sizes) > 30 and max(sizes.values()) <= 20
+    assert Counter(r.bucket for r in got if r.copy) == dict.fromkeys(sizes, 1)
