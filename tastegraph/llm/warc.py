@@ -5,10 +5,11 @@ page id is the response, the others are revisits that refer to it. Each task
 writes archives of bounded size under another name and moves them when
 complete; only archives named by a finished task's row are read. The reader
 decompresses piece by piece, frames a record by its Content-Length, and checks
-the digests of block and payload, so its memory doesn't grow with a record.
+the digests of block and payload, so its memory grows with a record's header only, not with its payload.
 
 Edge cases
 * null html: an empty payload; null url: no target header;
+* very long url: written and read whole, in a header of at most 1 GB (escaped); a longer one raises an error;
 * null page id: kept as null, never the response of a group that has an id;
 * rows with one page id and one payload: both are what that page id is;
 * an empty table writes no archive and gives an empty result.
@@ -33,6 +34,7 @@ from tastegraph.session import open_fs
 LEAST_BYTES = 1000  # payloads below are stored each time
 ARCHIVE_BYTES = 64 << 20  # compressed size at which a task starts another archive
 CHUNK = 1 << 16
+HEADER_BYTES = 1 << 30  # a longer header counts as damage
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 FILE_SCHEMA = "path string, n_records long, n_bytes long"
@@ -139,10 +141,12 @@ class Members:
             self.rest = self.z.unused_data
         return True
 
-    def until(self, mark: bytes, most: int = 1 << 20) -> bytes:
+    def until(self, mark: bytes, most: int = HEADER_BYTES) -> bytes:
         """The bytes up to and with the mark."""
-        while (at := self.out.find(mark)) < 0:
-            if len(self.out) > most or not self._more():
+        seen = 0
+        while (at := self.out.find(mark, max(0, seen - len(mark) + 1))) < 0:
+            seen = len(self.out)
+            if seen > most or not self._more():
                 raise ValueError("a header has no end")
         got = bytes(self.out[:at + len(mark)])
         del self.out[:at + len(mark)]

@@ -64,6 +64,12 @@ def test_payloads_and_members(spark):
     assert n == len(html)
 
 
+def test_very_long_url(spark):
+    rows = [(1, "http://x/" + "é" * 700_000, "<p>a</p>" * 200), (2, "u", "b")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted(str(tuple(r)) for r in warc.digest(pages).collect()) == expected([(p, h) for p, _, h in rows])
+
+
 def test_damage_is_found():
     record = warc.record_bytes(1, "http://x/", b"payload " * 50, hashlib.sha1(b"payload " * 50).hexdigest(), None)
     whole = warc._member(record)
