@@ -10,6 +10,7 @@ Copies of one text share a key and are told apart by their ids, so a group of
 copies spans as many ranges as it needs.
 
 Edge cases
+* a vocabulary with ids above 65,535: an error;
 * null or empty text: the end id alone, one piece;
 * a document longer than a sequence: cut, its pieces in order;
 * rows with equal ids: each packed on its own;

@@ -17,6 +17,7 @@ name first and moves it when complete, and only files named by a finished
 task's row are read, so a lost executor leaves nothing half-written in use.
 
 Edge cases
+* a vocabulary with ids above 65,535: an error;
 * null or empty text: the end id alone;
 * null document id: sorts first, kept as null;
 * rows with equal ids: all kept, in order of their text's hash;

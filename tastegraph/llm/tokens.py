@@ -5,7 +5,8 @@ piece, so the ids of the text are the ids of its chunks in order. Chunks are
 hashed as numpy arrays; ids of chunks seen before come from a table of fixed
 size, the others from the tokenizers library. A text with characters beyond
 Latin letters (or rare control characters), or with the string of an added
-token ("<|endoftext|>"), is given to the library whole.
+token ("<|endoftext|>"), is given to the library whole. A vocabulary with ids
+above 65,535 is refused: ids are kept in 16 bits.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from tokenizers import Tokenizer
 
 LIMIT = 0x250  # code points below are classified here; any other sends the text to the library whole
 LETTER, DIGIT, SPACE, NEWLINE, BLANK, OTHER, QUOTE, HARD = 1, 2, 3, 4, 5, 6, 7, 8
+MOST_ID = (1 << 16) - 1
 LONGEST = 64  # characters of a remembered chunk
 SLOT_BITS = 21  # remembered chunks at most, as a power of two: 27 MB
 MOST_IDS = 12_000_000  # ids behind the remembered chunks, many windows' worth; the table starts anew beyond that
@@ -50,6 +52,8 @@ class ChunkEncoder:
         self.added = sorted({t.content.lower() for t in self.tok.get_added_tokens_decoder().values()})
         self.marks = sorted({"".join(takewhile(lambda c: not c.isalpha(), x)) for x in self.added})
         vocab = self.tok.get_vocab(with_added_tokens=True)
+        if max(vocab.values()) > MOST_ID:
+            raise ValueError(f"{path} has ids above {MOST_ID}, which don't fit the 16 bits that ids are kept in")
         self.edge = np.zeros(max(vocab.values()) + 1, bool)
         for s, i in vocab.items():
             self.edge[i] = s.endswith("</w>") if self.words else s.startswith("Ġ")

@@ -9,7 +9,7 @@ from conftest import SF001
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from public_tokenizers import path
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models
 
 from tastegraph.llm import packing, token_files
 from tastegraph.llm.common import Scratch
@@ -165,3 +165,11 @@ def test_encoded_table_is_kept_once(spark, odd_docs):
     scratch = Scratch(spark, "t")
     kept = scratch.keep(packing.encode(odd_docs, path(FILES["words"]), "words", 1), "e")
     assert kept.count() == odd_docs.count()
+
+
+def test_ids_beyond_16_bits_are_refused(tmp_path):
+    for most in (65_535, 65_536):
+        Tokenizer(models.WordLevel({"a": 0, "b": most}, "a")).save(str(tmp_path / f"{most}.json"))
+    ChunkEncoder(str(tmp_path / "65535.json"), "words")
+    with pytest.raises(ValueError, match="65535"):
+        ChunkEncoder(str(tmp_path / "65536.json"), "words")
