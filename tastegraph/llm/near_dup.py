@@ -9,7 +9,10 @@
 4. Classes sharing a key whose signatures are near enough are candidates. A key
    shared by many classes doesn't pair them: its members are only joined to the
    smallest, which puts them in one group.
-5. Groups of candidates (connected components) are dealt to blocks of bounded
+5. Groups of candidates (connected components) larger than a block are parted first:
+   all their signatures are compared, a task taking two blocks of them, and only classes
+   joined by near signatures stay together.
+   Groups are dealt to blocks of bounded
    size; a task takes two blocks of a group with their texts, counts all
    intersections exactly as a matrix product, and returns a spanning forest of
    the true links, never all pairs.
@@ -40,6 +43,7 @@ PLACES, BITS = 64, 16  # of a signature
 CHUNKS, DISTANCE = 16, 31  # a chunk may have DISTANCE // CHUNKS errors
 HOT = 16  # classes sharing a key; above, they are joined to the smallest only
 UNIT_WEIGHT, DOCUMENT_WEIGHT = 120_000, 200  # shingles of a block, and what a document counts besides its own
+SIGNATURES = 8192  # of a large group's block that are compared at a time
 COLUMNS = 4096  # of the incidence matrix at a time
 SIGNED = "doc long, n long, h1 long, h2 long, sig binary"
 
@@ -197,6 +201,65 @@ def _forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def parted(classes: DataFrame, groups: DataFrame, scratch: Scratch) -> DataFrame:
+    """The groups, with those larger than a block parted into what near signatures join; members near no other are left out.
+
+    Members of a key that many classes share are in one group though most may be far from each other.
+    A signature is compared with all of its group, so no pair within the distance is parted.
+    """
+    member = classes.select(F.col("rep").alias("node"), "n", "sig").join(groups, "node")
+    large = member.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("n") + DOCUMENT_WEIGHT).alias("weight"))
+    large = scratch.keep(large.where(F.col("weight") >= UNIT_WEIGHT).select(
+        "component", F.expr(f"cast(size div {SIGNATURES} + 1 as int)").alias("blocks")), "large-groups")
+    if not large.head(1):
+        return groups
+    own = F.expr("cast(pmod(xxhash64(node), blocks) as int)")
+    dealt = (member.join(large, "component").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "sig"))
+    unit = ["component", "lo", "hi"]
+    dealt = dealt.repartition(*unit).sortWithinPartitions(*unit, "own", "node")
+
+    def run(batches):
+        def spanned(unit, parts):
+            own, node = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in (3, 4))
+            found = near_forest(np.concatenate([_signatures(p.column(5)) for p in parts]), own, unit[1] == unit[2])
+            return _edges([(int(node[i]), int(node[j])) for i, j in found]) if found else None
+
+        now, parts = None, []
+        for batch in batches:
+            head = np.stack([batch.column(c).to_numpy() for c in range(3)], axis=1)
+            first = np.flatnonzero(np.concatenate([[True], (head[1:] != head[:-1]).any(axis=1)])) if len(head) else []
+            for a, b in zip(first, [*first[1:], len(head)]):
+                if tuple(head[a]) != now:
+                    if parts and (edges := spanned(now, parts)) is not None:
+                        yield edges
+                    now, parts = tuple(head[a]), []
+                parts.append(batch.slice(a, b - a))
+        if parts and (edges := spanned(now, parts)) is not None:
+            yield edges
+
+    near = scratch.keep(dealt.mapInArrow(tidied(run), "a long, b long"), "near")
+    finer = components(near, scratch, "finer").select("node", "component")
+    return scratch.keep(groups.join(large, "component", "left_anti").select("node", "component").unionByName(finer), "parted")
+
+
+def near_forest(signatures: np.ndarray, own: np.ndarray, within: bool) -> list[tuple[int, int]]:
+    """Index pairs that join the same rows as all pairs within DISTANCE do: pairs of one block, or between the two blocks."""
+    n = len(signatures)
+    part, out = np.arange(n), []
+    split = int((own == own[0]).sum())  # rows are in order of their block
+    for i in range(n - 1 if within else split if split < n else 0):
+        start = i + 1 if within else split
+        apart = start + np.flatnonzero(part[start:] != part[i])
+        near = apart[(signatures[apart] != signatures[i]).sum(axis=1) <= DISTANCE]
+        _, first = np.unique(part[near], return_index=True)  # one link to each part
+        out += [(i, int(j)) for j in near[first]]
+        if len(near):
+            part[np.isin(part, part[near])] = part[i]
+    return out
+
+
 def dealt_members(classes: DataFrame, groups: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component, n, blocks, block): the members of each group, dealt to blocks of bounded weight."""
     weighed = classes.select(F.col("rep").alias("node"), "n").join(groups, "node")
@@ -315,7 +378,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     rows = scratch.keep(signed(docs, words, id_col, text_col), "signed")
     classes = scratch.keep(rows.where("n > 0 and doc is not null").groupBy("h1", "h2").agg(
         F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
-    groups = components(candidate_edges(classes, scratch), scratch, "groups")
+    groups = parted(classes, components(candidate_edges(classes, scratch), scratch, "groups"), scratch)
     found = confirmed_links(docs, classes, groups, scratch, words, percent, id_col, text_col)
     parts = components(found, scratch, "parts")
     named = classes.select("h1", "h2", F.col("rep").alias("node")).join(parts, "node", "left")

@@ -122,6 +122,42 @@ def test_parts_across_blocks_are_joined(spark, monkeypatch):
     assert result(spark.createDataFrame(rows, "doc_id long, text string"), words=4) == brute(rows)
 
 
+def test_a_hot_key_of_unlike_texts_is_parted_by_signatures(spark, monkeypatch):
+    """Texts that share a passage share keys; they are compared by signatures before their texts are dealt to blocks."""
+    monkeypatch.setattr(near_dup, "UNIT_WEIGHT", 4000)
+    monkeypatch.setattr(near_dup, "SIGNATURES", 50)
+    monkeypatch.setattr(near_dup, "HOT", 3)
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join(passage + [f"x{rng.randrange(10**9)}" for _ in range(60)])) for i in range(300)]
+    for i in range(0, 300, 10):  # a near copy of every tenth
+        words = rows[i][1].split(" ")
+        words[50 + i % 40] = "edited"
+        rows.append((1000 + i, " ".join(words)))
+    seen = []
+    real = near_dup.unit_links
+
+    def counted(docs, units, *rest):
+        seen.append(units.count())
+        return real(docs, units, *rest)
+    monkeypatch.setattr(near_dup, "unit_links", counted)
+    assert result(spark.createDataFrame(rows, "doc_id long, text string"), words=4) == brute(rows)
+    assert sum(seen) < 1.5 * len(rows)
+
+
+def test_near_forest_joins_what_all_pairs_join():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 3, (12, 64))
+    sig = np.where(rng.random((80, 64)) < 0.35, rng.integers(0, 3, (80, 64)), base[rng.integers(0, 12, 80)]).astype("<u2")
+    for own, within in ((np.zeros(80, int), True), (np.repeat([0, 1], [33, 47]), False)):
+        pairs = [(i, j) for i in range(80) for j in range(i + 1, 80)
+                 if (within or own[i] != own[j]) and (sig[i] != sig[j]).sum() <= near_dup.DISTANCE]
+        found = near_dup.near_forest(sig, own, within)
+        assert len(found) == len(near_dup._forest(pairs)) and set(found) <= set(pairs)
+        assert len(near_dup._forest(found)) == len(near_dup._forest(found + pairs))
+    assert near_dup.near_forest(sig[:1], np.zeros(1, int), False) == []
+
+
 def test_table(spark):
     df = spark.read.parquet(f"{SF001}/documents.parquet")
     assert result(df, words=4) == brute([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
