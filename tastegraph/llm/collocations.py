@@ -47,10 +47,10 @@ from tastegraph.llm.common import LOWER, UPPER, Scratch, filter_bits, may_hold,
 from tastegraph.llm.shingles import buffers, mix, span_hashes
 
 MOST_WORDS = 5  # of a phrase
-SLICE = 1 << 23  # bytes of text handled at a time
-BUFFERED = 1 << 21  # pairs or windows that a task combines at a time
+SLICE = 1 << 21  # bytes of text handled at a time
+BUFFERED = 1 << 19  # pairs or windows that a task combines at a time
 HOT_ROWS = 1 << 20  # rows with the same leading words that one task may sort
-ROWS_PER_TASK = 1 << 21
+ROWS_PER_TASK = 1 << 19
 BROADCAST_ROWS = 1_000_000
 
 _BLANK, _BREAK = np.zeros(256, bool), np.zeros(256, bool)

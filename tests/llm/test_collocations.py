@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -129,3 +130,21 @@ def test_the_tables_documents(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     rows = [(r.lang, r.text) for r in docs.collect()]
     assert got(co.digest(docs)) == brute(rows, 100)
+
+
+def test_a_task_holds_little_of_a_large_batch():
+    """12 MB of text in one batch; a slice, its words and what a task combines at a time take a bounded part."""
+    rng = np.random.default_rng(6)
+    words = np.array([f"word{i}" for i in range(3000)])
+    texts = [" ".join(words[rng.integers(0, 3000, 15_000)]) for _ in range(100)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 100, "text": texts})
+    every = np.full(64, 2**64 - 1, np.uint64)
+    peaks = []
+    for run in (co._word_rows(0), co._pair_rows(0, every), co._window_rows(0, every, every)):
+        tracemalloc.start()
+        try:
+            assert sum(b.num_rows for b in run(iter([batch])))
+            peaks.append(tracemalloc.get_traced_memory()[1] >> 20)
+        finally:
+            tracemalloc.stop()
+    assert max(peaks) < 160, peaks  # MB
