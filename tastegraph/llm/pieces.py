@@ -11,7 +11,8 @@ so a text is cut there first: before runs of word marks, if no piece holds one
 after another character, at ASCII characters that only stand alone, and between a
 Latin letter and punctuation that no piece has after a letter. The ids
 of short cuts are remembered in each Python worker, by their whole strings, in a
-table of bounded size.
+table of bounded size. The new ones of a slice of texts are merged together: each
+string's agenda is a row of an array, and a step merges every row's next pair.
 
 Each Arrow batch is checked against the sentencepiece library, whole text by
 whole text, and a difference ends the job: a vocabulary that isn't of merge type
@@ -28,11 +29,13 @@ Edge cases
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator, Sequence
 from heapq import heapify, heappop, heappush
-from itertools import chain, repeat
+from itertools import chain, filterfalse, repeat
 from operator import add
 from string import punctuation
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +50,8 @@ WORD = 24  # characters of a string that is merged without looking for further c
 NEVER = float("inf")
 LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]"  # of Latin scripts
 SLICE = 1 << 20  # bytes of text encoded at a time
+ROWS = 4096  # strings merged together
+NO_PAIR = np.iinfo(np.int32).max
 
 
 class Agenda:
@@ -76,6 +81,7 @@ class Agenda:
         ways += [f"{mark + '*' if mark else ''}{LETTER}++(?=[{close}])"] if close else []
         self.cut = re.compile("|".join([*ways, f"{mark}+{rest}*", f"{rest}+"] if mark else [*ways, f"{rest}+"]))
         self.known = Known(self)
+        self.rows = Rows(self)
 
     def merge(self, chars: str) -> list[int]:
         """Ids of a string, whose merges are independent of what stands beside it."""
@@ -133,8 +139,76 @@ class Agenda:
         return [s for s in symbols if s]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        cuts = [self.cut.findall(text) for text in (self.sp.normalize(texts) if texts else [])]
+        self.known.learn(cuts, self.rows)
         ids_of = self.known.__getitem__
-        return [list(chain.from_iterable(map(ids_of, self.cut.findall(text)))) for text in (self.sp.normalize(texts) if texts else [])]
+        return [list(chain.from_iterable(map(ids_of, c))) for c in cuts]
+
+
+class Rows:
+    """The agendas of many short strings as rows of arrays."""
+
+    def __init__(self, own: Agenda):
+        rank = {c: i for i, c in enumerate(sorted(set(own.cost.values())))}  # equal scores have one rank
+        single = {ord(p): i for p, i in own.id.items() if len(p) == 1}
+        self.symbol = np.full(max(single, default=0) + 2, -1, np.int32)  # the last one stands for all beyond
+        self.symbol[list(single)] = list(single.values())
+        self.base = max(own.id.values(), default=0) + 2
+        self.number = list(range(self.base))  # so that remembered ids are shared
+        found = [(own.id[p[:k]] * self.base + own.id[p[k:]] + 1, rank[own.cost[p]], i) for p, i in own.id.items()
+                 for k in range(1, len(p)) if p[:k] in own.id and p[k:] in own.id]
+        found = [*sorted(found), (np.iinfo(np.int64).max, NO_PAIR, -1)]
+        keys, ranks, made = zip(*found)
+        self.keys, self.ranks, self.made = np.array(keys, np.int64), np.array(ranks, np.int32), np.array(made, np.int32)
+
+    def pair(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ranks of pairs by their scores, and their pieces; a symbol of -1 is none."""
+        key = left.astype(np.int64) * self.base + right + 1
+        at = np.searchsorted(self.keys, key)
+        at[self.keys[at] != key] = -1
+        return self.ranks[at], self.made[at]
+
+    def merged(self, strings: list[str]) -> Iterator[tuple[list[str], list[tuple[int, ...]]]]:
+        """The strings and their ids, but for those with a character that is no piece."""
+        strings = sorted(strings, key=len)
+        size = np.fromiter(map(len, strings), np.int64, len(strings))
+        points = np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32)
+        symbols = self.symbol[np.minimum(points, len(self.symbol) - 1)]
+        start = np.cumsum(size) - size
+        whole = np.logical_and.reduceat(symbols >= 0, start)
+        strings, size, start = [s for s, w in zip(strings, whole.tolist()) if w], size[whole], start[whole]
+        for a in range(0, len(strings), ROWS):
+            n, ids = self._step_by_step(symbols, start[a:a + ROWS], size[a:a + ROWS])
+            ends, flat = np.cumsum(n).tolist(), tuple(map(self.number.__getitem__, ids.tolist()))
+            yield strings[a:a + ROWS], [flat[i:j] for i, j in zip([0, *ends], ends)]
+
+    def _step_by_step(self, symbols: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids, and the ids, of the strings of the given sizes."""
+        n, width = len(size), int(size.max()) + 1  # the last place of a row stays empty
+        place = np.arange(width)
+        now = np.where(place < size[:, None], symbols[np.minimum(start[:, None] + place, len(symbols) - 1)], -1)
+        agenda, made = np.full((n, width), NO_PAIR, np.int32), np.full((n, width), -1, np.int32)
+        agenda[:, :-1], made[:, :-1] = self.pair(now[:, :-1], now[:, 1:])
+        after, before = np.tile(place + 1, n), np.tile(place - 1, n)
+        now, costs, made = now.reshape(-1), agenda.reshape(-1), made.reshape(-1)
+        row = np.arange(n)
+        while len(row):
+            at = agenda[row].argmin(axis=1) + row * width  # the leftmost of the least
+            going = costs[at] != NO_PAIR
+            row, at = row[going], at[going]
+            first = row * width
+            gone = first + after[at]
+            far = after[gone]
+            symbol = made[at]
+            now[at], now[gone], costs[gone] = symbol, -1, NO_PAIR
+            after[at], before[first + far] = far, at - first
+            costs[at], made[at] = self.pair(symbol, now[first + far])
+            near = before[at]
+            some = near >= 0
+            near = (first + near)[some]
+            costs[near], made[near] = self.pair(now[near], symbol[some])
+        now = now.reshape(n, width)
+        return (now >= 0).sum(axis=1), now[now >= 0]
 
 
 class Known(dict):
@@ -143,11 +217,21 @@ class Known(dict):
     def __init__(self, own: Agenda):
         self.merge, self.pairs = own.merge, own.pairs
 
-    def __missing__(self, cut: str) -> list[int]:
+    def learn(self, cuts: list[list[str]], rows: Rows) -> None:
+        """Remembers the new short strings of the texts' cuts; what is left out is merged when asked for."""
+        words = set(chain.from_iterable(cuts))
+        new = [c for c in filterfalse(self.__contains__, words) if len(c) <= WORD]
+        if len(self) + len(new) > MOST_CUTS:
+            self.clear()
+            new = [c for c in words if len(c) <= WORD][:MOST_CUTS]
+        for strings, ids in rows.merged(new) if new else ():
+            self.update(zip(strings, ids))
+
+    def __missing__(self, cut: str) -> Sequence[int]:
         at = [i for i, pair in enumerate(map(add, cut, cut[1:]), 1) if pair not in self.pairs] if len(cut) > WORD else ()
         if at:
             return [x for a, b in zip([0, *at], [*at, len(cut)]) for x in self[cut[a:b]]]
-        ids = self.merge(cut)
+        ids = tuple(self.merge(cut))
         if len(cut) <= LONGEST:
             if len(self) >= MOST_CUTS:
                 self.clear()

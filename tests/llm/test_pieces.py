@@ -37,6 +37,23 @@ def test_long_texts_and_a_table_that_starts_anew(monkeypatch):
     assert own.encode(texts) == LIB.encode(texts) and len(own.known) <= 5
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from("aehintrs▁éß中👍"), st.characters(exclude_categories=["Cs"])), min_size=1, max_size=24), max_size=40))
+def test_rows_of_an_array_equal_single_agendas(strings):
+    done = {s: list(x) for part in OWN.rows.merged(strings) for s, x in zip(*part)} if strings else {}
+    assert done == {s: OWN.merge(s) for s in done}
+    assert set(strings) - set(done) == {s for s in strings if any(c not in OWN.id for c in s)}
+
+
+def test_new_words_of_a_slice_are_merged_together(monkeypatch):
+    own = pieces.Agenda(MODEL)
+    alone = []
+    monkeypatch.setattr(own.known, "merge", lambda s: alone.append(s) or pieces.Agenda.merge(own, s))
+    texts = [" ".join(f"{a}{b}{c}ment" for b in "xyzw") for a in ("tion", "res", "und") for c in ("al", "eo", "ung")]
+    assert own.encode(texts) == LIB.encode(texts) and alone == []
+    assert own.encode(["odd👩‍👧word"]) == LIB.encode(["odd👩‍👧word"]) and alone
+
+
 def want(rows):
     out = []
     for i, t in rows:
